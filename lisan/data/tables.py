@@ -37,21 +37,24 @@ ENGLISH_LEXICON = {
     "#": ["#"],
 }
 
-# English shape rules, tried in order on the token as written; the first match wins.
+# Shape rules, tried in order on the token as written; the first match wins. Kinds: "capital" (the
+# first character is upper case), "prefix", "suffix", "pattern" (a regular expression).
 ENGLISH_SHAPES = [
-    (r"^[0-9][0-9.,:/-]*$", "CD"),
-    (r"^[^\p{L}\p{N}]+$", "SYM"),
-    (r"^\p{Lu}", "NNP"),
-    (r"ing$", "VBG"),
-    (r"ed$", "VBD"),
-    (r"ly$", "RB"),
-    (r"ble$", "JJ"),
-    (r"ous$", "JJ"),
-    (r"ful$", "JJ"),
-    (r"est$", "JJS"),
-    (r"tion$", "NN"),
-    (r"ness$", "NN"),
-    (r"[^su]s$", "NNS"),
+    ("capital", "", "NNP"),
+    ("suffix", "ing", "VBG"),
+    ("suffix", "ed", "VBD"),
+    ("suffix", "ly", "RB"),
+    ("suffix", "ble", "JJ"),
+    ("suffix", "ous", "JJ"),
+    ("suffix", "ful", "JJ"),
+    ("suffix", "est", "JJS"),
+    ("suffix", "tion", "NN"),
+    ("suffix", "ness", "NN"),
+    ("suffix", "ss", "NN"),
+    ("suffix", "us", "NN"),
+    ("suffix", "s", "NNS"),
+    ("pattern", r"^[0-9][0-9.,:/-]*$", "CD"),
+    ("pattern", r"^[^\p{L}\p{N}]+$", "SYM"),
 ]
 ENGLISH_DEFAULT = "NN"
 
@@ -77,11 +80,11 @@ ARABIC_LEXICON = {
 }
 
 ARABIC_SHAPES = [
-    (r"^\p{N}+$", "NUM"),
-    (r"^[^\p{L}\p{N}\p{M}_]+$", "PUNCT"),
-    (r"^[A-Za-z]+$", "X"),
-    (r"^ال.*ية$", "ADJ"),
-    (r"^ي", "VERB"),
+    ("prefix", "ي", "VERB"),
+    ("pattern", r"^ال.*ية$", "ADJ"),
+    ("pattern", r"^\p{N}+$", "NUM"),
+    ("pattern", r"^[^\p{L}\p{N}\p{M}_]+$", "PUNCT"),
+    ("pattern", r"^[A-Za-z]+$", "X"),
 ]
 ARABIC_DEFAULT = "NOUN"
 

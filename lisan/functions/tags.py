@@ -16,35 +16,56 @@ from lisan import constants as C
 from lisan.functions.arrays import let
 from lisan.functions.text import spans_of
 
+Shape = tuple[str, str, str]
 ContextRule = tuple[str | None, str, str | None, str]
 
 
-def shape_tag(token: Column, shapes: Sequence[tuple[str, str]], default: str) -> Column:
-    """Tag a token by the first matching shape pattern."""
-    tag = None
-    for pattern, name in shapes:
-        hit = F.regexp_like(token, F.lit(pattern))
-        tag = F.when(hit, name) if tag is None else tag.when(hit, name)
-    return F.lit(default) if tag is None else tag.otherwise(default)
+def _first_match(rules: Sequence[tuple[Column, str]], rest: Column) -> Column:
+    """``CASE WHEN`` over (test, tag) pairs."""
+    if not rules:
+        return rest
+    (test, name), *others = rules
+    tag = F.when(test, name)
+    for test, name in others:
+        tag = tag.when(test, name)
+    return tag.otherwise(rest)
+
+
+def _has_shape(token: Column, kind: str, value: str) -> Column:
+    first = F.substring(token, 1, 1)
+    tests = {
+        "capital": lambda: first != F.lower(first),
+        "prefix": lambda: F.startswith(token, F.lit(value)),
+        "suffix": lambda: F.endswith(token, F.lit(value)),
+        "pattern": lambda: F.regexp_like(token, F.lit(value)),
+    }
+    return tests[kind]()
+
+
+def shape_tag(token: Column, shapes: Sequence[Shape], default: str) -> Column:
+    """Tag a token by the first shape rule it meets."""
+    return _first_match([(_has_shape(token, kind, value), tag) for kind, value, tag in shapes], F.lit(default))
 
 
 def tag_token(
-    token: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[tuple[str, str]], default: str
+    token: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[Shape], default: str
 ) -> Column:
-    """Tag a token: its lower-case form in the lexicon, else its shape, else ``default``."""
+    """Tag a token: its lower-case form in the lexicon, else its shape, else ``default``.
+
+    One hash lookup tells whether the lexicon has the word at all; only then its tags are tried.
+    """
+    words = [w for ws in lexicon.values() for w in ws]
+    shape = shape_tag(token, shapes, default)
+
     def look_up(low: Column) -> Column:
-        tag = None
-        for name, words in lexicon.items():
-            hit = low.isin(*words)
-            tag = F.when(hit, name) if tag is None else tag.when(hit, name)
-        rest = shape_tag(token, shapes, default)
-        return rest if tag is None else tag.otherwise(rest)
+        named = _first_match([(low.isin(*ws), tag) for tag, ws in lexicon.items()], F.lit(default))
+        return F.when(low.isin(*words), named).otherwise(shape)
 
-    return let(F.lower(token), look_up)
+    return let(F.lower(token), look_up) if words else shape
 
 
 def tag_tokens(
-    tokens: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[tuple[str, str]], default: str
+    tokens: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[Shape], default: str
 ) -> Column:
     """Tags of a token array, one per token."""
     return F.transform(tokens, lambda t: tag_token(t, lexicon, shapes, default))

@@ -67,9 +67,10 @@ def count_grams(tokenized: DataFrame, cut: Cut, boundaries: bool) -> DataFrame:
     test = bigrams_padded if boundaries else bigrams_unpadded
     in_train = cut.in_train
     grams = F.when(in_train, _training_grams(F.col("tokens"))).otherwise(test(F.col("tokens")))
+    # The array goes straight into inline(): a named column would get a pushed-down filter on its size,
+    # which tokenizes every sentence a second time.
     return (
-        tokenized.select(in_train.alias("train"), grams.alias("grams"))
-        .select("train", F.inline("grams"))
+        tokenized.select(in_train.alias("train"), F.inline(grams))
         .groupBy("context", "word")
         .agg(
             F.count(F.when(F.col("train"), 1)).alias("n"),
@@ -159,8 +160,10 @@ def model_summary(grams: DataFrame, cut: Cut) -> DataFrame:
         F.sum("m").alias("m"), F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("contexts")
     )
     train_contexts = F.sum(F.when(F.col("n") > 0, F.col("contexts")).otherwise(0)).over(Window.partitionBy())
-    v = F.when(train_contexts > 0, train_contexts + 2).otherwise(1)
-    terms = by_total.select("m", (F.col("hits") - F.col("m") * F.log2(F.col("n") + v)).alias("log2p"), v.alias("v"))
+    sized = by_total.withColumn("seen", train_contexts).withColumn(
+        "v", F.when(F.col("seen") > 0, F.col("seen") + 2).otherwise(1)
+    )
+    terms = sized.select("m", "v", (F.col("hits") - F.col("m") * F.log2(F.col("n") + F.col("v"))).alias("log2p"))
     entropy = -F.sum("log2p") / F.nullif(F.sum("m"), F.lit(0))
     return terms.agg(
         F.lit(cut.total).cast("bigint").alias("sentences"),

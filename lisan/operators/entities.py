@@ -5,19 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from lisan import constants as C
 from lisan.functions import spans as S
 from lisan.functions import text as T
-from lisan.session import broadcast_if_small
+from lisan.session import is_small
 
-ENGLISH_ENTITY = "article_index, text, label, start_char, end_char"
-
-
-def gazetteer_table(spark, phrases: list[tuple[str, str]]) -> DataFrame:
+def gazetteer_table(spark: SparkSession, phrases: list[tuple[str, str]]) -> DataFrame:
     """A phrase list as a table ``(phrase, label)``."""
     return spark.createDataFrame(phrases, "phrase string, label string")
 
@@ -28,9 +25,11 @@ def gazetteer_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
     Input ``(doc_id, sentence_index, sentence, ...)``, output one row per match with ``entity``,
     ``label``, ``start``, ``end`` (offsets in the sentence), ``start_token``, ``end_token``.
 
-    Tokens are compared in windows as wide as the longest phrase. A first join keeps only windows
+    Tokens are looked at in windows as wide as the longest phrase. A first join keeps only windows
     that start like a phrase; the survivors are spelled out at every length and joined again. With a
-    small gazetteer both joins are broadcasts, so only real matches are shuffled, by sentence.
+    small gazetteer both joins are broadcasts, so only real matches are shuffled, by sentence, and
+    offsets are worked out only for sentences with a match. With a large one the windows are shuffled
+    without their sentence, which is joined back to the matches.
     """
     keyed = gazetteer.select(T.wordpunct_tokenize(F.col("phrase")).alias("words"), "label").where(
         F.size("words") > 0
@@ -39,49 +38,46 @@ def gazetteer_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
         F.array_join("words", " ").alias("phrase"), F.get("words", F.lit(0)).alias("first"), "label"
     ).distinct()
     width = keyed.agg(F.max(F.size("words"))).first()[0] or 1
-
-    spans = sents.withColumn("spans", T.spans_of(F.col("sentence"), T.WORDPUNCT))
-    windows = F.transform(F.col("spans"), lambda s, i: F.slice(F.col("spans"), i + 1, width))
-    starts = spans.select(*sents.columns, F.posexplode(windows).alias("start_token", "window"))
-    starts = starts.withColumn("first", F.get("window", F.lit(0))["token"])
-    starts = starts.join(broadcast_if_small(phrases.select("first").distinct()), "first", "left_semi")
-
+    small = is_small(phrases)
+    hint = F.broadcast if small else lambda df: df
+    keys = ["doc_id", "sentence_index"]
+    carried = [c for c in sents.columns if c not in keys] if small else []
+
+    # slice() hands explode an expression: a named array would be filtered by size below the
+    # tokenizer, which then runs twice.
+    words = sents.select(*keys, *carried, T.wordpunct_tokenize(F.col("sentence")).alias("words"))
+    every = F.posexplode(F.slice("words", F.lit(1), F.size("words"))).alias("start_token", "first")
+    starts = words.select(*keys, *carried, "words", every).select(
+        *keys, *carried, "start_token", "first", F.slice("words", F.col("start_token") + 1, F.lit(width)).alias("window")
+    )
+    starts = starts.join(hint(phrases.select("first").distinct()), "first", "left_semi")
     grams = F.transform(
         F.col("window"),
-        lambda s, i: F.struct(
-            F.array_join(
-                F.transform(F.slice(F.col("window"), F.lit(1), i + 1), lambda w: w["token"]), " "
-            ).alias("phrase"),
-            (i + 1).alias("length"),
-            s["end"].alias("end"),
+        lambda w, i: F.struct(
+            F.array_join(F.slice(F.col("window"), F.lit(1), i + 1), " ").alias("phrase"), (i + 1).alias("length")
         ),
     )
-    candidates = starts.select(
-        *sents.columns,
-        F.col("start_token").alias("start_at"),
-        F.get("window", F.lit(0))["start"].alias("start"),
-        F.inline(grams),
+    candidates = starts.select(*keys, *carried, F.col("start_token").alias("start"), F.inline(grams))
+    hits = candidates.join(hint(phrases.select("phrase", "label")), "phrase")
+    kept = hits.groupBy(keys).agg(
+        S.leftmost_longest(F.collect_list(F.struct("start", "length", "label"))).alias("kept"),
+        *[F.any_value(c).alias(c) for c in carried],
     )
-    hits = candidates.join(broadcast_if_small(phrases.select("phrase", "label")), "phrase")
-    hit = F.struct(
-        F.col("start_at").alias("start"),
-        "length",
-        "label",
-        F.col("start").alias("from_char"),
-        F.col("end").alias("to_char"),
-    )
-    kept = hits.groupBy("doc_id", "sentence_index").agg(
-        S.leftmost_longest(F.collect_list(hit)).alias("kept"),
-        *[F.any_value(c).alias(c) for c in sents.columns if c not in ("doc_id", "sentence_index")],
+    if not small:
+        kept = kept.join(sents, keys)
+    placed = kept.withColumn("spans", T.spans_of(F.col("sentence"), T.WORDPUNCT))
+    spans = F.transform(
+        F.col("kept"),
+        lambda k: F.struct(
+            k["label"].alias("label"),
+            F.get("spans", k["start"])["start"].alias("start"),
+            F.get("spans", k["start"] + k["length"] - 1)["end"].alias("end"),
+            k["start"].alias("start_token"),
+            (k["start"] + k["length"]).alias("end_token"),
+        ),
     )
-    return kept.select(*sents.columns, F.explode("kept").alias("k")).select(
-        *sents.columns,
-        F.expr("substring(sentence, k.from_char + 1, k.to_char - k.from_char)").alias("entity"),
-        F.col("k.label").alias("label"),
-        F.col("k.from_char").alias("start"),
-        F.col("k.to_char").alias("end"),
-        F.col("k.start").alias("start_token"),
-        (F.col("k.start") + F.col("k.length")).alias("end_token"),
+    return placed.select(*sents.columns, F.inline(spans)).withColumn(
+        "entity", F.substring("sentence", F.col("start") + 1, F.col("end") - F.col("start"))
     )
 
 
@@ -174,29 +170,24 @@ def token_labels(tokens: DataFrame, spans: DataFrame) -> DataFrame:
 def token_labels_by_char(tokens: DataFrame, entities: DataFrame, width: int = 256) -> DataFrame:
     """Label tokens lying inside an entity's character range of the same article; later entities win.
 
-    Both sides get a bucket of ``width`` characters (an entity one row per bucket it touches), so the
-    range join becomes an equi-join on (article, bucket): a long article spreads over many keys and a
-    token meets only entities near it.
+    Both sides get a bucket of ``width`` characters, and the entities touching a bucket are gathered
+    into one row; the bucket width bounds how many there are. So the range join becomes an equi-join
+    that gives each token one row: a long article spreads over many keys, and tokens are not
+    multiplied or grouped again.
     """
-    near = entities.select(
-        F.col("article_index").alias("doc_id"),
-        F.col("start_char").alias("from_char"),
-        F.col("end_char").alias("to_char"),
-        F.col("label").alias("entity_label"),
-        F.explode(F.expr(f"sequence(start_char div {width}, end_char div {width})")).alias("bucket"),
+    near = (
+        entities.select(
+            F.col("article_index").alias("doc_id"),
+            F.struct(F.col("start_char").alias("from_char"), F.col("end_char").alias("to_char"), "label").alias("e"),
+            F.explode(F.expr(f"sequence(start_char div {width}, end_char div {width})")).alias("bucket"),
+        )
+        .groupBy("doc_id", "bucket")
+        .agg(F.collect_set("e").alias("near"))
+    )
+    around = F.filter(
+        "near", lambda e: (e["from_char"] <= F.col("start_char")) & (F.col("end_char") <= e["to_char"])
     )
     placed = tokens.withColumn("bucket", F.expr(f"start_char div {width}"))
-    inside = (
-        (placed["doc_id"] == near["doc_id"])
-        & (placed["bucket"] == near["bucket"])
-        & (F.col("from_char") <= F.col("start_char"))
-        & (F.col("end_char") <= F.col("to_char"))
+    return placed.join(near, ["doc_id", "bucket"], "left").select(
+        *tokens.columns, F.coalesce(F.array_max(around)["label"], F.lit(C.OUTSIDE)).alias("label")
     )
-    joined = placed.join(near, inside, "left").drop(near["doc_id"], near["bucket"])
-    last = F.max(F.when(F.col("entity_label").isNotNull(), F.struct("from_char", "to_char", "entity_label")))
-    keys = ["doc_id", "bucket", "sentence_index", "token_index"]
-    others = [c for c in tokens.columns if c not in keys]
-    return joined.groupBy(keys).agg(
-        *[F.any_value(c).alias(c) for c in others],
-        F.coalesce(last["entity_label"], F.lit(C.OUTSIDE)).alias("label"),
-    ).drop("bucket")

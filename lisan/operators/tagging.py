@@ -20,7 +20,7 @@ class Tagger:
 
     tokenizer: Callable[[Column], Column]
     lexicon: Mapping[str, Sequence[str]]
-    shapes: Sequence[tuple[str, str]]
+    shapes: Sequence[G.Shape]
     default: str
     context: Sequence[G.ContextRule] = field(default_factory=list)
 

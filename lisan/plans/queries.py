@@ -366,12 +366,11 @@ def prf1_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.label_codes(evaluate.confusion_counts(_pos_pairs(spark, sf_dir)))
+    return evaluate.label_codes(_pos_pairs(spark, sf_dir))
 
 
 def confusion_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = evaluate.confusion_counts(_pos_pairs(spark, sf_dir))
-    return evaluate.encode_labels(counts).select("gold_code", "pred_code", "n")
+    return evaluate.encoded_counts(_pos_pairs(spark, sf_dir))
 
 
 def confusion_pos(spark: SparkSession, sf_dir: str) -> DataFrame:

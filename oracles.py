@@ -199,8 +199,18 @@ def sampled(seeds: list[str], steps: int, ctes: str) -> str:
 # --- tags ------------------------------------------------------------------------------
 
 
-def shape_case(shapes, default: str) -> str:
-    whens = " ".join(f"WHEN regexp_matches(token, {q(p)}) THEN {q(tag)}" for p, tag in shapes)
+def shape_case(shapes, default: str, token: str = "token") -> str:
+    tests = {
+        "capital": "left({t}, 1) <> lower(left({t}, 1))",
+        "prefix": "regexp_matches({t}, {p})",
+        "suffix": "regexp_matches({t}, {p})",
+        "pattern": "regexp_matches({t}, {p})",
+    }
+    anchored = {"prefix": "^{}", "suffix": "{}$"}
+    whens = " ".join(
+        f"WHEN {tests[kind].format(t=token, p=q(anchored.get(kind, '{}').replace('{}', value)))} THEN {q(tag)}"
+        for kind, value, tag in shapes
+    )
     return f"CASE {whens} ELSE {q(default)} END"
 
 
@@ -458,7 +468,7 @@ ORACLES: dict[str, str] = {
     "context_rules": f"""WITH {ENGLISH_TAGS}, {TRAINED},
       t0 AS (
         SELECT k.doc_id, k.sentence_index, k.token_index, k.token,
-          coalesce(t.tag, {shape_case(tables.ENGLISH_SHAPES, tables.ENGLISH_DEFAULT).replace('token', 'k.token')}) AS tag
+          coalesce(t.tag, {shape_case(tables.ENGLISH_SHAPES, tables.ENGLISH_DEFAULT, 'k.token')}) AS tag
         FROM toks k LEFT JOIN trained t ON t.token = lower(k.token))
       {ruled(tables.ENGLISH_CONTEXT, 't0').replace('r1 AS', 't1 AS').replace('r2 AS', 't2 AS').replace('r3 AS', 't3 AS')
        .replace('r4 AS', 't4 AS').replace('FROM r', 'FROM t')}
