@@ -47,28 +47,23 @@ def shape_tag(token: Column, shapes: Sequence[Shape], default: str) -> Column:
     return _first_match([(_has_shape(token, kind, value), tag) for kind, value, tag in shapes], F.lit(default))
 
 
-def tag_token(
-    token: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[Shape], default: str
+def tag_tokens(
+    tokens: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[Shape], default: str
 ) -> Column:
-    """Tag a token: its lower-case form in the lexicon, else its shape, else ``default``.
+    """Tags of a token array: the lower-case form in the lexicon, else the shape, else ``default``.
 
     One hash lookup tells whether the lexicon has the word at all; only then its tags are tried.
     """
     words = [w for ws in lexicon.values() for w in ws]
-    shape = shape_tag(token, shapes, default)
 
-    def look_up(low: Column) -> Column:
-        named = _first_match([(low.isin(*ws), tag) for tag, ws in lexicon.items()], F.lit(default))
+    def tag(token: Column, low: Column) -> Column:
+        shape = shape_tag(token, shapes, default)
+        if not words:
+            return shape
+        named = _first_match([(low.isin(*ws), name) for name, ws in lexicon.items()], F.lit(default))
         return F.when(low.isin(*words), named).otherwise(shape)
 
-    return let(F.lower(token), look_up) if words else shape
-
-
-def tag_tokens(
-    tokens: Column, lexicon: Mapping[str, Sequence[str]], shapes: Sequence[Shape], default: str
-) -> Column:
-    """Tags of a token array, one per token."""
-    return F.transform(tokens, lambda t: tag_token(t, lexicon, shapes, default))
+    return let(tokens, lambda ts: F.zip_with(ts, F.transform(ts, F.lower), tag))
 
 
 def rule_applies(rule: ContextRule, before: Column, tag: Column, after: Column) -> Column:
@@ -84,17 +79,22 @@ def rule_applies(rule: ContextRule, before: Column, tag: Column, after: Column)
 
 def apply_context_rules(tags: Column, rules: Sequence[ContextRule]) -> Column:
     """Rewrite tags by their neighbours: one pass over the sentence per rule, in order."""
-    def one_pass(tags: Column, rule: ContextRule) -> Column:
-        return let(
-            tags,
-            lambda ts: F.transform(
-                ts,
-                lambda t, i: F.when(
-                    rule_applies(rule, F.get(ts, i - 1), t, F.get(ts, i + 1)), F.lit(rule[3])
-                ).otherwise(t),
-            ),
+    def rewrite(ts: Column, rule: ContextRule) -> Column:
+        return F.transform(
+            ts,
+            lambda t, i: F.when(
+                rule_applies(rule, F.get(ts, i - 1), t, F.get(ts, i + 1)), F.lit(rule[3])
+            ).otherwise(t),
         )
 
+    def one_pass(tags: Column, rule: ContextRule) -> Column:
+        # A sentence without the tags the rule asks for is left alone.
+        return let(tags, lambda ts: F.when(has_tags(ts, rule), rewrite(ts, rule)).otherwise(ts))
+
+    def has_tags(ts: Column, rule: ContextRule) -> Column:
+        asked = [tag for tag in dict.fromkeys(rule[:3]) if tag is not None]
+        return reduce(lambda a, b: a & b, [F.array_contains(ts, tag) for tag in asked])
+
     return reduce(one_pass, rules, tags)
 
 
