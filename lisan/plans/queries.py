@@ -305,6 +305,10 @@ def entity_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.entity_type_counts(_english_entities(spark, sf_dir))
 
 
+def entity_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.head(_arabic_entities(spark, sf_dir), 20, "article_index", "sentence_index", "start")
+
+
 def top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.top_values(_english_entities(spark, sf_dir), "text")
 
@@ -442,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "entity_lines": entity_lines,
     "model_entities": model_entities,
     "entity_type_counts": entity_type_counts,
+    "entity_head": entity_head,
     "top_entities": top_entities,
     "ar_entity_type_counts": ar_entity_type_counts,
     "ar_top_entities": ar_top_entities,

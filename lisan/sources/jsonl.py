@@ -5,29 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lisan.session import broadcast_if_small
+from lisan.session import broadcast_if_small, written
 
 CORPUS = "doc_id bigint, lang string, text string"
 
 
-def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their position over all files in path order.
+def _contiguous(rows: DataFrame, groups: list[str], name: str) -> DataFrame:
+    """Replace ``row`` (increasing inside each group without gaps) by positions over all groups in order.
 
-    Rows are numbered inside each input split; the splits' sizes are summed up in file order and added.
-    Only the table of splits (one row per split) is sorted in one place; no text is shuffled.
+    The sizes of the groups are summed up in order and added to the rows. Groups are input splits or
+    partitions, so only that short table is sorted in one place; the rows are not shuffled.
     """
+    sizes = rows.groupBy(groups).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy(groups).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = written(sizes.select(*groups, (F.sum("n").over(order) - F.col("n") - F.col("first")).alias("shift")))
+    others = [c for c in rows.columns if c not in (*groups, "row")]
+    return rows.join(broadcast_if_small(starts, rows=2_000_000), groups).select(
+        (F.col("shift") + F.col("row")).alias(name), *others
+    )
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their position over all files in path order."""
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    splits = lines.groupBy("file", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = splits.select("file", "block", "first", (F.sum("n").over(order) - F.col("n")).alias("start"))
-    return lines.join(broadcast_if_small(starts, rows=2_000_000), ["file", "block"]).select(
-        (F.col("start") + F.col("row") - F.col("first")).alias("doc_id"), "value"
-    )
+    return _contiguous(lines, ["file", "block"], "doc_id")
+
+
+def with_doc_index(df: DataFrame) -> DataFrame:
+    """Number the rows of a table from 0 in its present order, as ``doc_id``; a given one is kept.
+
+    The table is read twice and must come out the same both times, as scans and written tables do.
+    """
+    if "doc_id" in df.columns:
+        return df
+    row = F.monotonically_increasing_id()  # partition number in the upper bits, row number in the lower 33
+    rows = df.withColumn("row", row).withColumn("partition", F.shiftright("row", 33))
+    return _contiguous(rows, ["partition"], "doc_id")
 
 
 def read_jsonl(spark: SparkSession, path: str, lang: str) -> DataFrame:

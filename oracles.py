@@ -489,6 +489,9 @@ ORACLES: dict[str, str] = {
     "pattern_entities": f"SELECT doc_id AS article_index, text, label, start_char, end_char FROM ({PATTERN_FOUND})",
     "sentence_entities": f"""WITH {ARABIC_FOUND}
       SELECT doc_id AS article_index, sentence_index, entity, label, s AS start, e AS "end", sentence FROM found""",
+    "entity_head": f"""WITH {ARABIC_FOUND}
+      SELECT doc_id AS article_index, sentence_index, entity, label, s AS start, e AS "end", sentence FROM found
+      ORDER BY doc_id, sentence_index, s LIMIT 20""",
     "bio_spans": f'WITH {BIO} SELECT doc_id, sentence_index, start, "end", label, score FROM spans',
     "entity_lines": f"""WITH {BIO} SELECT doc_id, sentence_index, start, entity, label,
       printf('%s -> %s (score=%.4f)', entity, label, score) AS line FROM spans""",
