@@ -22,6 +22,12 @@ def positions(array: Column) -> Column:
     )
 
 
+def blocks(array: Column) -> Column:
+    """A non-empty array cut into arrays of at most 64 elements."""
+    starts = F.sequence(F.lit(1), F.size(array), F.lit(_BLOCK))
+    return F.transform(starts, lambda s: F.slice(array, s, F.lit(_BLOCK)))
+
+
 def _scan(numbers: Column) -> Column:
     """Running totals by appending: quadratic, so only for short arrays."""
     return F.aggregate(
@@ -37,23 +43,22 @@ def running_totals(numbers: Column) -> Column:
     The array is cut into blocks of 64. Each block is scanned on its own and lifted by the total of the
     blocks before it, so an array of n numbers costs about 64 n + (n / 64)^2 steps instead of n^2.
     """
-    def lift(blocks: Column) -> Column:
-        totals = F.transform(blocks, lambda b: F.get(b, F.size(b) - 1))
+    def lift(parts: Column) -> Column:
+        totals = F.transform(parts, lambda b: F.get(b, F.size(b) - 1))
         return let(
             _scan(totals),
             lambda upto: F.flatten(
                 F.transform(
-                    blocks,
+                    parts,
                     lambda b, i: F.transform(b, lambda x: x + F.coalesce(F.get(upto, i - 1), F.lit(0))),
                 )
             ),
         )
 
-    def blocks_of(numbers: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(numbers), F.lit(_BLOCK))
-        return F.transform(starts, lambda s: _scan(F.slice(numbers, s, F.lit(_BLOCK))))
+    def scanned(xs: Column) -> Column:
+        return F.transform(blocks(xs), _scan)
 
     return let(
         numbers,
-        lambda xs: F.when(F.size(xs) > 0, let(blocks_of(xs), lift)).otherwise(F.array().cast("array<int>")),
+        lambda xs: F.when(F.size(xs) > 0, let(scanned(xs), lift)).otherwise(F.array().cast("array<int>")),
     )

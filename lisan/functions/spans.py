@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lisan import constants as C
-from lisan.functions.arrays import let, positions
+from lisan.functions.arrays import blocks, let, positions
 from lisan.functions.text import spans_of
 
 
@@ -73,29 +73,32 @@ def pattern_entities(text: Column, patterns: Sequence[tuple[str, str]]) -> Colum
 def leftmost_longest(spans: Column) -> Column:
     """Keep non-overlapping spans, earliest start first and longest first among equal starts.
 
-    ``spans`` is array<struct<start, length, ...>>; ties beyond start and length fall to the order of
-    the remaining fields.
+    ``spans`` is array<struct<start, back, label>> with ``back`` the length negated, so that the
+    natural order of the structs is the order of preference. Kept spans are gathered in blocks of 64,
+    because appending to one long array would copy it each time.
     """
-    ordered = F.array_sort(
-        spans,
-        lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
-        .when(a["length"] != b["length"], b["length"] - a["length"])
-        .when(a["label"] < b["label"], -1)
-        .when(a["label"] > b["label"], 1)
-        .otherwise(0),
-    )
-    # A span is kept when it starts at or after the end of the last kept one.
-    return F.aggregate(
-        ordered,
-        F.slice(spans, 1, 0),
-        lambda kept, s: F.when(
-            s["start"]
-            >= F.coalesce(
-                F.get(kept, F.size(kept) - 1)["start"] + F.get(kept, F.size(kept) - 1)["length"], F.lit(0)
+    def take(state: Column, span: Column) -> Column:
+        free = span["start"] >= state["end"]
+        return F.struct(
+            F.when(free, span["start"] - span["back"]).otherwise(state["end"]).alias("end"),
+            F.when(free, F.concat(state["kept"], F.array(span))).otherwise(state["kept"]).alias("kept"),
+        )
+
+    def take_block(state: Column, block: Column) -> Column:
+        start = F.struct(state["end"].alias("end"), F.slice(block, 1, 0).alias("kept"))
+        return let(
+            F.aggregate(block, start, take),
+            lambda done: F.struct(
+                done["end"].alias("end"), F.concat(state["kept"], F.array(done["kept"])).alias("kept")
             ),
-            F.concat(kept, F.array(s)),
-        ).otherwise(kept),
-    )
+        )
+
+    def fold(ordered: Column) -> Column:
+        cut = blocks(ordered)
+        start = F.struct(F.lit(0).alias("end"), F.slice(cut, 1, 0).alias("kept"))
+        return F.aggregate(cut, start, take_block, lambda state: F.flatten(state["kept"]))
+
+    return let(F.array_sort(spans), fold)
 
 
 def format_entity(word: Column, label: Column, score: Column) -> Column:

@@ -51,16 +51,21 @@ def gazetteer_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
         *keys, *carried, "start_token", "first", F.slice("words", F.col("start_token") + 1, F.lit(width)).alias("window")
     )
     starts = starts.join(hint(phrases.select("first").distinct()), "first", "left_semi")
-    grams = F.transform(
-        F.col("window"),
-        lambda w, i: F.struct(
-            F.array_join(F.slice(F.col("window"), F.lit(1), i + 1), " ").alias("phrase"), (i + 1).alias("length")
-        ),
+    # Spelled out without a lambda, so that exploding and both joins stay in one generated loop and the
+    # carried sentence is copied for real matches only.
+    grams = F.array(
+        *[
+            F.struct(
+                F.when(F.size("window") >= k, F.array_join(F.slice("window", 1, k), " ")).alias("phrase"),
+                F.lit(k).alias("length"),
+            )
+            for k in range(1, width + 1)
+        ]
     )
     candidates = starts.select(*keys, *carried, F.col("start_token").alias("start"), F.inline(grams))
     hits = candidates.join(hint(phrases.select("phrase", "label")), "phrase")
     kept = hits.groupBy(keys).agg(
-        S.leftmost_longest(F.collect_list(F.struct("start", "length", "label"))).alias("kept"),
+        S.leftmost_longest(F.collect_list(F.struct("start", (-F.col("length")).alias("back"), "label"))).alias("kept"),
         *[F.any_value(c).alias(c) for c in carried],
     )
     if not small:
@@ -71,9 +76,9 @@ def gazetteer_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
         lambda k: F.struct(
             k["label"].alias("label"),
             F.get("spans", k["start"])["start"].alias("start"),
-            F.get("spans", k["start"] + k["length"] - 1)["end"].alias("end"),
+            F.get("spans", k["start"] - k["back"] - 1)["end"].alias("end"),
             k["start"].alias("start_token"),
-            (k["start"] + k["length"]).alias("end_token"),
+            (k["start"] - k["back"]).alias("end_token"),
         ),
     )
     return placed.select(*sents.columns, F.inline(spans)).withColumn(

@@ -187,13 +187,13 @@ def lm_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def generate_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     grams, _ = report.english_grams(documents(spark, sf_dir))
-    return generate.generate_greedy(grams, _seeds(spark, GREEDY_SEEDS), 5)
+    return generate.generate_greedy(written(grams), _seeds(spark, GREEDY_SEEDS), 5)
 
 
 def generate_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     grams, _ = report.arabic_grams(arabised_documents(spark, sf_dir))
     seeds = _seeds(spark, [arabised_word(w) for w in ARABISED_SEEDS])
-    return generate.generate_sample(grams, seeds, 10)
+    return generate.generate_sample(written(grams), seeds, 10)
 
 
 # --- tags and chunks -------------------------------------------------------------

@@ -111,14 +111,15 @@ def analyse_corpus(
 ) -> dict[str, DataFrame]:
     """Everything the two corpora are asked for, as a dict of DataFrames; written below ``output`` if given.
 
-    Sentences and n-gram counts feed several results and are written once to the scratch folder.
+    What feeds several results and is much smaller than the text (n-gram counts, entities, tag pair
+    counts) is written once to the scratch folder. Sentences are not: splitting again costs less.
     """
     spark = english.sparkSession
     english_gazetteer = english_gazetteer or entities.gazetteer_table(spark, tables.ENGLISH_GAZETTEER)
     arabic_gazetteer = arabic_gazetteer or entities.gazetteer_table(spark, tables.ARABIC_GAZETTEER)
 
-    english_sents = written(corpus.located_sentences(english))
-    arabic_sents = written(corpus.sentences(arabic, T.split_arabic_sentences))
+    english_sents = corpus.located_sentences(english)
+    arabic_sents = corpus.sentences(arabic, T.split_arabic_sentences)
     english_counts, english_cut = english_grams(english)
     arabic_counts, arabic_cut = arabic_grams(arabic)
     english_counts, arabic_counts = written(english_counts), written(arabic_counts)
@@ -133,12 +134,16 @@ def analyse_corpus(
     arabic_pos = tagging.pos_table(
         corpus.sentences(arabic), tagging.ARABIC, "pos_tag"
     )
-    english_entities = entities.extract_entities(english_sents, english_gazetteer)
-    arabic_entities = entities.extract_entities_by_sentence(arabic_sents, arabic_gazetteer)
+    english_entities = written(entities.extract_entities(english_sents, english_gazetteer))
+    arabic_entities = written(entities.extract_entities_by_sentence(arabic_sents, arabic_gazetteer))
     english_model = bigrams.model_summary(english_counts, english_cut)
     arabic_model = bigrams.model_summary(arabic_counts, arabic_cut)
     tagged = tagging.tagged_sentences(english_sents)
-    pairs = tagged.select(F.inline(evaluate.align_arrays(F.col("tags"), F.col("base_tags"))))
+    pairs = written(
+        evaluate.confusion_counts(
+            tagged.select(F.inline(evaluate.align_arrays(F.col("tags"), F.col("base_tags"))))
+        )
+    )
     results = {
         "normalized_arabic": corpus.normalize_corpus(arabic),
         "english_model": english_model,

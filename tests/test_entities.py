@@ -175,3 +175,19 @@ def test_confusion_matrix(spark):
     assert [tuple(r) for r in wide] == [("A", 1, 0, 0), ("B", 0, 1, 1), ("C", 0, 0, 0)]
     codes = evaluate.label_codes(pairs(spark, "B A", "C A")).collect()
     assert [(r.code, r.label) for r in codes] == [(0, "A"), (1, "B"), (2, "C")]
+
+
+def test_dense_matches_in_one_long_sentence(spark):
+    text = "hot " * 20_000
+    table = entities.gazetteer_table(spark, [("hot", "H"), ("hot hot hot", "HHH")])
+    found = entities.gazetteer_matches(corpus.sentences(from_texts(spark, [text], "en")), table)
+    counts = {r.label: r.n for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"HHH": 6_666, "H": 2}
+    assert found.where("end_token - start_token = 3 AND end - start != 11").count() == 0
+
+
+def test_folded_pairs_score_the_same(spark):
+    rows = pairs(spark, "A A B O O A", "A A A B O O")
+    folded = evaluate.confusion_counts(rows)
+    assert evaluate.prf1(rows).first() == evaluate.prf1(folded).first()
+    assert sorted(evaluate.confusion_matrix(rows).collect()) == sorted(evaluate.confusion_matrix(folded).collect())
