@@ -274,17 +274,16 @@ def entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.entity_preview(named).drop("score")
 
 
-def email_model() -> Callable[[str], list[dict]]:
-    """A stand-in for a trained model: finds e-mail addresses."""
-    found = re.compile(dict(tables.ENTITY_PATTERNS)["EMAIL"])
-
-    def run(text: str) -> list[dict]:
-        return [
-            {"text": m.group(), "label": "EMAIL", "start_char": m.start(), "end_char": m.end()}
+def pattern_model(label: str, pattern: str) -> Callable[[], Callable[[str], list[dict]]]:
+    """A stand-in for a trained model: the factory compiles a pattern, the model finds its matches."""
+    def factory() -> Callable[[str], list[dict]]:
+        found = re.compile(pattern)
+        return lambda text: [
+            {"text": m.group(), "label": label, "start_char": m.start(), "end_char": m.end()}
             for m in found.finditer(text)
         ]
 
-    return run
+    return factory
 
 
 MODEL_RECORD = t.StructType(
@@ -298,7 +297,8 @@ MODEL_RECORD = t.StructType(
 
 
 def model_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.predict_partitions(documents(spark, sf_dir), email_model, MODEL_RECORD)
+    model = pattern_model("EMAIL", dict(tables.ENTITY_PATTERNS)["EMAIL"])
+    return entities.predict_partitions(documents(spark, sf_dir), model, MODEL_RECORD)
 
 
 def entity_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -43,12 +42,6 @@ def _key(row: tuple) -> tuple:
     return tuple((v is not None, v) for v in row)
 
 
-def _same(a, b) -> bool:
-    if isinstance(a, float) and isinstance(b, float):
-        return a == b or math.isclose(a, b, rel_tol=1e-12)
-    return a == b and type(a) is type(b)
-
-
 def difference(got: DataFrame, db, sql: str) -> str:
     """Empty if both sides hold the same rows, else a short description."""
     columns = sorted(got.columns)
@@ -63,7 +56,7 @@ def difference(got: DataFrame, db, sql: str) -> str:
         extra = set(mine) ^ set(theirs)
         return f"{len(mine)} rows != {len(theirs)}; e.g. {sorted(extra, key=_key)[:4]}"
     for a, b in zip(mine, theirs):
-        if not all(_same(x, y) for x, y in zip(a, b)):
+        if a != b or [type(x) for x in a] != [type(y) for y in b]:
             return f"{columns}: {a} != {b}"
     return "" if mine else "no rows"
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lisan import session
+from lisan.data import tables
 from lisan.operators import entities
 from lisan.plans import queries as Q
 from lisan.plans.report import analyse_corpus
@@ -101,7 +102,8 @@ def test_written_tables_go_to_the_shared_folder(spark):
 
 def test_models_are_built_once_per_task(spark):
     docs = from_texts(spark, ["mail a@b.example", "none", "c@d.example e@f.example"], "en").coalesce(1)
-    found = entities.predict_partitions(docs, Q.email_model, Q.MODEL_RECORD).collect()
+    model = Q.pattern_model("EMAIL", dict(tables.ENTITY_PATTERNS)["EMAIL"])
+    found = entities.predict_partitions(docs, model, Q.MODEL_RECORD).collect()
     assert [(r.article_index, r.text) for r in found] == [
         (0, "a@b.example"), (2, "c@d.example"), (2, "e@f.example"),
     ]
