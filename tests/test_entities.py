@@ -11,6 +11,7 @@ from lisan.functions import text as T
 from lisan.operators import corpus, entities, evaluate, stats
 from lisan.sources.jsonl import from_texts
 
+# Sentences with known gold labels.
 HARD = (
     "A tiny intruder infiltrated White House grounds Tuesday, prompting a swift response from the US Secret "
     "Service. Anthony Guglielmi, chief of communications for the Secret Service, said a toddler crawled."
