@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import exact_dedup, language, mixing, packing, simhash, tokens
+from .common import ROW
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -23,6 +29,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(_table(spark, sf_dir, "documents"), path("word_bpe_49k.json")).drop(ROW)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op6_simhash)
+    f.__name__: f
+    for f in (op3_language_id, op5_exact_dedup, op6_simhash, op7_packing, op8_mixing, op10_token_counts)
 }
