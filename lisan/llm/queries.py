@@ -7,7 +7,7 @@ from collections.abc import Callable
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, packing, simhash, tokens
+from . import exact_dedup, language, mixing, packing, quality, simhash, tokens
 from .common import ROW
 
 
@@ -38,11 +38,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.drop(ROW)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"), path("word_bpe_49k.json")).drop(ROW)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op5_exact_dedup, op6_simhash, op7_packing, op8_mixing, op10_token_counts)
+    for f in (op3_language_id, op5_exact_dedup, op6_simhash, op7_packing, op8_mixing, op9_quality, op10_token_counts)
 }
