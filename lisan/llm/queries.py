@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, language, mixing, packing, quality, simhash, tokens
+from . import chat, exact_dedup, language, lines, mixing, packing, quality, simhash, tokens
 from .common import ROW
 
 
@@ -15,6 +16,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    rows = rows.unionByName(spark.createDataFrame(extra, rows.schema))
+    out = chat.format_trees(chat.thread_nodes(rows))
+    turns, loss = chat.read_back(F.col("formatted")), chat.read_loss(F.col("formatted"), F.col("loss_spans"))
+    out = out.withColumns({"turns": turns, "loss": loss})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_groups(_table(spark, sf_dir, "documents")).drop(ROW)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents")).drop(ROW)
 
@@ -49,5 +72,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_language_id, op5_exact_dedup, op6_simhash, op7_packing, op8_mixing, op9_quality, op10_token_counts)
+    for f in (
+        op1_chat,
+        op2_line_dedup,
+        op3_language_id,
+        op5_exact_dedup,
+        op6_simhash,
+        op7_packing,
+        op8_mixing,
+        op9_quality,
+        op10_token_counts,
+    )
 }
