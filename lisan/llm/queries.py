@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, lines, mixing, packing, quality, simhash, tokens
+from . import chat, exact_dedup, language, lines, mixing, packing, quality, simhash, tokens, vectors
 from .common import ROW
 
 
@@ -42,6 +42,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents")).drop(ROW)
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings")).drop(ROW)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -76,6 +80,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_chat,
         op2_line_dedup,
         op3_language_id,
+        op4_near_vectors,
         op5_exact_dedup,
         op6_simhash,
         op7_packing,
