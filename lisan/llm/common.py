@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -20,18 +22,41 @@ def with_row_id(df: DataFrame, *columns: str) -> DataFrame:
     """``columns`` of ``df`` and ``__row``, a struct that names each row, repeated rows included.
 
     Rows of Parquet files are named by their file and their place in it, which stays the same however often the
-    files are read. Any other frame is written once to the scratch folder and read from there.
+    files are read. Any other frame (a join, a union, rows from memory) is written once to the scratch folder and
+    read from there.
     """
-    names = [f"`{c}`" for c in (columns or df.columns)]
-    row = F.struct(
-        F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")
-    ).alias(ROW)
-    if "_metadata" not in df.columns:
+    if _reads_files(df):
         try:
-            return df.select(*names, row)
-        except AnalysisException:
+            return _named(df, columns)
+        except AnalysisException:  # other files than Parquet have no row places
             pass
-    return written(df.select(*names)).select(*names, row)
+    return _named(written(df.select(*[f"`{c}`" for c in columns])), columns)
+
+
+def _reads_files(df: DataFrame) -> bool:
+    """Whether ``df`` is columns and filters over one set of files, so that a row of a file comes once at most."""
+    try:
+        plan = df._jdf.queryExecution().analyzed().toString()
+    except AttributeError:
+        return False
+    steps = set(re.findall(r"^[\s:+-]*(\w+)", plan, re.MULTILINE))
+    return steps <= {"Project", "Filter", "SubqueryAlias", "Relation"} and plan.count("Relation [") == 1
+
+
+def _named(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    place = df.metadataColumn("_metadata")
+    row = F.struct(F.xxhash64(place["file_path"]).alias("f"), place["row_index"].alias("r"))
+    return df.select(*[f"`{c}`" for c in columns], row.alias(ROW))
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """``df``, written to the scratch folder unless it reads files: its rows then have the same names in each use."""
+    return df if _reads_files(df) else written(df)
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """(__doc, __row): every row packed in one column, so that no column's name can clash."""
+    return with_row_id(docs.select(F.struct("*").alias("__doc")), "__doc")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -105,6 +130,8 @@ __all__ = [
     "forest",
     "held_out",
     "scratch_folder",
+    "stable",
+    "whole_rows",
     "with_row_id",
     "written",
 ]

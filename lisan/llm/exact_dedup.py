@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANK, ROW, with_row_id, written
+from .common import BLANK, ROW, stable, whole_rows, with_row_id, written
 
 FAN_IN = 8
 
@@ -87,9 +87,10 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fa
 
 def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
+    docs = stable(docs)
     return keep_rows(docs, exact_groups(docs, doc_id, text).where("kept"))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose row id is in ``kept``."""
-    return with_row_id(docs).join(kept.select(ROW), ROW, "left_semi").drop(ROW)
+    return whole_rows(docs).join(kept.select(ROW), ROW, "left_semi").select("__doc.*")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, held_out, with_row_id, written
+from .common import ROW, held_out, stable, with_row_id, written
 from .exact_dedup import keep_rows
 
 UNKNOWN = "und"
@@ -154,5 +154,6 @@ def identify(
 
 def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents whose language could be told, with all their columns; only texts without letters go."""
+    docs = stable(docs)
     found = written(identify(docs, doc_id, text, lang))
     return keep_rows(docs, found.where(F.col("lang_pred") != UNKNOWN))

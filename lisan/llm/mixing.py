@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, WORD, with_row_id, written
+from .common import ROW, WORD, stable, whole_rows, with_row_id, written
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST = 3.0
@@ -179,6 +179,7 @@ def mix(
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken."""
+    docs = stable(docs)
     taken = mix(docs, doc_id, text, source).where("copies > 0").select(ROW, F.col("copies").alias("__copies"))
-    rows = with_row_id(docs).join(taken, ROW)
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).drop(ROW, "__copies", "__copy")
+    rows = whole_rows(docs).join(taken, ROW)
+    return rows.select("__doc", F.explode(F.sequence(F.lit(1), "__copies"))).select("__doc.*")

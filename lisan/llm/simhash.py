@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, components, forest, with_row_id, written
+from .common import ROW, components, forest, stable, with_row_id, written
 from .exact_dedup import keep_rows
 
 BITS = 64
@@ -291,4 +291,5 @@ def near_groups(
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies, with all its columns."""
+    docs = stable(docs)
     return keep_rows(docs, near_groups(docs, doc_id, text).where("kept"))

@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import pytest
+
+LONG = " ".join(f"word{i % 977} and{i % 31}" for i in range(40_000))
+BASE = "The quick brown fox jumps over the lazy dog near the quiet river bank every single morning before breakfast"
+
+
+def rows() -> list[tuple]:
+    """doc_id, text, lang, source and columns whose names operators use themselves."""
+    texts = [
+        None,
+        "",
+        " \t\r\n\x0b\x0c ",
+        BASE,
+        BASE.replace(" ", "  \n"),
+        BASE + " ",
+        BASE.upper(),
+        BASE + " and then some",
+        LONG,
+        LONG + " end",
+        "Élan vital, déjà vu: l'été dernier les enfants jouaient dans le jardin\nElle est partie hier soir.",
+        "Der schnelle braune Fuchs springt über den faulen Hund\nund schläft dann in der warmen Sonne.",
+        "!!! ??? ...",
+        "12345 67890",
+        "<|endoftext|> don't <|startoftext|>\x1cstop\x85now then  \n x",
+        "a\n\n  b \n\tc",
+        "one line\nOne  line!\none line\n\n",
+    ]
+    out = [(i, t, "fr" if i == 10 else "de" if i == 11 else "en", f"s{i % 3}") for i, t in enumerate(texts)]
+    out += [(100 + i, f"{BASE} number {i}", "en", "s0") for i in range(20)]
+    out += [(3, BASE, "en", "s0"), (3, BASE, "en", "s0"), (50, BASE, None, None), (None, BASE, "en", None)]
+    out += [(None, None, None, None), (51, "Solo text here", None, "")]
+    return [(*r, 1, "x", 2.0, "y", 5, 6, "z") for r in out]
+
+
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, size long, run string, p double, digest string, fp int,"
+    " copies int, __row string"
+)
+
+
+@pytest.fixture(scope="session")
+def edge_rows():
+    return rows()
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("edge") / "documents.parquet")
+    spark.createDataFrame(rows(), SCHEMA).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], SCHEMA)
