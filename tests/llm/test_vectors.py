@@ -1,0 +1,74 @@
+"""Cover-tree pairs against all cosines."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from lisan.llm import vectors
+
+SCHEMA = "vec_id long, embedding array<float>, label int, unit string, key int, n int, cell int, __row string"
+
+
+def table(seed: int) -> list[tuple]:
+    rng = np.random.default_rng(seed)
+    out = []
+    for c in range(12):
+        centre = rng.normal(size=8)
+        for _ in range(30):
+            out.append((centre + rng.normal(size=8) * rng.choice([0.02, 0.12, 0.4])).tolist())
+    base = rng.normal(size=8).tolist()
+    out += [base, base, [2 * x for x in base], [0.0] * 8, [], None, [float("nan")] * 8, [None, 1.0], [float("inf"), 1.0]]
+    out += [[1.0, 0.0], [1.0, 0.01], [-1.0, 0.0], [3.0]]
+    rows = [(k, v) for k, v in enumerate(out)] + [(5, out[5]), (None, out[7]), (None, None)]
+    return [(*r, 0, "x", 1, 2, 3, "y") for r in rows]
+
+
+@pytest.mark.parametrize(("tile", "threshold"), [(50, 0.95), (10_000, 0.95), (40, 0.7)])
+def test_links(spark, tile, threshold):
+    rows = table(tile)
+    got = vectors.near_vectors(spark.createDataFrame(rows, SCHEMA), threshold=threshold, tile=tile).collect()
+    units = []
+    for _, v, *_ in rows:
+        x = np.array(v, np.float32).astype(float) if v and None not in v else None
+        units.append(x / np.linalg.norm(x) if x is not None and np.isfinite(x).all() and x.any() else None)
+    links = [
+        [j for j, y in enumerate(units) if j != i and x is not None and y is not None and len(x) == len(y) and x @ y >= threshold]
+        for i, x in enumerate(units)
+    ]
+    name = list(range(len(rows)))
+    while True:
+        new = [min([name[i], *(name[j] for j in links[i])]) for i in range(len(rows))]
+        if new == name:
+            break
+        name = new
+    least = {}
+    for g, r in zip(name, rows):
+        if r[0] is not None:
+            least[g] = min(least.get(g, r[0]), r[0])
+    want = Counter()
+    for r, x, near, g in zip(rows, units, links, name):
+        component = r[0] if x is None else least.get(g)
+        want[r[0], len(near), component, r[0] == component] += 1
+    assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
+
+
+def test_tree_covers(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 5))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tree = vectors.CoverTree(x, 0.1)
+    assert sorted(np.concatenate(tree.points).tolist()) == list(range(500))
+    assert len(tree.levels) > 2
+    centres, radii, _ = tree.levels[-1]
+    for c, r, points in zip(centres, radii, tree.points):
+        assert np.linalg.norm(x[points] - x[c], axis=1).max() <= r + 1e-6
+    for (above, radius, _), (below, own, parent) in zip(tree.levels, tree.levels[1:]):
+        assert set(above) <= set(below)
+        assert (np.linalg.norm(x[below] - x[above[parent]], axis=1) <= radius[parent] + 1e-6).all()
+
+
+def test_empty(spark):
+    assert vectors.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
