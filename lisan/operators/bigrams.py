@@ -12,7 +12,7 @@ of unknown words; ``lookup_oov`` shows the replaced names where they are wanted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lisan import constants as C
@@ -159,8 +159,8 @@ def model_summary(grams: DataFrame, cut: Cut) -> DataFrame:
     by_total = by_context.groupBy("n").agg(
         F.sum("m").alias("m"), F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("contexts")
     )
-    train_contexts = F.sum(F.when(F.col("n") > 0, F.col("contexts")).otherwise(0)).over(Window.partitionBy())
-    sized = by_total.withColumn("seen", train_contexts).withColumn(
+    seen = by_total.agg(F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("contexts"))), F.lit(0)).alias("seen"))
+    sized = by_total.withColumn("seen", seen.scalar()).withColumn(
         "v", F.when(F.col("seen") > 0, F.col("seen") + 2).otherwise(1)
     )
     terms = sized.select("m", "v", (F.col("hits") - F.col("m") * F.log2(F.col("n") + F.col("v"))).alias("log2p"))

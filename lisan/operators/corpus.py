@@ -75,13 +75,18 @@ def previews(docs: DataFrame, chars: int = C.PREVIEW_CHARS, tail: str = C.PREVIE
 
 
 def first_articles(docs: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` documents in article order (top-k plan, no full sort)."""
-    return docs.orderBy("doc_id").limit(n)
+    """The first ``n`` documents in article order.
+
+    A top-k over the ids alone finds the bound; then only texts up to it are read.
+    """
+    last = docs.select("doc_id").orderBy("doc_id").limit(n).agg(F.max("doc_id")).first()[0]
+    return docs.where(F.col("doc_id") <= F.lit(last)).orderBy("doc_id").limit(n)
 
 
 def nth_article(docs: DataFrame, position: int) -> DataFrame:
     """The document at a 0-based position in article order; no row if there are fewer."""
-    return docs.orderBy("doc_id").offset(position).limit(1)
+    found = docs.select("doc_id").orderBy("doc_id").offset(position).limit(1).first()
+    return docs.where(F.col("doc_id") == F.lit(found[0] if found else None)).limit(1)
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from lisan import constants as C
 from lisan.functions import spans as S
 from lisan.functions import text as T
-from lisan.session import is_small
+from lisan.functions.arrays import let, positions
+from lisan.session import broadcast_if_small
+
 
 def gazetteer_table(spark: SparkSession, phrases: list[tuple[str, str]]) -> DataFrame:
     """A phrase list as a table ``(phrase, label)``."""
@@ -22,68 +24,50 @@ def gazetteer_table(spark: SparkSession, phrases: list[tuple[str, str]]) -> Data
 def gazetteer_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Non-overlapping gazetteer phrases of each sentence: leftmost, then longest.
 
-    Input ``(doc_id, sentence_index, sentence, ...)``, output one row per match with ``entity``,
-    ``label``, ``start``, ``end`` (offsets in the sentence), ``start_token``, ``end_token``.
+    Input ``(doc_id, sentence_index, sentence, ...)``; output one row per match: the keys, ``start_char`` if given,
+    ``entity``, ``label``, ``start``, ``end`` (offsets in the sentence), ``start_token``, ``end_token``.
 
-    Tokens are looked at in windows as wide as the longest phrase. A first join keeps only windows
-    that start like a phrase; the survivors are spelled out at every length and joined again. With a
-    small gazetteer both joins are broadcasts, so only real matches are shuffled, by sentence, and
-    offsets are worked out only for sentences with a match. With a large one the windows are shuffled
-    without their sentence, which is joined back to the matches.
+    Every run of tokens as long as some phrase becomes one narrow row with its place and is joined to the phrases.
+    Whatever the size of the list the plan is the same; only the join differs, and neither windows nor sentences
+    are ever shuffled.
     """
     keyed = gazetteer.select(T.wordpunct_tokenize(F.col("phrase")).alias("words"), "label").where(
         F.size("words") > 0
     )
-    phrases = keyed.select(
-        F.array_join("words", " ").alias("phrase"), F.get("words", F.lit(0)).alias("first"), "label"
-    ).distinct()
-    width = keyed.agg(F.max(F.size("words"))).first()[0] or 1
-    small = is_small(phrases)
-    hint = F.broadcast if small else lambda df: df
+    phrases = keyed.select(F.array_join("words", " ").alias("phrase"), F.size("words").alias("length"), "label")
+    phrases = phrases.distinct()
+    lengths = sorted(r[0] for r in phrases.select("length").distinct().collect())
     keys = ["doc_id", "sentence_index"]
-    carried = [c for c in sents.columns if c not in keys] if small else []
-
-    # slice() hands explode an expression: a named array would be filtered by size below the
-    # tokenizer, which then runs twice.
-    words = sents.select(*keys, *carried, T.wordpunct_tokenize(F.col("sentence")).alias("words"))
-    every = F.posexplode(F.slice("words", F.lit(1), F.size("words"))).alias("start_token", "first")
-    starts = words.select(*keys, *carried, "words", every).select(
-        *keys, *carried, "start_token", "first", F.slice("words", F.col("start_token") + 1, F.lit(width)).alias("window")
-    )
-    starts = starts.join(hint(phrases.select("first").distinct()), "first", "left_semi")
-    # Spelled out without a lambda, so that exploding and both joins stay in one generated loop and the
-    # carried sentence is copied for real matches only.
-    grams = F.array(
-        *[
-            F.struct(
-                F.when(F.size("window") >= k, F.array_join(F.slice("window", 1, k), " ")).alias("phrase"),
-                F.lit(k).alias("length"),
-            )
-            for k in range(1, width + 1)
-        ]
-    )
-    candidates = starts.select(*keys, *carried, F.col("start_token").alias("start"), F.inline(grams))
-    hits = candidates.join(hint(phrases.select("phrase", "label")), "phrase")
-    kept = hits.groupBy(keys).agg(
-        S.leftmost_longest(F.collect_list(F.struct("start", (-F.col("length")).alias("back"), "label"))).alias("kept"),
-        *[F.any_value(c).alias(c) for c in carried],
-    )
-    if not small:
-        kept = kept.join(sents, keys)
-    placed = kept.withColumn("spans", T.spans_of(F.col("sentence"), T.WORDPUNCT))
-    spans = F.transform(
-        F.col("kept"),
-        lambda k: F.struct(
-            k["label"].alias("label"),
-            F.get("spans", k["start"])["start"].alias("start"),
-            F.get("spans", k["start"] - k["back"] - 1)["end"].alias("end"),
-            k["start"].alias("start_token"),
-            (k["start"] - k["back"]).alias("end_token"),
-        ),
-    )
-    return placed.select(*sents.columns, F.inline(spans)).withColumn(
-        "entity", F.substring("sentence", F.col("start") + 1, F.col("end") - F.col("start"))
-    )
+    carried = [c for c in ("start_char",) if c in sents.columns]
+
+    def runs(ts: Column) -> Column:
+        def at(n: int, i: Column) -> Column:
+            start, end = F.get(ts, i)["start"], F.get(ts, i + (n - 1))["end"]
+            gram = F.array_join(F.transform(F.slice(ts, i + 1, F.lit(n)), lambda t: t["token"]), " ")
+            return F.struct(
+                i.alias("start_token"), F.lit(n).alias("length"), start.alias("start"), end.alias("end"),
+                gram.alias("phrase"), F.substring(F.col("sentence"), start + 1, end - start).alias("entity"),
+            )
+
+        def of_length(n: int) -> Column:
+            return F.transform(positions(F.slice(ts, F.lit(n), F.size(ts))), lambda i: at(n, i))
+
+        return F.concat(*[of_length(n) for n in lengths])
+
+    if not lengths:
+        lengths = [1]
+    spans = let(T.spans_of(F.col("sentence"), T.WORDPUNCT), runs)
+    candidates = sents.select(*keys, *carried, F.inline(spans))
+    hits = candidates.join(broadcast_if_small(phrases.select("phrase", "label")), "phrase")
+    hit = F.struct(
+        F.col("start_token").alias("start"), (-F.col("length")).alias("back"), "label",
+        F.col("start").alias("from"), F.col("end").alias("to"), "entity",
+    )
+    kept = hits.groupBy(*keys, *carried).agg(S.leftmost_longest(F.collect_list(hit)).alias("kept"))
+    return kept.select(*keys, *carried, F.inline("kept")).select(
+        *keys, *carried, "entity", "label", F.col("from").alias("start"), F.col("to").alias("end"),
+        F.col("start").alias("start_token"), (F.col("start") - F.col("back")).alias("end_token"),
+    )
 
 
 def extract_entities(located: DataFrame, gazetteer: DataFrame) -> DataFrame:
@@ -100,7 +84,8 @@ def extract_entities(located: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 def extract_entities_by_sentence(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Arabic records: entity, label, offsets in the sentence, and the sentence itself."""
-    found = gazetteer_matches(sents, gazetteer)
+    keys = ["doc_id", "sentence_index"]
+    found = gazetteer_matches(sents, gazetteer).join(sents.select(*keys, "sentence"), keys)
     return found.select(
         F.col("doc_id").alias("article_index"), "sentence_index", "entity", "label", "start", "end", "sentence"
     )
@@ -116,12 +101,12 @@ def extract_pattern_entities(docs: DataFrame, patterns: list[tuple[str, str]]) -
 
 def predict_partitions(
     docs: DataFrame,
-    factory: Callable[[], Callable[[str], list[dict]]],
+    factory: Callable[[], Callable[[list[str]], list[list[dict]]]],
     record: t.StructType,
 ) -> DataFrame:
     """Run a caller's model over ``(doc_id, text)``: ``factory`` builds it once per task.
 
-    The model maps one text to a list of dicts with the fields of ``record``.
+    The model maps a batch of texts to a list of dicts, with the fields of ``record``, for each text.
     """
     schema = t.StructType([t.StructField("article_index", t.LongType()), *record.fields])
     columns = schema.fieldNames()
@@ -129,11 +114,8 @@ def predict_partitions(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
         for batch in batches:
-            rows = [
-                {"article_index": doc_id, **entity}
-                for doc_id, text in zip(batch["doc_id"], batch["text"])
-                for entity in model(text)
-            ]
+            found = model(batch["text"].tolist())
+            rows = [{"article_index": i, **e} for i, es in zip(batch["doc_id"], found) for e in es]
             yield pd.DataFrame(rows, columns=columns)
 
     return docs.select("doc_id", "text").mapInPandas(run, schema)
@@ -151,48 +133,76 @@ def bio_to_spans(labelled: DataFrame) -> DataFrame:
     )
 
 
-def token_labels(tokens: DataFrame, spans: DataFrame) -> DataFrame:
-    """Label tokens by ``(doc_id, sentence_index, start_token, end_token, label)`` spans; later spans win.
+def _label_array(size: Column, spans: Column) -> Column:
+    """Labels of ``size`` tokens by sorted array<struct<start, end, label>>; where spans overlap the later wins."""
+    def in_turn(ss: Column) -> Column:
+        parts = F.transform(
+            ss,
+            lambda s, k: F.concat(
+                F.array_repeat(F.lit(C.OUTSIDE), s["start"] - F.coalesce(F.get(ss, k - 1)["end"], F.lit(0))),
+                F.array_repeat(s["label"], s["end"] - s["start"]),
+            ),
+        )
+        rest = F.array_repeat(F.lit(C.OUTSIDE), size - F.get(ss, F.size(ss) - 1)["end"])
+        return F.concat(F.flatten(parts), rest)
+
+    def by_token(ss: Column) -> Column:
+        over = lambda i: F.filter(ss, lambda s: (s["start"] <= i) & (i < s["end"]))
+        each = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.array_max(over(i))["label"])
+        return F.transform(each, lambda x: F.coalesce(x, F.lit(C.OUTSIDE)))
+
+    def label(ss: Column) -> Column:
+        ends = F.transform(ss, lambda s: s["end"])
+        apart = F.forall(F.transform(ss, lambda s, k: s["start"] >= F.coalesce(F.get(ends, k - 1), F.lit(0))), lambda x: x)
+        inside = F.get(ends, F.size(ends) - 1) <= size
+        return F.when(size == 0, F.array().cast("array<string>")).when(apart & inside, in_turn(ss)).otherwise(by_token(ss))
 
-    Spans are opened to one row per token, so this is an equi-join on a key that is unique per token.
+    return let(spans, lambda ss: F.when(ss.isNull(), F.array_repeat(F.lit(C.OUTSIDE), size)).otherwise(label(ss)))
+
+
+def labelled_sentences(tokenized: DataFrame, spans: DataFrame, column: str = "labels") -> DataFrame:
+    """Add the label array of each sentence's ``tokens`` by ``(doc_id, sentence_index, start_token, end_token, label)``.
+
+    Spans are folded per sentence, so the join has one row per sentence and side; tokens stay in their sentence.
     """
-    keys = ["doc_id", "sentence_index", "token_index"]
-    opened = (
-        spans.where("end_token > start_token")
-        .select(
-            "doc_id",
-            "sentence_index",
-            "start_token",
-            F.col("label").alias("span_label"),
-            F.explode(F.sequence(F.col("start_token"), F.col("end_token") - 1)).alias("token_index"),
-        )
-        .groupBy(keys)
-        .agg(F.max(F.struct("start_token", "span_label"))["span_label"].alias("label"))
-    )
-    return tokens.join(opened, keys, "left").withColumn("label", F.coalesce("label", F.lit(C.OUTSIDE)))
+    keys = ["doc_id", "sentence_index"]
+    span = F.struct(F.col("start_token").alias("start"), F.col("end_token").alias("end"), "label")
+    folded = spans.where("end_token > start_token").groupBy(keys).agg(F.sort_array(F.collect_list(span)).alias("ss"))
+    joined = tokenized.join(folded, keys, "left")
+    return joined.withColumn(column, _label_array(F.size("tokens"), F.col("ss"))).drop("ss")
 
 
-def token_labels_by_char(tokens: DataFrame, entities: DataFrame, width: int = 256) -> DataFrame:
-    """Label tokens lying inside an entity's character range of the same article; later entities win.
+def token_labels(tokenized: DataFrame, spans: DataFrame) -> DataFrame:
+    """``(doc_id, sentence_index, token_index, token, label)`` of sentences with ``tokens``; later spans win."""
+    paired = F.arrays_zip(F.col("tokens").alias("token"), F.col("labels").alias("label"))
+    return labelled_sentences(tokenized, spans).select(
+        "doc_id", "sentence_index", F.posexplode(paired).alias("token_index", "x")
+    ).select("doc_id", "sentence_index", "token_index", "x.token", "x.label")
 
-    Both sides get a bucket of ``width`` characters, and the entities touching a bucket are gathered
-    into one row; the bucket width bounds how many there are. So the range join becomes an equi-join
-    that gives each token one row: a long article spreads over many keys, and tokens are not
-    multiplied or grouped again.
+
+def token_labels_by_char(located: DataFrame, entities: DataFrame, pattern: str = T.WORDPUNCT) -> DataFrame:
+    """Label the tokens of located sentences that lie inside an entity's characters; later entities win.
+
+    Entities are folded per article and joined to its sentences; each sentence keeps those that touch it and tests
+    its tokens against them inside the row. Tokens are never shuffled.
     """
-    near = (
-        entities.select(
-            F.col("article_index").alias("doc_id"),
-            F.struct(F.col("start_char").alias("from_char"), F.col("end_char").alias("to_char"), "label").alias("e"),
-            F.explode(F.expr(f"sequence(start_char div {width}, end_char div {width})")).alias("bucket"),
-        )
-        .groupBy("doc_id", "bucket")
-        .agg(F.collect_set("e").alias("near"))
+    near = entities.groupBy(F.col("article_index").alias("doc_id")).agg(
+        F.collect_set(F.struct(F.col("start_char").alias("from"), F.col("end_char").alias("to"), "label")).alias("near")
     )
-    around = F.filter(
-        "near", lambda e: (e["from_char"] <= F.col("start_char")) & (F.col("end_char") <= e["to_char"])
-    )
-    placed = tokens.withColumn("bucket", F.expr(f"start_char div {width}"))
-    return placed.join(near, ["doc_id", "bucket"], "left").select(
-        *tokens.columns, F.coalesce(F.array_max(around)["label"], F.lit(C.OUTSIDE)).alias("label")
+    end = F.col("start_char") + F.length("sentence")
+    touching = F.filter("near", lambda e: (e["from"] < end) & (e["to"] > F.col("start_char")))
+    joined = located.join(near, "doc_id", "left").withColumn("near", touching)
+    spans = F.transform(
+        T.spans_of(F.col("sentence"), pattern),
+        lambda s: F.struct(
+            s["token"].alias("token"),
+            (F.col("start_char") + s["start"]).alias("start"),
+            (F.col("start_char") + s["end"]).alias("end"),
+        ),
     )
+    rows = joined.select("doc_id", "sentence_index", "near", F.posexplode(spans).alias("token_index", "s"))
+    around = F.filter("near", lambda e: (e["from"] <= F.col("s.start")) & (F.col("s.end") <= e["to"]))
+    return rows.select(
+        "doc_id", "sentence_index", "token_index", "s.token", F.col("s.start").alias("start_char"),
+        F.col("s.end").alias("end_char"), F.coalesce(F.array_max(around)["label"], F.lit(C.OUTSIDE)).alias("label"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lisan.data import tables
@@ -68,26 +68,31 @@ def train_lexicon(gold: DataFrame) -> DataFrame:
     return counts.groupBy("token").agg(best).select("token", "best.tag", (-F.col("best.rank")).alias("n"))
 
 
-def tag_with_lexicon(tokens: DataFrame, lexicon: DataFrame, tagger: Tagger = ENGLISH) -> DataFrame:
-    """Tag long-form tokens from a lexicon table ``(token, tag)`` of any size, shapes for the rest.
+def tag_with_lexicon(tokenized: DataFrame, lexicon: DataFrame, tagger: Tagger = ENGLISH) -> DataFrame:
+    """``tags`` for sentences with ``tokens``, from a lexicon table ``(token, tag)`` of any size, shapes for the rest.
 
     The lexicon is broadcast only if it is small. Beyond that it has one row per word, so the rows of a
-    frequent token are on the other side of the join and adaptive execution may split them.
+    frequent token are on the other side of the join and adaptive execution may split them. Tags are gathered
+    back per sentence, and the tagger's context rules run on the array.
     """
     words = lexicon.select(F.col("token").alias("lexicon_token"), F.col("tag").alias("lexicon_tag"))
     shape = G.shape_tag(F.col("token"), tagger.shapes, tagger.default)
-    return tokens.join(
+    keys = ["doc_id", "sentence_index"]
+    tokens = tokenized.select(*keys, F.posexplode("tokens").alias("token_index", "token"))
+    tagged = tokens.join(
         broadcast_if_small(words), F.lower("token") == F.col("lexicon_token"), "left"
-    ).select(*tokens.columns, F.coalesce("lexicon_tag", shape).alias("tag"))
+    ).select(*keys, F.struct("token_index", "token", F.coalesce("lexicon_tag", shape).alias("tag")).alias("t"))
+    gathered = tagged.groupBy(*keys).agg(F.sort_array(F.collect_list("t")).alias("ts"))
+    tags = G.apply_context_rules(F.col("ts.tag"), tagger.context)
+    return gathered.select(*keys, F.col("ts.token").alias("tokens"), tags.alias("tags"))
 
 
-def context_rules_by_window(tagged: DataFrame, rules: Sequence[G.ContextRule]) -> DataFrame:
-    """Context rules over long-form tags: one window pass per rule, all on one shuffle by sentence."""
-    order = Window.partitionBy("doc_id", "sentence_index").orderBy("token_index")
-    for rule in rules:
-        hit = G.rule_applies(rule, F.lag("tag").over(order), F.col("tag"), F.lead("tag").over(order))
-        tagged = tagged.withColumn("tag", F.when(hit, F.lit(rule[3])).otherwise(F.col("tag")))
-    return tagged
+def token_tags(tagged: DataFrame) -> DataFrame:
+    """Long form of tagged sentences: ``(doc_id, sentence_index, token_index, token, tag)``."""
+    paired = F.arrays_zip(F.col("tokens").alias("token"), F.col("tags").alias("tag"))
+    return tagged.select("doc_id", "sentence_index", F.posexplode(paired).alias("token_index", "t")).select(
+        "doc_id", "sentence_index", "token_index", "t.token", "t.tag"
+    )
 
 
 def noun_phrases(tagged: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as t
 
 from lisan import constants as C
 from lisan.data import tables
+from lisan.functions import spans as S
 from lisan.functions import text as T
 from lisan.operators import bigrams, corpus, entities, evaluate, generate, split, stats, tagging
 from lisan.plans import report
@@ -40,9 +41,13 @@ OTHER_GAZETTEER = [
 ]
 
 
+def _unspread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as they lie in their files: filters on ``doc_id`` reach the scan."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    return spread(docs, "doc_id")
+    return spread(_unspread(spark, sf_dir), "doc_id")
 
 
 def arabise(text: Column) -> Column:
@@ -91,7 +96,7 @@ def article_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.first_articles(documents(spark, sf_dir), 200)
+    return corpus.first_articles(_unspread(spark, sf_dir), 200)
 
 
 def en_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +113,7 @@ def ar_first_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sents = corpus.sentences(corpus.nth_article(documents(spark, sf_dir), 5))
+    sents = corpus.sentences(corpus.nth_article(_unspread(spark, sf_dir), 5))
     return corpus.tokens(sents.where("sentence_index = 0"))
 
 
@@ -215,8 +220,8 @@ def train_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def context_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     lexicon = written(train_lexicon(spark, sf_dir))
-    tagged = tagging.tag_with_lexicon(en_word_tokens(spark, sf_dir), lexicon)
-    return tagging.context_rules_by_window(tagged, tables.ENGLISH_CONTEXT)
+    words = corpus.tokenized(corpus.sentences(documents(spark, sf_dir)))
+    return tagging.token_tags(tagging.tag_with_lexicon(words, lexicon))
 
 
 def np_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -250,6 +255,7 @@ def bio_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sents.select(
         "doc_id",
         "sentence_index",
+        "tokens",
         F.transform("tokens", lambda w: F.coalesce(F.concat(opener(w), shape(w)), F.lit(C.OUTSIDE))).alias("labels"),
         F.transform("tokens", lambda w: 1.0 / F.length(w)).alias("scores"),
     )
@@ -261,9 +267,9 @@ def bio_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = entities.bio_to_spans(bio_labelled(spark, sf_dir))
-    words = corpus.tokenized(corpus.sentences(documents(spark, sf_dir)), T.wordpunct_tokenize)
-    named = spans.join(words, ["doc_id", "sentence_index"]).select(
+    labelled = bio_labelled(spark, sf_dir)
+    spans = labelled.select("doc_id", "sentence_index", "tokens", F.inline(S.bio_spans(F.col("labels"), F.col("scores"))))
+    named = spans.select(
         "doc_id",
         "sentence_index",
         "start",
@@ -274,13 +280,16 @@ def entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.entity_preview(named).drop("score")
 
 
-def pattern_model(label: str, pattern: str) -> Callable[[], Callable[[str], list[dict]]]:
-    """A stand-in for a trained model: the factory compiles a pattern, the model finds its matches."""
-    def factory() -> Callable[[str], list[dict]]:
+def pattern_model(label: str, pattern: str) -> Callable[[], Callable[[list[str]], list[list[dict]]]]:
+    """A stand-in for a trained model: the factory compiles a pattern, the model finds its matches in a batch."""
+    def factory() -> Callable[[list[str]], list[list[dict]]]:
         found = re.compile(pattern)
-        return lambda text: [
-            {"text": m.group(), "label": label, "start_char": m.start(), "end_char": m.end()}
-            for m in found.finditer(text)
+        return lambda texts: [
+            [
+                {"text": m.group(), "label": label, "start_char": m.start(), "end_char": m.end()}
+                for m in found.finditer(text)
+            ]
+            for text in texts
         ]
 
     return factory
@@ -324,19 +333,19 @@ def ar_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- evaluation --------------------------------------------------------------------
 
 
-def _labelled_tokens(spark: SparkSession, sf_dir: str, phrases: list[tuple[str, str]]) -> DataFrame:
-    sents = corpus.sentences(documents(spark, sf_dir))
-    spans = entities.gazetteer_matches(sents, entities.gazetteer_table(spark, phrases))
-    tokens = corpus.tokens(sents, T.wordpunct_tokenize)
-    return entities.token_labels(tokens, spans)
+def _phrase_spans(spark: SparkSession, sents: DataFrame, phrases: list[tuple[str, str]]) -> DataFrame:
+    return entities.gazetteer_matches(sents, entities.gazetteer_table(spark, phrases))
 
 
 def token_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _labelled_tokens(spark, sf_dir, tables.ENGLISH_GAZETTEER)
+    sents = corpus.sentences(documents(spark, sf_dir))
+    spans = _phrase_spans(spark, sents, tables.ENGLISH_GAZETTEER)
+    return entities.token_labels(corpus.tokenized(sents, T.wordpunct_tokenize), spans)
 
 
 def token_labels_by_char(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.token_labels_by_char(token_offsets(spark, sf_dir), pattern_entities(spark, sf_dir))
+    located = corpus.located_sentences(documents(spark, sf_dir))
+    return entities.token_labels_by_char(located, pattern_entities(spark, sf_dir))
 
 
 def _pos_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,9 +363,11 @@ def prf1_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prf1_ner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = _labelled_tokens(spark, sf_dir, tables.ENGLISH_GAZETTEER)
-    pred = _labelled_tokens(spark, sf_dir, OTHER_GAZETTEER)
-    return _rounded_scores(evaluate.prf1(evaluate.align(gold, pred, ["doc_id", "sentence_index", "token_index"])))
+    sents = corpus.sentences(documents(spark, sf_dir))
+    words = corpus.tokenized(sents, T.wordpunct_tokenize)
+    gold = entities.labelled_sentences(words, _phrase_spans(spark, sents, tables.ENGLISH_GAZETTEER), "gold")
+    both = entities.labelled_sentences(gold, _phrase_spans(spark, sents, OTHER_GAZETTEER), "pred")
+    return _rounded_scores(evaluate.prf1(both.select(F.inline(evaluate.align_arrays(F.col("gold"), F.col("pred"))))))
 
 
 def prf1_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# What a broadcast may hold at most.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16_000_000
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -47,11 +49,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows of at most ``size`` bytes in all; reads no further than that."""
+    row = F.octet_length(F.to_json(F.struct("*")))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(row), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= size
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` is small; else leave the join to Spark."""
-    return F.broadcast(df) if is_small(df, rows) else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring that ``df`` is small; else leave the join to Spark."""
+    return F.broadcast(df) if is_small(df, rows, size) else df

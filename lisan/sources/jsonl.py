@@ -20,7 +20,7 @@ def _contiguous(rows: DataFrame, groups: list[str], name: str) -> DataFrame:
     order = Window.orderBy(groups).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = written(sizes.select(*groups, (F.sum("n").over(order) - F.col("n") - F.col("first")).alias("shift")))
     others = [c for c in rows.columns if c not in (*groups, "row")]
-    return rows.join(broadcast_if_small(starts, rows=2_000_000), groups).select(
+    return rows.join(broadcast_if_small(starts), groups).select(
         (F.col("shift") + F.col("row")).alias(name), *others
     )
 
@@ -57,8 +57,10 @@ def read_jsonl(spark: SparkSession, path: str, lang: str) -> DataFrame:
     present = F.when(F.trim("value") == "", F.raise_error(F.lit("Blank line in JSON lines file."))).otherwise(
         record["text"]
     )
-    text = F.coalesce(present, F.raise_error(F.lit("JSON record without text.")))
-    return _numbered_lines(spark, path).select("doc_id", F.lit(lang).alias("lang"), text.alias("text"))
+    # A filter is not pruned, so a bad line also fails where only rows are counted.
+    good = F.when(present.isNull(), F.raise_error(F.lit("JSON record without text."))).otherwise(True)
+    lines = _numbered_lines(spark, path).where(good)
+    return lines.select("doc_id", F.lit(lang).alias("lang"), record["text"].alias("text"))
 
 
 def from_texts(spark: SparkSession, texts: list[str], lang: str) -> DataFrame:

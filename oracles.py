@@ -222,6 +222,9 @@ def tagged(tokens: str, lexicon, shapes, default: str, rules, source: str = "sen
     r0 AS (
       SELECT doc_id, sentence_index, token_index, token, coalesce(l.tag, {shape_case(shapes, default)}) AS tag
       FROM toks LEFT JOIN lexicon l ON l.word = lower(token))"""
+    if not rules:
+        return out + """,
+    tagged AS (SELECT *, tag AS base_tag FROM r0)"""
     return out + ruled(rules, "r0") + f""",
     tagged AS (SELECT r.*, r0.tag AS base_tag FROM r{len(rules)} r
       JOIN r0 USING (doc_id, sentence_index, token_index))"""

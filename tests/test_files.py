@@ -127,3 +127,11 @@ def test_whole_analysis(spark, tmp_path):
     assert read_back(out / "EN_NER_ALL")[1:] == [["0", "Fox News", "ORG", "18", "26"]]
     assert read_back(out / "NER_AR_entity_type_counts") == [["value", "n"], ["LOC", "2"], ["PER", "2"]]
     assert results["normalized_arabic"].where(F.col("text").contains("ة")).count() == 0
+
+
+def test_bad_lines_fail_when_counted(spark, tmp_path):
+    (tmp_path / "bad.jsonl").write_text('{"text": "a"}\n{"text": "b"\n\n{"id": 3}\n')
+    with pytest.raises(Exception):
+        read_jsonl(spark, str(tmp_path / "bad.jsonl"), "en").count()
+    (tmp_path / "good.jsonl").write_text('{"text": "a"}\n{"text": ""}\n')
+    assert read_jsonl(spark, str(tmp_path / "good.jsonl"), "en").count() == 2

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from lisan import session
 from lisan.operators import corpus, split
+from lisan.plans.queries import QUERIES
 
 PYTHON_MODEL = {"model_entities"}
 # Results made row by row: nothing but the spread of a one-split input may be shuffled.
@@ -24,7 +25,7 @@ def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_plan(spark, sf_dir, name):
     text = plan(entry.queries()[name](spark, sf_dir))
     assert ("PythonUDF" in text or "InPandas" in text or "EvalPython" in text) == (name in PYTHON_MODEL)

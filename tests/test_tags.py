@@ -62,9 +62,7 @@ def test_table_tagging_equals_array_tagging(spark, monkeypatch, small):
     sents = corpus.sentences(from_texts(spark, ["The dogs will bark. To boldly go!", "She wanted a painted door"], "en"))
     words = [(w, tag) for tag, ws in tables.ENGLISH_LEXICON.items() for w in ws]
     lexicon = spark.createDataFrame(words, "token string, tag string")
-    rows = tagging.context_rules_by_window(
-        tagging.tag_with_lexicon(corpus.tokens(sents), lexicon), tables.ENGLISH_CONTEXT
-    )
+    rows = tagging.token_tags(tagging.tag_with_lexicon(corpus.tokenized(sents), lexicon))
     table = tagging.pos_table(sents)
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, table.collect()))
 
