@@ -15,7 +15,9 @@ from lisan.functions import spans as S
 from lisan.functions import text as T
 from lisan.operators import bigrams, corpus, entities, evaluate, generate, split, stats, tagging
 from lisan.plans import report
-from lisan.session import spread, written
+from lisan.session import scratch_path, spread, written
+from lisan.sources.files import write_csv
+from lisan.sources.jsonl import read_jsonl, with_doc_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -420,6 +422,82 @@ def summary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- sources, result files and the whole analysis ----------------------------------------
+
+
+def _json_lines(docs: DataFrame, lang: str) -> DataFrame:
+    """The corpus written as JSON lines in article order and read back."""
+    spark = docs.sparkSession
+    path = scratch_path(spark)
+    docs.orderBy("doc_id").select("text").write.json(path)
+    return read_jsonl(spark, path, lang)
+
+
+def _csv(df: DataFrame, bom: bool = False) -> DataFrame:
+    """The table written as CSV and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    write_csv(df, path, bom=bom)
+    reader = spark.read.schema(df.schema).option("header", True).option("escape", '"').option("emptyValue", "")
+    return reader.option("multiLine", True).csv(path)
+
+
+def jsonl_english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_lines(documents(spark, sf_dir), "en")
+
+
+def jsonl_arabic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _json_lines(arabised_documents(spark, sf_dir), "ar")
+
+
+def doc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_doc_index(documents(spark, sf_dir).orderBy(F.desc("doc_id")).select("lang", "text"))
+
+
+def csv_en_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(en_pos_table(spark, sf_dir).drop("token_index"))
+
+
+def csv_ar_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(ar_pos_table(spark, sf_dir).select("token", "pos_tag"), bom=True)
+
+
+def csv_en_pos_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = corpus.sentences(corpus.nth_article(_unspread(spark, sf_dir), 0)).where("sentence_index = 0")
+    return _csv(tagging.pos_table(first).select("token", "pos"))
+
+
+def csv_ar_pos_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = corpus.nth_article(_unspread(spark, sf_dir), 0).withColumn("text", arabise(F.col("text")))
+    return _csv(tagging.pos_table(corpus.sentences(first), tagging.ARABIC, "pos_tag").select("token", "pos_tag"), bom=True)
+
+
+def csv_en_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(_english_entities(spark, sf_dir))
+
+
+def csv_ar_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(_arabic_entities(spark, sf_dir))
+
+
+def csv_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(top_entities(spark, sf_dir))
+
+
+def _analysis(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    gazetteer = _arabised_gazetteer(spark)
+    english, arabic = documents(spark, sf_dir), arabised_documents(spark, sf_dir)
+    return report.analyse_corpus(english, arabic, arabic_gazetteer=gazetteer, arabic_seed=arabised_word("the"))[name]
+
+
+def analysis_en_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded_scores(_analysis(spark, sf_dir, "EN_POS_scores"))
+
+
+def analysis_ar_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _analysis(spark, sf_dir, "AR_POS_confusion")
+
+
 QUERIES: dict[str, Query] = {
     "corpus_counts": corpus_counts,
     "article_preview": article_preview,
@@ -472,4 +550,16 @@ QUERIES: dict[str, Query] = {
     "confusion_self": confusion_self,
     "ar_confusion_self": ar_confusion_self,
     "summary_report": summary_report,
+    "jsonl_english": jsonl_english,
+    "jsonl_arabic": jsonl_arabic,
+    "doc_index": doc_index,
+    "csv_en_pos": csv_en_pos,
+    "csv_ar_pos": csv_ar_pos,
+    "csv_en_pos_sample": csv_en_pos_sample,
+    "csv_ar_pos_sample": csv_ar_pos_sample,
+    "csv_en_entities": csv_en_entities,
+    "csv_ar_entities": csv_ar_entities,
+    "csv_top_entities": csv_top_entities,
+    "analysis_en_scores": analysis_en_scores,
+    "analysis_ar_confusion": analysis_ar_confusion,
 }

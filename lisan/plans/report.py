@@ -134,6 +134,9 @@ def analyse_corpus(
     arabic_pos = tagging.pos_table(
         corpus.sentences(arabic), tagging.ARABIC, "pos_tag"
     )
+    first_arabic = tagging.pos_table(
+        corpus.sentences(corpus.nth_article(arabic, 0)), tagging.ARABIC, "pos_tag"
+    )
     english_entities = written(entities.extract_entities(english_sents, english_gazetteer))
     arabic_entities = written(entities.extract_entities_by_sentence(arabic_sents, arabic_gazetteer))
     english_model = bigrams.model_summary(english_counts, english_cut)
@@ -144,6 +147,12 @@ def analyse_corpus(
             tagged.select(F.inline(evaluate.align_arrays(F.col("tags"), F.col("base_tags"))))
         )
     )
+    arabic_tags = tagging.tagged_sentences(corpus.sentences(arabic), tagging.ARABIC)
+    arabic_pairs = written(
+        evaluate.confusion_counts(
+            arabic_tags.select(F.inline(evaluate.align_arrays(F.col("tags"), F.col("base_tags"))))
+        )
+    )
     results = {
         "normalized_arabic": corpus.normalize_corpus(arabic),
         "english_model": english_model,
@@ -153,9 +162,11 @@ def analyse_corpus(
         "EN_POS_sample": first_tagged.select(
             F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("tags").alias("pos")))
         ),
+        "AR_POS_sample": first_arabic.select("token", "pos_tag"),
         "EN_noun_phrases": tagging.noun_phrases(tagged),
         "EN_POS_confusion": evaluate.confusion_matrix(pairs),
         "EN_POS_scores": evaluate.prf1(pairs),
+        "AR_POS_confusion": evaluate.confusion_matrix(arabic_pairs),
         "EN_NER_ALL": english_entities,
         "AR_NER_ALL": arabic_entities,
         "NER_EN_entity_type_counts": stats.entity_type_counts(english_entities),
@@ -179,7 +190,7 @@ def analyse_corpus(
             if name == "summary":
                 write_lines(frame, f"{output}/summary")
             elif name != "normalized_arabic":
-                write_csv(frame, f"{output}/{name}", bom=name == "AR_POS_ALL")
+                write_csv(frame, f"{output}/{name}", bom=name in ("AR_POS_ALL", "AR_POS_sample"))
             else:
                 frame.write.parquet(f"{output}/{name}")
     return results

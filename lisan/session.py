@@ -37,6 +37,11 @@ def scratch_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new place in the scratch folder."""
+    return f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the scratch folder and read it back.
 
@@ -44,7 +49,7 @@ def written(df: DataFrame) -> DataFrame:
     and keeps column pruning for the readers.
     """
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

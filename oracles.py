@@ -527,4 +527,23 @@ ORACLES: dict[str, str] = {
     "confusion_self": f"WITH {ENGLISH_TAGS}, {confusion('tag', 'tag', 'tagged')} SELECT gold, pred, n FROM matrix",
     "ar_confusion_self": f"WITH {ARABIC_TAGS}, {confusion('tag', 'tag', 'tagged')} SELECT gold, pred, n FROM matrix",
     "summary_report": summary(),
+    "jsonl_english": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id, 'en' AS lang, text FROM documents",
+    "jsonl_arabic": f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS doc_id, 'ar' AS lang, {ARABISED} AS text
+      FROM documents""",
+    "doc_index": "SELECT row_number() OVER (ORDER BY doc_id DESC) - 1 AS doc_id, lang, text FROM documents",
+    "csv_en_pos": f"""WITH {ENGLISH_TAGS}
+      SELECT doc_id AS article_index, sentence_index, token, tag AS pos FROM tagged""",
+    "csv_ar_pos": f"WITH {ARABIC_TAGS} SELECT token, tag AS pos_tag FROM tagged",
+    "csv_en_pos_sample": f"""WITH {ENGLISH_TAGS}
+      SELECT token, tag AS pos FROM tagged WHERE sentence_index = 0 AND doc_id = (SELECT min(doc_id) FROM documents)""",
+    "csv_ar_pos_sample": f"""WITH {ARABIC_TAGS}
+      SELECT token, tag AS pos_tag FROM tagged WHERE doc_id = (SELECT min(doc_id) FROM documents)""",
+    "csv_en_entities": f"""WITH {ENGLISH_FOUND}
+      SELECT doc_id AS article_index, entity AS text, label, base + s AS start_char, base + e AS end_char FROM found""",
+    "csv_ar_entities": f"""WITH {ARABIC_FOUND}
+      SELECT doc_id AS article_index, sentence_index, entity, label, s AS start, e AS "end", sentence FROM found""",
+    "csv_top_entities": f"WITH {ENGLISH_FOUND} {top('entity', 'found', 20)}",
+    "analysis_en_scores": f"""WITH {ENGLISH_TAGS}
+      {prf1('(SELECT tag AS gold, base_tag AS pred FROM tagged)')}""",
+    "analysis_ar_confusion": f"WITH {ARABIC_TAGS}, {confusion('tag', 'base_tag', 'tagged')} SELECT gold, pred, n FROM matrix",
 }
