@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lisan import constants as C
 from lisan.operators.split import Cut
+from lisan.session import written
 
 
 def pad_sentence(tokens: Column) -> Column:
@@ -144,8 +145,8 @@ def model_summary(grams: DataFrame, cut: Cut) -> DataFrame:
 
     Per context, the mean of log2 P splits into sum(m * log2(n + 1)) - M * log2(N + v), with N and M
     the context's train and test totals. Contexts are then folded by N: distinct values of N number at
-    most sqrt(2 * training tokens), some millions even for 10^13 tokens, so the last step over them
-    (which knows v) is bounded. v counts the training contexts, plus the end symbol, plus one.
+    most sqrt(2 * training tokens), some millions even for 10^13 tokens. That short table is written, so the
+    text is read once although v is needed before the sum. v counts the training contexts, plus the end symbol, plus one.
     """
     by_context = (
         grams.where("context IS NOT NULL")
@@ -156,8 +157,10 @@ def model_summary(grams: DataFrame, cut: Cut) -> DataFrame:
             F.sum(F.when(F.col("m") > 0, F.col("m") * F.log2(F.col("n") + 1)).otherwise(0.0)).alias("hits"),
         )
     )
-    by_total = by_context.groupBy("n").agg(
-        F.sum("m").alias("m"), F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("contexts")
+    by_total = written(
+        by_context.groupBy("n").agg(
+            F.sum("m").alias("m"), F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("contexts")
+        )
     )
     seen = by_total.agg(F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("contexts"))), F.lit(0)).alias("seen"))
     sized = by_total.withColumn("seen", seen.scalar()).withColumn(
