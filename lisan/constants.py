@@ -9,7 +9,20 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-ABBREVIATIONS = ["Mr", "Mrs", "Ms", "Dr", "Prof", "St", "Jr", "Sr", "Gen", "Sen", "Rep", "Gov", "vs", "etc", "e.g", "i.e"]
+# Abbreviations that never end a sentence: something belongs to them.
+ABBREVIATIONS = [
+    "Mr", "Mrs", "Ms", "Messrs", "Dr", "Prof", "St", "Gen", "Sen", "Rep", "Gov", "Capt", "Col", "Lt", "Sgt", "Maj",
+    "Cmdr", "Adm", "Rev", "Hon", "Pres", "vs", "cf", "viz",
+]
+# Abbreviations that do not end a sentence before a lower-case word or a number.
+OPEN_ABBREVIATIONS = [
+    "Jan", "Feb", "Mar", "Apr", "Jun", "Jul", "Aug", "Sep", "Sept", "Oct", "Nov", "Dec", "Mon", "Tue", "Wed", "Thu",
+    "Fri", "Sat", "Sun", "No", "Nos", "Vol", "Fig", "Figs", "Eq", "Sec", "Ch", "pp", "p", "approx", "est", "ca", "al",
+    "etc", "Inc", "Ltd", "Co", "Corp", "Bros", "Jr", "Sr", "dept", "Ave", "Blvd", "Rd", "Mt", "ft", "lb", "oz", "hr",
+    "min", "max",
+]
+# Closing quotes and brackets that may follow the sign that ends a sentence.
+CLOSERS = "\"')\\]}”’»"
 
 # Arabic sentence ends; the ASCII question mark does not end one.
 ARABIC_SENTENCE_END = "[.!؟\n]+"

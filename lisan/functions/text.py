@@ -18,11 +18,15 @@ SIMPLE_WORD = rf"[\p{{L}}\p{{N}}\p{{M}}_]+|[^\p{{L}}\p{{N}}\p{{M}}_{SPACE_CLASS}
 # The ASCII range first: most characters are settled by it.
 NON_SPACE = rf"[!-~[^{SPACE_CLASS}]]+"
 
-# The blanks between two sentences: after . ! or ?, unless that is the full stop of an abbreviation.
+# The blanks between two sentences: after . ! or ? and what closes with it. The full stop of a title, an initial or
+# an acronym ends no sentence; that of another abbreviation none before a lower-case word or a number.
+_WORD_START = r"(?<![\p{L}\p{N}_])"
+_NEVER = r"|".join([*C.ABBREVIATIONS, r"\p{Lu}", r"(?:\p{L}\.){1,4}\p{L}"])
 SENTENCE_GAP = (
-    r"(?<=[.!?])(?<!(?<![\p{L}\p{N}_])(?:"
-    + "|".join(a.replace(".", r"\.") for a in C.ABBREVIATIONS)
-    + rf")\.)[{SPACE_CLASS}]+"
+    rf"(?<=[.!?][{C.CLOSERS}]{{0,3}})"
+    rf"(?<!{_WORD_START}(?:{_NEVER})\.[{C.CLOSERS}]{{0,3}})"
+    rf"(?<!{_WORD_START}(?:{'|'.join(C.OPEN_ABBREVIATIONS)})\.(?=[{SPACE_CLASS}]{{1,9}}[\p{{Ll}}\p{{N}}]))"
+    rf"[{SPACE_CLASS}]+"
 )
 
 
@@ -41,7 +45,7 @@ def _non_blank(pieces: Column) -> Column:
 
 
 def split_sentences(text: Column) -> Column:
-    """Sentences of a text, ending at . ! or ? followed by white space."""
+    """Sentences of a text, ending at . ! or ? and closing quotes or brackets, followed by white space."""
     return _non_blank(F.split(text, SENTENCE_GAP, -1))
 
 
@@ -138,7 +142,9 @@ def _open_quotes(s: Column) -> Column:
 
 def _contractions(s: Column) -> Column:
     s = F.regexp_replace(s, r"'(?<=[^' ]')([sSmMdD]?) ", " '$1 ")
-    return F.regexp_replace(s, r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 ")
+    s = F.regexp_replace(s, r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 ")
+    s = F.regexp_replace(s, r"(?i)(?<=^| )('t)(is|was)(?![A-Za-z0-9_])", "$1 $2")
+    return F.regexp_replace(s, r"(?i)(?<![A-Za-z0-9_])(d)('ye)(?![A-Za-z0-9_])", "$1 $2")
 
 
 def word_tokenize(sentence: Column) -> Column:
@@ -148,7 +154,8 @@ def word_tokenize(sentence: Column) -> Column:
     than consuming the character before it.
     """
     s = _where_contains(sentence, '"', _open_quotes)
-    s = F.replace(s, F.lit("..."), F.lit(" ... "))
+    s = F.regexp_replace(s, r"\.{2,}", " $0 ")
+    s = F.regexp_replace(s, "[«“‘„»”’]", " $0 ")
     s = F.regexp_replace(s, r"([:,])([^0-9])", " $1 $2")
     s = F.regexp_replace(s, r"[:,]\z", " $0 ")
     s = F.regexp_replace(s, r"""\.(?<=[^.]\.)([\])}>"']*)\s*\z""", " .$1 ")
@@ -157,6 +164,7 @@ def word_tokenize(sentence: Column) -> Column:
     s = F.replace(s, F.lit('"'), F.lit(" '' "))
     s = F.concat(s, F.lit(" "))
     s = _where_contains(s, "'", _contractions)
+    s = F.regexp_replace(s, r"(?i)me(?![A-Za-z0-9_])(?<=(?<![A-Za-z0-9_])(?:gim|lem)me)", " $0")
     s = F.regexp_replace(s, r"not(?![A-Za-z0-9_])(?<=(?<![A-Za-z0-9_])[Cc]annot)", " not ")
     s = F.regexp_replace(s, r"[nt]a(?![A-Za-z0-9_])(?<=(?<![A-Za-z0-9_])(?:[Gg]on|[Gg]ot|[Ww]an)[nt]a)", " $0 ")
     return F.regexp_extract_all(s, F.lit(NON_SPACE), F.lit(0))

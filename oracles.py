@@ -32,9 +32,14 @@ MARKS = (
 
 def sents(text: str = "text", name: str = "sents") -> str:
     """CTEs ending in ``sents(doc_id, sentence_index, sentence, start_char)``."""
-    abbreviations = "|".join(a.replace(".", r"\.") for a in C.ABBREVIATIONS)
-    masked = rf"regexp_replace({text}, '(^|[^\p{{L}}\p{{N}}_])({abbreviations})\.', '\1\2' || chr(2), 'g')"
-    marked = rf"regexp_replace({masked}, '([.!?])([{SPACE}]+)', '\1' || chr(1) || '\2', 'g')"
+    before, closers = r"(^|[^\p{L}\p{N}_])", C.CLOSERS.replace("'", "''")
+    later = "|".join(C.OPEN_ABBREVIATIONS)
+    masked = text
+    for word in (r"(?:\p{L}\.){1,4}\p{L}", r"\p{Lu}", "|".join(C.ABBREVIATIONS)):
+        masked = rf"regexp_replace({masked}, '{before}({word})\.', '\1\2' || chr(2), 'g')"
+    for _ in range(2):  # a match takes the first letter of the next word along
+        masked = rf"regexp_replace({masked}, '{before}({later})\.([{SPACE}]{{1,9}}[\p{{Ll}}\p{{N}}])', '\1\2' || chr(2) || '\3', 'g')"
+    marked = rf"regexp_replace({masked}, '([.!?][{closers}]{{0,3}})([{SPACE}]+)', '\1' || chr(1) || '\2', 'g')"
     return located(f"string_split({marked}, chr(1))", name, fix=lambda x: f"replace({x}, chr(2), '.')")
 
 
@@ -70,7 +75,8 @@ def treebank(s: str) -> str:
     rules = [
         ('^"', "`` "),
         (r'([ (\[{<])"', r"\1 `` "),
-        (r"\.\.\.", " ... "),
+        (r"\.{2,}", r" \0 "),
+        ("[«“‘„»”’]", r" \0 "),
         (r"[;@#$%&]", r" \0 "),
         (r"([:,])([^0-9])", r" \1 \2"),
         (r"([:,])$", r" \1 "),
@@ -82,6 +88,9 @@ def treebank(s: str) -> str:
         (r"$", " "),
         (r"([^' ])('[sSmMdD]|') ", r"\1 \2 "),
         (r"([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", r"\1 \2 "),
+        (r"(?i)(^| )('t)(is|was)\b", r"\1\2 \3"),
+        (r"(?i)\b(d)('ye)\b", r"\1 \2"),
+        (r"(?i)\b(gim|lem)(me)\b", r"\1 \2"),
         (r"\b([Cc]an)(not)\b", r"\1 \2 "),
         (r"\b([Gg]on|[Gg]ot|[Ww]an)(na|ta)\b", r"\1 \2 "),
     ]

@@ -43,6 +43,33 @@ def test_sentences(value):
     assert value(T.split_sentences, " \n ") == []
 
 
+def test_sentence_ends(value):
+    cases = {
+        "J. K. Rowling wrote it. It sold.": ["J. K. Rowling wrote it.", "It sold."],
+        "The U.S. Army came. It left.": ["The U.S. Army came.", "It left."],
+        "On Jan. 5 we met approx. 5 men. Then we left.": ["On Jan. 5 we met approx. 5 men.", "Then we left."],
+        'He said "Go home." Then he left.': ['He said "Go home."', "Then he left."],
+        "(It rains now.) Yes. Go": ["(It rains now.)", "Yes.", "Go"],
+        "They sold Acme Inc. The buyer paid.": ["They sold Acme Inc.", "The buyer paid."],
+        "It cost 5 lb. of tea at Acme Co. in May.": ["It cost 5 lb. of tea at Acme Co. in May."],
+        "“Really?” Yes!’ No": ["“Really?”", "Yes!’", "No"],
+    }
+    for text, expected in cases.items():
+        assert value(T.split_sentences, text) == expected
+
+
+def test_newer_word_rules(value):
+    cases = {
+        "“Hello” she said": "“ Hello ” she said",
+        "wait.. what....": "wait .. what ....",
+        "gimme that, lemme go": "gim me that , lem me go",
+        "'tis true, 'twas d'ye see": "'t is true , 't was d 'ye see",
+        "home time meme": "home time meme",
+    }
+    for text, expected in cases.items():
+        assert value(T.word_tokenize, text) == expected.split()
+
+
 def test_sentence_offsets(spark):
     text = "  One two.  Three!\n\nFour \x01 five? Six "
     docs = from_texts(spark, [text], "en")
