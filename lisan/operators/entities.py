@@ -99,6 +99,25 @@ def extract_pattern_entities(docs: DataFrame, patterns: list[tuple[str, str]]) -
     )
 
 
+def merge_entities(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """One list per article without overlaps from several ``(article_index, text, label, start_char, end_char)``.
+
+    The leftmost entity wins, then the longest, then the label first in order; each article's entities meet in one
+    row, never its text.
+    """
+    every = first
+    for other in others:
+        every = every.unionByName(other)
+    span = F.struct(
+        F.col("start_char").alias("start"), (F.col("start_char") - F.col("end_char")).alias("back"), "label", "text"
+    )
+    kept = every.groupBy("article_index").agg(S.leftmost_longest(F.collect_list(span)).alias("kept"))
+    return kept.select("article_index", F.inline("kept")).select(
+        "article_index", "text", "label", F.col("start").alias("start_char"),
+        (F.col("start") - F.col("back")).alias("end_char"),
+    )
+
+
 def predict_partitions(
     docs: DataFrame,
     factory: Callable[[], Callable[[list[str]], list[list[dict]]]],

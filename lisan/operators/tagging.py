@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lisan.data import tables
 from lisan.functions import tags as G
 from lisan.functions import text as T
+from lisan.operators.evaluate import align_arrays
 from lisan.session import broadcast_if_small
 
 
@@ -58,6 +59,15 @@ def pos_table(sents: DataFrame, tagger: Tagger = ENGLISH, tag_column: str = "pos
     )
 
 
+def tag_pairs(gold: DataFrame, tagger: Tagger = ENGLISH) -> DataFrame:
+    """``(gold, pred)`` rows of sentences given as ``tokens`` with their ``gold`` tags; fails on unequal lengths.
+
+    For ``evaluate.prf1`` and ``evaluate.confusion_matrix``. The tags are compared inside the row.
+    """
+    tags = G.apply_context_rules(tagger.base_tags(F.col("tokens")), tagger.context)
+    return gold.select(F.inline(align_arrays(F.col("gold"), tags)))
+
+
 def train_lexicon(gold: DataFrame) -> DataFrame:
     """``(token, tag, n)``: the most frequent tag per lower-case token, ties by tag.
 

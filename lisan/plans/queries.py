@@ -312,6 +312,18 @@ def model_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.predict_partitions(documents(spark, sf_dir), model, MODEL_RECORD)
 
 
+def all_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.merge_entities(_english_entities(spark, sf_dir), pattern_entities(spark, sf_dir))
+
+
+def all_entity_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.entity_type_counts(all_entities(spark, sf_dir))
+
+
+def all_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.top_values(all_entities(spark, sf_dir), "text")
+
+
 def entity_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.entity_type_counts(_english_entities(spark, sf_dir))
 
@@ -394,6 +406,14 @@ def confusion_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion_matrix(_pos_pairs(spark, sf_dir))
 
 
+def confusion_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hand-written rules against the tags of a lexicon learned from the whole corpus, as gold."""
+    lexicon = written(train_lexicon(spark, sf_dir))
+    words = corpus.tokenized(corpus.sentences(documents(spark, sf_dir)))
+    gold = tagging.tag_with_lexicon(words, lexicon).withColumnRenamed("tags", "gold")
+    return evaluate.confusion_matrix(tagging.tag_pairs(gold))
+
+
 def confusion_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     tags = _english_tagged(spark, sf_dir).select(F.explode("tags").alias("gold"))
     return evaluate.confusion_matrix(tags.withColumn("pred", F.col("gold")))
@@ -534,6 +554,9 @@ QUERIES: dict[str, Query] = {
     "bio_spans": bio_spans,
     "entity_lines": entity_lines,
     "model_entities": model_entities,
+    "all_entities": all_entities,
+    "all_entity_type_counts": all_entity_type_counts,
+    "all_top_entities": all_top_entities,
     "entity_type_counts": entity_type_counts,
     "entity_head": entity_head,
     "top_entities": top_entities,
@@ -547,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "label_codes": label_codes,
     "confusion_pos": confusion_pos,
     "confusion_encoded": confusion_encoded,
+    "confusion_learned": confusion_learned,
     "confusion_self": confusion_self,
     "ar_confusion_self": ar_confusion_self,
     "summary_report": summary_report,

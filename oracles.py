@@ -239,7 +239,7 @@ def tagged(tokens: str, lexicon, shapes, default: str, rules, source: str = "sen
       JOIN r0 USING (doc_id, sentence_index, token_index))"""
 
 
-def ruled(rules, first: str) -> str:
+def ruled(rules, first: str, mark: str = "r") -> str:
     out = ""
     for i, (previous, old, following, new) in enumerate(rules, 1):
         test = f"tag = {q(old)}"
@@ -247,9 +247,9 @@ def ruled(rules, first: str) -> str:
             test += f" AND lag(tag) OVER w = {q(previous)}"
         if following:
             test += f" AND lead(tag) OVER w = {q(following)}"
-        source = first if i == 1 else f"r{i - 1}"
+        source = first if i == 1 else f"{mark}{i - 1}"
         out += f""",
-    r{i} AS (
+    {mark}{i} AS (
       SELECT doc_id, sentence_index, token_index, token, CASE WHEN {test} THEN {q(new)} ELSE tag END AS tag
       FROM {source} WINDOW w AS (PARTITION BY doc_id, sentence_index ORDER BY token_index))"""
     return out
@@ -376,6 +376,29 @@ def prf1(pairs: str, by: str = "") -> str:
           count(*) FILTER (gold <> 'O' AND gold <> pred) AS fn FROM {pairs}{group}))"""
 
 
+LEARNED = f"""{ENGLISH_TAGS}, {TRAINED},
+    t0 AS (
+      SELECT k.doc_id, k.sentence_index, k.token_index, k.token,
+        coalesce(t.tag, {shape_case(tables.ENGLISH_SHAPES, tables.ENGLISH_DEFAULT, 'k.token')}) AS tag
+      FROM toks k LEFT JOIN trained t ON t.token = lower(k.token))
+    {ruled(tables.ENGLISH_CONTEXT, 't0', 't')},
+    learned AS (SELECT * FROM t{len(tables.ENGLISH_CONTEXT)})"""
+
+# Spans in order of preference, folded to those that begin after the last one kept.
+MERGED = f"""{ENGLISH_FOUND},
+    every AS (
+      SELECT doc_id, entity AS text, label, base + s AS start_char, base + e AS end_char FROM found
+      UNION ALL SELECT doc_id, text, label, start_char, end_char FROM ({PATTERN_FOUND})),
+    lists AS (
+      SELECT doc_id, list([struct_pack(s := start_char, e := end_char, label := label, text := text)]
+        ORDER BY start_char, end_char DESC, label) AS xs FROM every GROUP BY doc_id),
+    apart AS (
+      SELECT doc_id, unnest(list_reduce(xs, lambda kept, x: CASE WHEN x[1].s >= kept[len(kept)].e
+        THEN list_concat(kept, x) ELSE kept END)) AS x FROM lists),
+    merged AS (
+      SELECT doc_id AS article_index, x.text AS text, x.label AS label, x.s AS start_char, x.e AS end_char FROM apart)"""
+
+
 def confusion(gold: str, pred: str, source: str) -> str:
     return f"""names AS (SELECT {gold} AS label FROM {source} UNION SELECT {pred} FROM {source}),
     ranked AS (SELECT label, (row_number() OVER (ORDER BY label) - 1)::INT AS code FROM names),
@@ -477,14 +500,7 @@ ORACLES: dict[str, str] = {
     "ar_pos_table": f"""WITH {ARABIC_TAGS}
       SELECT doc_id AS article_index, sentence_index, token_index, token, tag AS pos_tag FROM tagged""",
     "train_lexicon": f"WITH {ENGLISH_TAGS}, {TRAINED} SELECT token, tag, n FROM trained",
-    "context_rules": f"""WITH {ENGLISH_TAGS}, {TRAINED},
-      t0 AS (
-        SELECT k.doc_id, k.sentence_index, k.token_index, k.token,
-          coalesce(t.tag, {shape_case(tables.ENGLISH_SHAPES, tables.ENGLISH_DEFAULT, 'k.token')}) AS tag
-        FROM toks k LEFT JOIN trained t ON t.token = lower(k.token))
-      {ruled(tables.ENGLISH_CONTEXT, 't0').replace('r1 AS', 't1 AS').replace('r2 AS', 't2 AS').replace('r3 AS', 't3 AS')
-       .replace('r4 AS', 't4 AS').replace('FROM r', 'FROM t')}
-      SELECT * FROM t{len(tables.ENGLISH_CONTEXT)}""",
+    "context_rules": f"WITH {LEARNED} SELECT * FROM learned",
     "np_chunks": f"""WITH {ENGLISH_TAGS}, {CHUNKS}
       SELECT doc_id, sentence_index, start_token, (start_token + length(p))::INT AS end_token,
         array_to_string(tokens[start_token + 1:start_token + length(p)], ' ') AS phrase
@@ -509,6 +525,9 @@ ORACLES: dict[str, str] = {
       printf('%s -> %s (score=%.4f)', entity, label, score) AS line FROM spans""",
     "model_entities": f"""SELECT doc_id AS article_index, text, label, start_char, end_char
       FROM ({PATTERN_FOUND}) WHERE label = 'EMAIL'""",
+    "all_entities": f"WITH {MERGED} SELECT article_index, text, label, start_char, end_char FROM merged",
+    "all_entity_type_counts": f"WITH {MERGED} {top('label', 'merged')}",
+    "all_top_entities": f"WITH {MERGED} {top('text', 'merged', 20)}",
     "entity_type_counts": f"WITH {ENGLISH_FOUND} {top('label', 'found')}",
     "top_entities": f"WITH {ENGLISH_FOUND} {top('entity', 'found', 20)}",
     "ar_entity_type_counts": f"WITH {ARABIC_FOUND} {top('label', 'found')}",
@@ -533,6 +552,10 @@ ORACLES: dict[str, str] = {
     "confusion_encoded": f"""WITH {ENGLISH_TAGS}, {confusion('tag', 'base_tag', 'tagged')}
       SELECT g.code AS gold_code, p.code AS pred_code, n FROM matrix
       JOIN ranked g ON g.label = gold JOIN ranked p ON p.label = pred WHERE n > 0""",
+    "confusion_learned": f"""WITH {LEARNED},
+      both_tags AS (SELECT l.doc_id, l.tag AS gold, t.tag AS pred
+        FROM learned l JOIN tagged t USING (doc_id, sentence_index, token_index)),
+      {confusion('gold', 'pred', 'both_tags')} SELECT gold, pred, n FROM matrix""",
     "confusion_self": f"WITH {ENGLISH_TAGS}, {confusion('tag', 'tag', 'tagged')} SELECT gold, pred, n FROM matrix",
     "ar_confusion_self": f"WITH {ARABIC_TAGS}, {confusion('tag', 'tag', 'tagged')} SELECT gold, pred, n FROM matrix",
     "summary_report": summary(),

@@ -198,3 +198,13 @@ def test_folded_pairs_score_the_same(spark):
     folded = evaluate.confusion_counts(rows)
     assert evaluate.prf1(rows).first() == evaluate.prf1(folded).first()
     assert sorted(evaluate.confusion_matrix(rows).collect()) == sorted(evaluate.confusion_matrix(folded).collect())
+
+
+def test_one_list_without_overlaps(spark):
+    docs = from_texts(spark, ["Pay $1234567 to x2024-01-31@mail.example at Fox News today.", "none"], "en")
+    phrases = entities.extract_entities(
+        corpus.located_sentences(docs), entities.gazetteer_table(spark, [("Fox News", "ORG"), ("News", "MISC")])
+    )
+    merged = entities.merge_entities(phrases, entities.extract_pattern_entities(docs, tables.ENTITY_PATTERNS))
+    rows = sorted((r.start_char, r.text, r.label) for r in merged.collect())
+    assert rows == [(4, "$1234567", "MONEY"), (16, "x2024-01-31@mail.example", "EMAIL"), (44, "Fox News", "ORG")]

@@ -73,3 +73,14 @@ def test_self_confusion_is_diagonal(spark):
     matrix = evaluate.confusion_matrix(tags.withColumn("pred", F.col("gold"))).collect()
     assert all((r.n > 0) == (r.gold == r.pred) for r in matrix)
     assert sum(r.n for r in matrix) == tags.count()
+
+
+def test_scores_against_given_gold(spark):
+    gold = spark.createDataFrame(
+        [(["The", "dogs", "bark", "."], ["DT", "NNS", "VBP", "."])], "tokens array<string>, gold array<string>"
+    )
+    pairs = tagging.tag_pairs(gold)
+    assert pairs.count() == 4
+    assert evaluate.prf1(pairs).first().tp >= 2
+    with pytest.raises(Exception, match="Gold and Pred must be same length"):
+        tagging.tag_pairs(gold.withColumn("gold", F.array(F.lit("DT")))).collect()
