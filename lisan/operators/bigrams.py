@@ -116,17 +116,21 @@ def laplace_score(n: Column, context_n: Column, v: Column) -> Column:
 def score_test_bigrams(grams: DataFrame) -> DataFrame:
     """Each distinct test bigram with its looked-up words, counts and smoothed probability.
 
-    ``grams`` is read four times here, so pass a written table. The joins are on words; the test side
-    has one row per distinct bigram, and a hot word's rows are split by adaptive execution because only
-    the other, unique side has to be copied.
+    ``grams`` is read twice here, so pass a written table. The totals of the contexts are written once and give
+    counts, known words and the vocabulary size: every training word but the end symbol opens a bigram. The joins
+    are on words; the test side has one row per distinct bigram, and a hot word's rows are split by adaptive
+    execution because only the other, unique side has to be copied.
     """
-    vocab = vocabulary(grams)
+    totals = written(context_counts(grams))
+    vocab = totals.select(F.col("context").alias("word")).unionByName(
+        totals.limit(1).select(F.lit(C.SENTENCE_END).alias("word"))
+    )
     size = vocabulary_size(vocab)
     pairs = grams.where("m > 0").select("context", "word", "m", "n")
-    contexts = context_counts(grams).select(F.col("context").alias("c"), F.col("n").alias("context_n"))
+    contexts = totals.select(F.col("context").alias("c"), F.col("n").alias("context_n"))
     pairs = pairs.join(contexts, F.col("context") == F.col("c"), "left").drop("c")
     pairs = lookup_oov(pairs, vocab, "word", "word_lookup")
-    # Every training word but the end symbol opens a bigram, and the end symbol opens no test bigram.
+    # The end symbol opens no test bigram.
     known = F.col("context_n").isNotNull()
     return pairs.select(
         "context",
