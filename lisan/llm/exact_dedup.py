@@ -88,9 +88,9 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fa
 def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     docs = stable(docs)
-    return keep_rows(docs, exact_groups(docs, doc_id, text).where("kept"))
+    return drop_rows(docs, exact_groups(docs, doc_id, text).where("NOT kept"))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose row id is in ``kept``."""
-    return whole_rows(docs).join(kept.select(ROW), ROW, "left_semi").select("__doc.*")
+def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose row id is not in ``dropped``, the smaller part: few of them let no text be shuffled."""
+    return whole_rows(docs).join(dropped.select(ROW), ROW, "left_anti").select("__doc.*")

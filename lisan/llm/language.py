@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ROW, held_out, stable, with_row_id, written
-from .exact_dedup import keep_rows
+from .exact_dedup import drop_rows
 
 UNKNOWN = "und"
 #: N-grams of 1 to LONGEST letters; the TOP most frequent make a profile.
@@ -156,4 +156,4 @@ def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
     """The documents whose language could be told, with all their columns; only texts without letters go."""
     docs = stable(docs)
     found = written(identify(docs, doc_id, text, lang))
-    return keep_rows(docs, found.where(F.col("lang_pred") != UNKNOWN))
+    return drop_rows(docs, found.where(F.col("lang_pred") == UNKNOWN))

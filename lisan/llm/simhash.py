@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ROW, components, forest, stable, with_row_id, written
-from .exact_dedup import keep_rows
+from .exact_dedup import drop_rows
 
 BITS = 64
 #: Fingerprints drawn by hash to estimate candidate counts. The estimate steers the plan, never the result.
@@ -292,4 +292,4 @@ def near_groups(
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies, with all its columns."""
     docs = stable(docs)
-    return keep_rows(docs, near_groups(docs, doc_id, text).where("kept"))
+    return drop_rows(docs, near_groups(docs, doc_id, text).where("NOT kept"))
