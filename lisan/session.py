@@ -42,7 +42,7 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as a table in the scratch folder and read it back.
 
     Used where several later steps need the same result: it cuts the lineage, survives lost executors
@@ -50,7 +50,7 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
