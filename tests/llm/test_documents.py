@@ -146,7 +146,8 @@ def test_line_groups(spark, edge_docs, edge_rows):
     norms = sorted({n for *_, n in spots if n})
     fps = []
     for n in norms:
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in n.split(" ")]
+        words = [w for w in n.split(" ") if len(w) > 3] or n.split(" ")
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
         fps.append(sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)))
     near = [
         (i, j)
@@ -169,6 +170,22 @@ def test_line_groups(spark, edge_docs, edge_rows):
     assert sum(r.kept for r in got) == len(members) + sum(1 for *_, n in spots if not n)
 
 
+def test_fingerprints_of_long_lines(spark):
+    rng = np.random.default_rng(2)
+    norms = [" ".join(f"word{x}" for x in rng.integers(0, 50, n)) for n in (1, 126, 127, 128, 300, 1000)]
+    rows = [(i, 0, n) for i, n in enumerate(norms)] + [(9, 0, norms[4])]
+    frame = spark.createDataFrame(rows, "r long, line_no int, norm string")
+    frame = frame.select(F.struct(F.lit(1).cast("long").alias("f"), "r").alias("__row"), "line_no", "norm", "norm")
+    frame = frame.toDF("__row", "line_no", "norm", "key")
+    whole = {r.key: r.fp for r in lines.fingerprints(frame).collect()}
+    got = {r.key: r.fp for r in lines.fingerprints(frame, chunk=100).collect()}
+    assert len(got) == 6 and whole == got
+    for n in norms:
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in n.split(" ")]
+        fp = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+        assert got[n] % (1 << 64) == fp
+
+
 def test_drop_lines(spark):
     docs = spark.createDataFrame([(1, "Same here\nmine", 7), (2, "same  HERE!\nyours\n", 8), (3, None, 9)], "doc_id long, text string, size int")
     got = {r.doc_id: (r.text, r.size) for r in lines.drop_lines(docs).collect()}
@@ -403,3 +420,61 @@ def test_empty_tables(no_docs):
     assert packing.pack(no_docs, BYTES).count() == 0
     assert mixing.mix(no_docs).count() == 0
     assert tokens.token_counts(no_docs, WORDS).count() == 0
+
+
+def test_pipeline_stages(spark, edge_docs, edge_rows, tmp_path):
+    import corpus_pipeline
+
+    docs, seen = edge_docs, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "unused")
+        path = str(tmp_path / name)
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        seen[name] = docs.collect()
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == edge_docs.columns
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language id", "exact dedup", "near dedup", "mixing", "packing"]
+
+    texts = [r[1] for r in edge_rows if any(c.isalpha() for c in r[1] or "")]
+    assert sorted(r.text for r in seen["language id"]) == sorted(texts)
+
+    bare = lambda t: "".join(c for c in t if c not in BLANKS)
+    longest = {}
+    for t in texts:
+        longest[bare(t)] = max(longest.get(bare(t), ""), t, key=len)
+    assert sorted(len(r.text) for r in seen["exact dedup"]) == sorted(map(len, longest.values()))
+    assert {bare(r.text) for r in seen["exact dedup"]} == set(longest)
+
+    left = seen["exact dedup"]
+    fps = [brute_fingerprint(r.text) for r in left]
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    group, best = union(len(fps), near), {}
+    for g, r in zip(group, left):
+        own = (r.doc_id is None, r.doc_id or 0)
+        best[g] = min(best.get(g, own), own)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in seen["near dedup"]) == sorted(best.values())
+
+    kept = spark.read.parquet(str(tmp_path / "near dedup"))
+    copies = Counter()
+    for r in mixing.mix(kept).collect():
+        copies[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in seen["mixing"]) == Counter({k: n for k, n in copies.items() if n})
+
+    tokenizer = Tokenizer.from_file(BYTES)
+    want = Counter()
+    for r in seen["mixing"]:
+        want[r.doc_id] += len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1
+    got = Counter()
+    for r in seen["packing"]:
+        got[r.doc_id] += r.length
+    assert got == want
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    folder = tmp_path / "none"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(str(folder / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(folder)).count() == 0
