@@ -48,12 +48,10 @@ def frequencies(rows: DataFrame, text: str = "text") -> DataFrame:
     """
     rows = rows.select(f"{ROW}.f", f"{ROW}.r", f"`{text}`")
 
-    def flush(f: int, base: int, at: list[int], words: list[bytes], lens: list[int]) -> Iterator[pa.RecordBatch]:
-        if not words:
+    def flush(f: int, base: int, ids: dict[bytes, int], found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if not ids:
             return
-        ids: dict[bytes, int] = defaultdict(count().__next__)
-        word = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-        key, n = np.unique(word * BLOCK_ROWS + np.repeat(at, lens), return_counts=True)
+        key, n = np.unique(np.concatenate(found), return_counts=True)
         times = -(-n // 65_535)
         key, n = np.repeat(key, times), np.repeat(n, times)
         n[:-1][key[:-1] == key[1:]] = 65_535
@@ -80,22 +78,19 @@ def frequencies(rows: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = base = None
-        at, words, lens, held = [], [], [], 0
+        ids, found, held = defaultdict(count().__next__), [], 0
         for batch in batches:
             for file, row, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if f != file or held >= BLOCK_BYTES or not 0 <= row - base < BLOCK_ROWS:
-                    if f is not None:
-                        yield from flush(f, base, at, words, lens)
-                    f, base, at, words, lens, held = file, row, [], [], [], 0
+                    yield from flush(f, base, ids, found)
+                    f, base, ids, found, held = file, row, defaultdict(count().__next__), [], 0
                 if text:
                     body = text.encode()
-                    new = body.split()
-                    words += new
-                    at.append(row - base)
-                    lens.append(len(new))
+                    words = body.split()
+                    word = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+                    found.append(word * BLOCK_ROWS + (row - base))
                     held += len(body)
-        if f is not None:
-            yield from flush(f, base, at, words, lens)
+        yield from flush(f, base, ids, found)
 
     return rows.mapInArrow(run, "word binary, f long, base long, salt int, entries binary")
 
