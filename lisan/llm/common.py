@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,6 +104,12 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, so that few texts at a time are Python objects."""
+    for at in range(0, len(batch), rows):
+        yield batch.slice(at, rows)
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the links a-b as few as keep what they connect: each node with the smallest of its component."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -130,6 +138,7 @@ __all__ = [
     "forest",
     "held_out",
     "scratch_folder",
+    "slices",
     "stable",
     "whole_rows",
     "with_row_id",

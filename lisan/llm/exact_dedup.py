@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lisan.session import broadcast_if_small
+
 from .common import BLANK, ROW, stable, whole_rows, with_row_id, written
 
 FAN_IN = 8
@@ -92,5 +94,9 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose row id is not in ``dropped``, the smaller part: few of them let no text be shuffled."""
-    return whole_rows(docs).join(dropped.select(ROW), ROW, "left_anti").select("__doc.*")
+    """The rows of ``docs`` whose row id is not in ``dropped``, the smaller part.
+
+    The dropped ids are written and measured: few are broadcast, and no text is shuffled; many are joined by a shuffle.
+    """
+    dropped = broadcast_if_small(written(dropped.select(ROW)))
+    return whole_rows(docs).join(dropped, ROW, "left_anti").select("__doc.*")

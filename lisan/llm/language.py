@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, held_out, stable, with_row_id, written
+from .common import ROW, held_out, slices, stable, with_row_id, written
 from .exact_dedup import drop_rows
 
 UNKNOWN = "und"
@@ -58,7 +58,7 @@ def train_profiles(docs: DataFrame, lang: str = "lang", text: str = "text", top:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2_048)):
             by: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 parts = by.setdefault(lang, [])
@@ -138,7 +138,7 @@ def identify(
     ).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             found = [profiles.predict(t) for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

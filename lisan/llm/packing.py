@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from re import compile as pattern
@@ -13,12 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, with_row_id, written
+from .common import ROW, slices, with_row_id, written
 
 CAPACITY = 2048
 SEPARATOR = 0
 #: Entries of a worker's memory of words already encoded; beyond it words are encoded anew.
-MEMORY = 1_000_000
+MEMORY = 300_000
+#: Fixed value: marks that end a word of letters and begin a new token.
+MARKS = ".,;:!?|*$&%#"
 #: Rows that one sort within a length is meant for.
 RANK_ROWS = 100_000
 
@@ -26,9 +29,9 @@ RANK_ROWS = 100_000
 class Encoder:
     """Whole texts to token ids, each distinct word encoded once.
 
-    A text is cut before every single blank that a character other than white space follows. The tokenizer's own
-    rules cut there too, so the ids of the pieces joined are the ids of the text. Texts with a special string of
-    the vocabulary are encoded in one go.
+    A text is cut before every single blank that a character other than white space follows, and a word of letters
+    before the marks at its end. The tokenizer's own rules cut there too, so the ids of the pieces joined are the
+    ids of the text. Texts with a special string of the vocabulary are encoded in one go.
     """
 
     def __init__(self, path: str):
@@ -40,31 +43,51 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = pattern(r" (?=\S)").split
-        self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        out = []
+        for at in range(0, len(texts), 4_096):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + 4_096], add_special_tokens=False)
+            out += [array("I", x.ids).tobytes() for x in found]
+        return out
+
+    def _encode_words(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words that a blank comes before."""
+        split = {}
+        for word in words:
+            stem = word.rstrip(MARKS)
+            split[word] = stem if stem.isalpha() else word
+        new = [s for s in dict.fromkeys(split.values()) if s not in self.stems]
+        ends = list({w[len(s) :] for w, s in split.items() if len(s) < len(w)})
+        found = dict(zip(new, self._ids([" " + s for s in new])))
+        ends = dict(zip(ends, self._ids(ends)))
+        ends[""] = b""
+        if len(self.stems) + len(found) <= MEMORY:
+            self.stems.update(found)
+        stems = self.stems
+        return {w: (found[s] if s in found else stems[s]) + ends[w[len(s) :]] for w, s in split.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        """The ids of each text as unsigned 32-bit numbers."""
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
         out: list = [None] * len(texts)
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
-        parts = {i: self.cut(t) for i, t in enumerate(texts) if out[i] is None}
-        first = list(dict.fromkeys(p[0] for p in parts.values()))
-        starts = dict(zip(first, self._ids(first)))
-        known = self.known
-        new = list({w for p in parts.values() for w in p[1:] if w not in known})
-        more = dict(zip(new, self._ids([" " + w for w in new])))
-        if len(known) + len(more) <= MEMORY:
-            known.update(more)
-            more = known
-        else:
-            more = {w: known[w] if w in known else more[w] for p in parts.values() for w in p[1:]}
+        parts = {i: t.split(" ") for i, t in enumerate(texts) if out[i] is None}
+        words = set().union(*parts.values())
+        odd = {w for w in words if not w or w[0].isspace()}  # white space that has to stay together
+        if odd:
+            for i, p in parts.items():
+                if not odd.isdisjoint(p):
+                    parts[i] = self.cut(texts[i])
+            words = set().union(*parts.values())
+        first = {i: p.pop(0) for i, p in parts.items()}
+        firsts = list(dict.fromkeys(first.values()))
+        starts = dict(zip(firsts, self._ids(firsts)))
+        ids = self._encode_words({w for w in words if w and not w[0].isspace()})
         for i, p in parts.items():
-            out[i] = starts[p[0]] + b"".join(map(more.__getitem__, p[1:]))
+            out[i] = starts[first[i]] + b"".join(map(ids.__getitem__, p))
         return out
 
 
@@ -92,8 +115,8 @@ def cut_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                yield cut(batch.slice(at, 512))
+            for part in slices(batch):
+                yield cut(part)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         doc, piece, start, length, crc, ids = [], [], [], [], [], []

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, components, forest, stable, with_row_id, written
+from .common import ROW, components, forest, slices, stable, with_row_id, written
 from .exact_dedup import drop_rows
 
 BITS = 64
@@ -52,7 +52,7 @@ def fingerprints(
     shape = rows.select(ROW, "doc_id", F.lit(0).cast("long").alias("fp"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             found = np.array([fingerprint(t, shingle, seed) for t in batch.column(2).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=[ROW, "doc_id", "fp"]
