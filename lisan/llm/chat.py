@@ -77,17 +77,11 @@ def reply_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     ]
     rounds = max(named.count(), 1).bit_length()
     while len(steps) <= rounds and not steps[-1].where("up IS NOT NULL").isEmpty():
-        a, b = steps[-1].alias("a"), steps[-1].alias("b")
-        steps.append(
-            written(
-                a.join(b, F.col("a.up") == F.col("b.id"), "left").select(
-                    "a.id",
-                    "b.up",
-                    (F.col("a.n") + F.coalesce("b.n", F.lit(0))).alias("n"),
-                    (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-                )
-            )
+        a, b = steps[-1].where("up IS NOT NULL").alias("a"), steps[-1].alias("b")
+        further = a.join(b, F.col("a.up") == F.col("b.id")).select(
+            "a.id", "b.up", (F.col("a.n") + F.col("b.n")).alias("n"), (F.col("a.total") + F.col("b.total")).alias("total")
         )
+        steps.append(written(steps[-1].where("up IS NULL").unionByName(further)))
     ends = steps[-1].where("up IS NULL").select("id", "n", (F.col("total") / F.col("n")).alias("path_score"))
     leaves = ends.join(steps[0].select(F.col("up").alias("id")), "id", "left_anti").join(
         named.select("id", "tree"), "id"
@@ -106,7 +100,7 @@ def reply_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
     spans = leaves.select(F.col("id").alias("path"), "id")
     for step in reversed(steps[:-1]):
         more = spans.join(step.where("up IS NOT NULL").select("id", "up"), "id").select("path", F.col("up").alias("id"))
-        spans = spans.unionByName(more)
+        spans = written(spans.unionByName(more))
     depth = ends.select("id", F.col("n").alias("at"))
     return (
         spans.join(depth, "id")
