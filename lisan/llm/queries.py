@@ -35,7 +35,7 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_groups(_table(spark, sf_dir, "documents")).drop(ROW)
+    return lines.line_groups(_table(spark, sf_dir, "documents"), wide=True).drop(ROW)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

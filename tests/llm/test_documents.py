@@ -186,6 +186,77 @@ def test_fingerprints_of_long_lines(spark):
         assert got[n] % (1 << 64) == fp
 
 
+def spots_of(rows):
+    return [
+        (r[0], k, normal_line(line))
+        for r in rows
+        if len(r[1] or "") < 10_000
+        for k, line in enumerate((r[1] or "").split("\n"))
+    ]
+
+
+def similar(a, b):
+    return edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
+
+
+def test_wide_groups_are_those_of_edit_similarity_alone(edge_docs, edge_rows):
+    docs = edge_docs.where(F.length(F.coalesce("text", F.lit(""))) < 10_000)
+    norms = sorted({n for *_, n in spots_of(edge_rows) if n})
+    group = union(len(norms), [(i, j) for i in range(len(norms)) for j in range(i) if similar(norms[i], norms[j])])
+    of = dict(zip(norms, group))
+    members = {}
+    for doc, k, n in spots_of(edge_rows):
+        if n:
+            members.setdefault(of[n], []).append((doc is None, doc or 0, k, doc))
+    want = Counter()
+    for doc, k, n in spots_of(edge_rows):
+        first = min(members[of[n]]) if n else (0, 0, k, doc)
+        want[doc, k, first[3], first[2], len(members[of[n]]) if n else 1] += 1
+    got = lines.line_groups(docs, wide=True).collect()
+    assert Counter((r.doc_id, r.line_no, r.group_doc, r.group_line, r.group_size) for r in got) == want
+
+
+def test_wide_groups_join_lines_of_changed_words(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10))) for _ in range(2_000)]
+    pairs = []
+    for _ in range(60):
+        body = [words[i] for i in rng.integers(0, 2_000, 50)]
+        other = list(body)
+        other[int(rng.integers(50))] = words[int(rng.integers(2_000))]
+        pairs.append((" ".join(body), " ".join(other)))
+    pairs += [(a.replace(" ", ""), a.replace(" ", "").replace("e", "o", 1)) for a, _ in pairs[:40]]
+    assert all(similar(a, b) for a, b in pairs[::10])
+    docs = spark.createDataFrame([(i, "\n".join(p)) for i, p in enumerate(pairs)], "doc_id long, text string")
+    got = lines.line_groups(docs, wide=True).where("group_doc = doc_id AND group_size > 1 AND line_no = 1").count()
+    assert got >= 0.85 * len(pairs)
+
+
+@pytest.mark.parametrize("blocks", [9, 11])
+def test_wide_search_over_fingerprints_is_whole(spark, blocks):
+    rng = np.random.default_rng(blocks)
+    centres = rng.integers(0, 1 << 63, 30, dtype=np.uint64).tolist()
+    fps = {c ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 9), replace=False)) for c in centres for _ in "ab"}
+    fps = sorted(fps | set(centres))
+    rows = [(i, x, f"{i}", 100, f"{'same ' * 19}{i:05d}") for i, x in enumerate(fps)]
+    table = common.written(spark.createDataFrame(rows, "id long, fp long, key string, size int, norm string"))
+    links = lines.wide_links(table, table.select("key", "norm"), blocks=blocks).collect()
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 8]
+    assert union(len(fps), [(r.a, r.b) for r in links]) == union(len(fps), near)
+
+
+def test_gram_fingerprints(spark):
+    norms = ["a", "abcd", "the cat", "wörter 😀 ganz ohne", "no blanks " * 300]
+    frame = spark.createDataFrame([(n, n) for n in norms + norms], "key string, norm string")
+    got = {r.key: (r.fp, r.size) for r in lines.gram_fingerprints(frame).collect()}
+    assert got == {r.key: (r.fp, r.size) for r in lines.gram_fingerprints(frame, chunk=100).collect()}
+    assert lines.gram_fingerprints(frame).count() == len(norms)
+    for n in norms:
+        hashes = [xxhash.xxh64_intdigest(n[i : i + 4].encode(), 42) for i in range(max(1, len(n) - 3))]
+        fp = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+        assert (got[n][0] % (1 << 64), got[n][1]) == (fp, len(n))
+
+
 def test_drop_lines(spark):
     docs = spark.createDataFrame([(1, "Same here\nmine", 7), (2, "same  HERE!\nyours\n", 8), (3, None, 9)], "doc_id long, text string, size int")
     got = {r.doc_id: (r.text, r.size) for r in lines.drop_lines(docs).collect()}
