@@ -105,12 +105,12 @@ def settle(p: list[float], size: list[int], draw: list[float]) -> list[float]:
     return land(p, size)
 
 
-def _fly(rows: DataFrame, last: bool) -> DataFrame:
-    """One flight in every (source, block); in the last one what is open lands."""
+def _fly(rows: DataFrame) -> DataFrame:
+    """One flight in every (source, block); what is open of a source that has one block lands."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "draw", "doc_id"], ascending=[False, True, True], na_position="last")
-        step = settle if last else flight
+        step = settle if pdf["blocks"].iloc[0] == 1 else flight
         return pdf.assign(p=step(pdf["p"].tolist(), pdf["size"].tolist(), pdf["draw"].tolist()))
 
     return rows.groupBy("source", "block").applyInPandas(run, rows.schema)
@@ -125,7 +125,7 @@ def mix(
     Size is the number of words (runs without ASCII white space; null text: 0). A source is taken target / size
     times: whole times surely, and the fraction by the cube method, balanced on documents and words. Flights run
     in blocks of a source dealt by a hash of the document, so a large source is many tasks' work; what they leave
-    open flies again until a source has one block, and lands there. Draws are hashes of doc_id, size and ``seed``:
+    open flies again until a source has one block, and lands there, whatever the other sources have. Draws are hashes of doc_id, size and ``seed``:
     reruns over the same rows agree. Null sources form one source, last in order. Sources without a word have
     target 0 and nothing is taken from them. Repeated rows are drawn one by one; an empty table gives no rows.
     """
@@ -157,16 +157,19 @@ def mix(
         ROW, "doc_id", "a.source", "size", "source_size", "target", "whole", "p",
         (F.pmod(key, F.lit(1 << 52)) / float(1 << 52)).alias("draw"),
         F.pmod(F.xxhash64(key), F.ceil(F.col("n") / BLOCK)).alias("block"),
+        F.ceil(F.col("n") / BLOCK).alias("blocks"),
     )
     blocks = max([1, *(-(-r["n"] // BLOCK) for r in found)])
     sure, out = state.where("p <= 0"), []
     open_ = state.where("p > 0")
     while True:
-        flown = written(_fly(open_, blocks == 1))
+        flown = written(_fly(open_))
         out.append(flown.where("p = 0 OR p = 1"))
         if blocks == 1:
             break
-        open_ = flown.where("p > 0 AND p < 1").withColumn("block", F.floor(F.col("block") / (BLOCK // 4)))
+        open_ = flown.where("p > 0 AND p < 1").withColumns(
+            {"block": F.floor(F.col("block") / (BLOCK // 4)), "blocks": F.ceil(F.col("blocks") / (BLOCK // 4))}
+        )
         blocks = -(-blocks // (BLOCK // 4))
     result = sure
     for x in out:

@@ -410,6 +410,25 @@ def test_mixing_flies_again_over_blocks(spark, sf_dir, monkeypatch):
         assert abs(sum(r.taken for r in got if r.target == target) - target) < 0.02 * target
 
 
+def test_mixing_lands_a_small_source_beside_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 200)
+    rng = np.random.default_rng(6)
+    rows = [
+        (k, source, "w " * int(n))
+        for source, many in [("big", 1_000), *((f"small{i}", 50) for i in range(6))]
+        for k, n in enumerate(rng.lognormal(4, 1, many).astype(int) + 1)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(docs, weights=(30.0, *[0.5] * 6)).collect()
+    assert len(got) == len(rows)
+    taken = Counter()
+    for r in got:
+        taken[r.source_size, r.target] += r.taken
+    assert len(taken) == 7
+    off = [abs(words - target) / target for (_, target), words in taken.items()]
+    assert max(off) < 0.005, off
+
+
 def test_token_counts(edge_docs, edge_rows):
     tokenizer = Tokenizer.from_file(WORDS)
     got = tokens.token_counts(edge_docs, WORDS, limit=100).collect()
