@@ -8,7 +8,21 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, language, lines, mixing, packing, quality, simhash, tokens, vectors
+from . import (
+    audit,
+    chat,
+    exact_dedup,
+    language,
+    lines,
+    mixing,
+    packing,
+    quality,
+    repair,
+    simhash,
+    tokens,
+    topk,
+    vectors,
+)
 from .common import ROW
 
 
@@ -74,6 +88,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_table(spark, sf_dir, "documents"), path("word_bpe_49k.json")).drop(ROW)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report, turns = repair.repair(_table(spark, sf_dir, "conversations"))
+    digest = F.coalesce("repaired_sha256", F.lit(repair.sha256(b"").hexdigest()))
+    out = report.join(repair.digests(turns), "key", "left")
+    return out.drop("key").withColumn("repaired_sha256", digest)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -87,5 +116,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_mixing,
         op9_quality,
         op10_token_counts,
+        op11_filter_audit,
+        op12_top_k,
+        op13_repair,
     )
 }
