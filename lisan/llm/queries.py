@@ -96,13 +96,18 @@ def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
-def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report, turns = repair.repair(_table(spark, sf_dir, "conversations"))
-    digest = F.coalesce("repaired_sha256", F.lit(repair.sha256(b"").hexdigest()))
+def repaired(rows: DataFrame) -> DataFrame:
+    """The report of a repair with a digest of each conversation's repaired turns."""
+    report, turns = repair.repair(rows)
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256))
     out = report.join(repair.digests(turns), "key", "left")
     return out.drop("key").withColumn("repaired_sha256", digest)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(_table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
