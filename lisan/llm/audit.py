@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import count, permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,9 @@ from pyspark.sql import types as T
 from .common import written
 
 #: A shard of the matrix ends after so many rows or bytes of text; a longer document is a shard of its own.
-SHARD_ROWS, SHARD_BYTES = 8_192, 8_000_000
+SHARD_ROWS, SHARD_BYTES = 32_768, 8_000_000
+#: Words of all shards that one bucket of the dictionary takes, on average; the number of buckets follows.
+BUCKET_WORDS, LEAST_BUCKETS = 2_000_000, 64
 #: The filters; bit k of a document's ``fails`` is the k-th.
 FILTERS = "ABCDE"
 #: The bytes that filters count.
@@ -25,14 +28,25 @@ UPPER, SPECIAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"
 #: Bytes that continue a code point.
 INNER = bytes(range(0x80, 0xC0))
 
-_I4, _I8 = np.dtype("<u4"), np.dtype("<i8")
+_I4 = np.dtype("<u4")
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Unsigned ints byte plane by byte plane: the high bytes of small numbers are runs of zeros, which compress."""
+    return numbers.astype(_I4).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack(packed) -> np.ndarray:
+    """The inverse of ``pack``."""
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view(_I4)[:, 0].astype(np.int64)
 
 
 def local_shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
-    """(shard, docs, words, indptr, columns, counts): blocks of documents with a dictionary of their own.
+    """(shard, docs, words, sizes, steps, counts): blocks of documents as rows over a dictionary of their own.
 
-    ``docs`` describes the rows: doc_id, part, digest of the text, whether filters C and D remove it. ``columns`` are
-    places in ``words``; a text is read once and only as bytes. Words are runs without ASCII white space.
+    ``docs`` describes the rows: doc_id, part, digest of the text, whether filters C and D remove it. ``sizes`` are
+    the nonzero columns of each row; its columns, places in ``words``, ascend and are kept as ``steps`` from one to
+    the next. A text is read once and only as bytes. Words are runs without ASCII white space.
     """
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"),
@@ -45,90 +59,133 @@ def local_shards(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
     )
     shape = T.StructType(
         [T.StructField("shard", T.LongType()), T.StructField("docs", T.ArrayType(about)),
-         T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("indptr", T.BinaryType()),
-         T.StructField("columns", T.BinaryType()), T.StructField("counts", T.BinaryType())]
+         T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("sizes", T.BinaryType()),
+         T.StructField("steps", T.BinaryType()), T.StructField("counts", T.BinaryType())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = count(TaskContext.get().partitionId() << 32)
         ids: dict[bytes, int] = defaultdict(count().__next__)
-        ends, found, info, held = [0], [], [], 0
+        sizes, steps, counts, info, held = [], [], [], [], 0
 
         def shard() -> pa.RecordBatch:
-            entries = np.concatenate(found)
-            sizes = np.diff(ends)
-            key, n = np.unique((np.repeat(np.arange(len(sizes)), sizes) << 32) | entries, return_counts=True)
-            indptr = np.searchsorted(key, np.arange(len(sizes) + 1) << 32)
             doc_ids, parts, digests, c, d = zip(*info)
-            types = [batch.schema.field(0).type, pa.string(), pa.binary(), pa.bool_(), pa.bool_()]
-            columns = [pa.concat_arrays(doc_ids), *map(pa.array, (parts, digests, c, d), types[1:])]
-            listed = pa.StructArray.from_arrays(columns, names=about.names)
+            columns = [pa.array(doc_ids, kind), pa.array(parts, pa.string()), pa.array(digests, pa.binary())]
+            listed = pa.StructArray.from_arrays([*columns, pa.array(c), pa.array(d)], names=about.names)
+            packed = [pack(np.array(sizes)), pack(np.concatenate(steps)), pack(np.concatenate(counts))]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([next(number)], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, len(info)], pa.int32()), listed),
                     pa.array([list(ids)], pa.list_(pa.binary())),
-                    pa.array([indptr.astype(_I8).tobytes()], pa.binary()),
-                    pa.array([(key & 0xFFFFFFFF).astype(_I4).tobytes()], pa.binary()),
-                    pa.array([n.astype(_I4).tobytes()], pa.binary()),
+                    *(pa.array([p], pa.binary()) for p in packed),
                 ],
                 names=shape.names,
             )
 
         for batch in batches:
-            for k, (where, body) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2))):
+            kind = batch.schema.field(0).type
+            for name, where, body in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
                 body = body.as_py()
-                words = body.split()
-                found.append(np.fromiter(map(ids.__getitem__, words), np.int64, len(words)))
-                ends.append(ends[-1] + len(words))
+                found = Counter(body.split())
+                column = np.fromiter(map(ids.__getitem__, found), np.int32, len(found))
+                order = np.argsort(column)
+                sizes.append(len(found))
+                steps.append(np.diff(column[order], prepend=0))
+                counts.append(np.fromiter(found.values(), np.int32, len(found))[order])
                 upper = len(body) - len(body.translate(None, UPPER))
                 points = len(body) if body.isascii() else len(body.translate(None, INNER))
                 info.append(
-                    (batch.column(0).slice(k, 1), where, sha256(body).digest(), 100 * upper > 10 * points,
+                    (name, where, sha256(body).digest(), 100 * upper > 10 * points,
                      any(s in body for s in SPECIAL))
                 )
                 held += len(body)
                 if held >= SHARD_BYTES or len(info) >= SHARD_ROWS:
                     yield shard()
                     ids = defaultdict(count().__next__)
-                    ends, found, info, held = [0], [], [], 0
+                    sizes, steps, counts, info, held = [], [], [], [], 0
         if info:
             yield shard()
 
     return rows.mapInArrow(run, shape)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(word, id): every word of the corpus, numbered from 0 without gaps.
+def encoded(shards: DataFrame) -> DataFrame:
+    """(shard, at, ids, new): the ids of the words of each shard, at their places in it, and the words first met there.
 
-    A word comes once from each shard, so frequent words are already folded. What reaches the driver is one count
-    per partition.
+    The words of a shard are dealt by checksum to as many buckets as the corpus needs, a packed list each, so a
+    frequent word comes once from a shard. A bucket's lists follow each other in one task, which holds the
+    dictionary of that bucket. The n-th word of bucket b has id n * buckets + b.
     """
-    spark = shards.sparkSession
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    words = written(words.withColumns({"p": F.spark_partition_id(), "at": F.monotonically_increasing_id()}))
-    low = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = sorted((r["p"], r["count"]) for r in words.groupBy("p").count().collect())
-    starts = np.cumsum([0, *(n for _, n in sizes)]).tolist()
-    first = spark.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "p int, start long")
-    return words.join(F.broadcast(first), "p").select("word", (F.col("start") + low).alias("id"))
+    total = shards.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_WORDS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, words in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = words.values
+                bucket = np.fromiter(map(crc32, words.to_pylist()), np.int64, len(words)) % buckets
+                order = np.argsort(bucket, kind="stable")
+                kinds, starts = np.unique(bucket[order], return_index=True)
+                ends = pa.array(np.append(starts, len(order)).astype(np.int32))
+                at = [pack(part) for part in np.split(order, starts[1:])] if len(kinds) else []
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([shard] * len(kinds), pa.int64()), pa.array(kinds.astype(np.int32)),
+                        pa.array(at, pa.binary()), pa.ListArray.from_arrays(ends, words.take(pa.array(order)))
+                        if len(kinds) else pa.array([], pa.list_(pa.binary())),
+                    ],
+                    names=["shard", "bucket", "at", "words"],
+                )
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, known = None, {}
+        for batch in batches:
+            for k, (shard, bucket, at) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
+                if bucket != current:
+                    current, known = bucket, defaultdict(count().__next__)
+                before, words = len(known), batch.column(3)[k].values.to_pylist()
+                place = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                new = [{"word": w, "id": p * buckets + bucket} for w, p in zip(words, place.tolist()) if p >= before]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([shard], pa.int64()), pa.array([at], pa.binary()),
+                        pa.array([(place * buckets + bucket).tobytes()], pa.binary()), pa.array([new], listed),
+                    ],
+                    names=["shard", "at", "ids", "new"],
+                )
+
+    listed = pa.list_(pa.struct([("word", pa.binary()), ("id", pa.int64())]))
+    dealt = shards.select("shard", "words").mapInArrow(deal, "shard long, bucket int, at binary, words array<binary>")
+    dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(encode, "shard long, at binary, ids binary, new array<struct<word: binary, id: long>>")
 
 
 def document_term_matrix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang"
 ) -> tuple[DataFrame, DataFrame]:
-    """The dictionary (word, id) and the shards (shard, docs, ids, indptr, columns, counts) of the matrix.
+    """The dictionary (word, id) and the shards (shard, docs, ids, sizes, steps, counts) of the matrix.
 
-    A shard holds rows of the matrix in compressed form: row k has counts[indptr[k]:indptr[k+1]] in the columns
-    ids[columns[indptr[k]:indptr[k+1]]] of the whole matrix; ``ids`` are longs, ``indptr`` longs, ``columns`` and
-    ``counts`` unsigned ints, all packed. An empty table gives no shards.
+    A shard holds some of the rows in compressed form, to be read by ``shard_rows``. Its ``ids`` are packed lists of
+    the columns in the whole matrix that its own columns stand for. An empty table gives no shards.
     """
     shards = written(local_shards(docs, doc_id, text, part))
-    words = written(dictionary(shards))
-    used = shards.select("shard", F.posexplode("words").alias("at", "word"))
-    ids = used.join(words, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", "id"))).alias("ids"))
-    ids = ids.select("shard", F.transform("ids", lambda x: x["id"]).alias("ids"))
-    return words, shards.drop("words").join(ids, "shard", "left")
+    words = written(encoded(shards))
+    ids = words.groupBy("shard").agg(F.collect_list(F.struct("at", "ids")).alias("ids"))
+    matrix = shards.drop("words").join(ids, "shard", "left")
+    return words.select(F.explode("new").alias("x")).select("x.*"), matrix
+
+
+def shard_rows(ids: list[dict], sizes, steps, counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(indptr, columns, counts) of a shard: row k has counts[indptr[k]:indptr[k + 1]] in those columns of the matrix."""
+    sizes, steps = unpack(sizes), unpack(steps)
+    indptr = np.concatenate([[0], np.cumsum(sizes)])
+    ascending = np.concatenate([[0], np.cumsum(steps)])
+    local = ascending[1:] - np.repeat(ascending[indptr[:-1]], sizes)
+    whole = np.zeros(sum(len(p["at"]) // 4 for p in ids), np.int64)
+    for p in ids:
+        whole[unpack(p["at"])] = np.frombuffer(p["ids"], np.int64)
+    return indptr, whole[local], unpack(counts)
 
 
 def row_sums(matrix: DataFrame) -> DataFrame:
@@ -139,17 +196,14 @@ def row_sums(matrix: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                docs, ids, indptr, columns, counts = (batch.column(c)[k] for c in range(5))
-                indptr, counts = np.frombuffer(indptr.as_buffer(), _I8), np.frombuffer(counts.as_buffer(), _I4)
-                columns = np.frombuffer(columns.as_buffer(), _I4)
-                if len(columns):
-                    columns = ids.values.to_numpy()[columns]  # columns of the whole matrix
-                total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-                new = np.concatenate([[0], np.cumsum((columns >= 0) & (counts > 0), dtype=np.int64)])
-                sums = [pa.array(np.diff(t[indptr])) for t in (total, new)]
-                yield pa.RecordBatch.from_arrays([*docs.values.flatten(), *sums], names=shape.names)
-
-    return matrix.select("docs", "ids", "indptr", "columns", "counts").mapInArrow(run, shape)
+                ids, *packed = (batch.column(c)[k] for c in range(1, 5))
+                indptr, columns, counts = shard_rows(ids.as_py() or [], *(p.as_py() for p in packed))
+                assert len(columns) == len(counts) == indptr[-1]
+                total = np.concatenate([[0], np.cumsum(counts)])
+                sums = [pa.array(np.diff(total[indptr])), pa.array(np.diff(indptr))]
+                yield pa.RecordBatch.from_arrays([*batch.column(0)[k].values.flatten(), *sums], names=shape.names)
+
+    return matrix.select("docs", "ids", "sizes", "steps", "counts").mapInArrow(run, shape)
 
 
 def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:

@@ -67,20 +67,23 @@ def test_audit(edge_docs, edge_rows, marks, monkeypatch, rows):
     assert {tuple(r) for r in got} == want
 
 
-def test_matrix_is_that_of_the_words(edge_docs, edge_rows, monkeypatch):
+@pytest.mark.parametrize("words_a_bucket", [1, 2_000_000])
+def test_matrix_is_that_of_the_words(edge_docs, edge_rows, monkeypatch, words_a_bucket):
     """Every count of every word of every document, read from shards of four rows."""
     monkeypatch.setattr(audit, "SHARD_ROWS", 4)
+    monkeypatch.setattr(audit, "LEAST_BUCKETS", 3)
+    monkeypatch.setattr(audit, "BUCKET_WORDS", 500 * words_a_bucket)
     words_of, shards = audit.document_term_matrix(edge_docs)
-    names = {r["id"]: bytes(r["word"]).decode() for r in words_of.collect()}
-    assert sorted(names) == list(range(len(names)))
+    rows = words_of.collect()
+    names = {r["id"]: bytes(r["word"]).decode() for r in rows}
+    assert len(rows) == len(names) == len(set(names.values()))
     got = Counter()
     for r in shards.collect():
-        indptr = np.frombuffer(r["indptr"], np.int64)
-        columns, counts = np.frombuffer(r["columns"], np.uint32), np.frombuffer(r["counts"], np.uint32)
+        indptr, columns, counts = audit.shard_rows(r["ids"] or [], r["sizes"], r["steps"], r["counts"])
         assert len(r["docs"]) <= 4 and len(indptr) == len(r["docs"]) + 1
         for k, doc in enumerate(r["docs"]):
             part = slice(indptr[k], indptr[k + 1])
-            row = {names[r["ids"][c]]: n for c, n in zip(columns[part], counts[part].tolist())}
+            row = {names[c]: n for c, n in zip(columns[part].tolist(), counts[part].tolist())}
             got[doc["doc_id"], tuple(sorted(row.items()))] += 1
     want = Counter((r[0], tuple(sorted(Counter(words(r[1] or "")).items()))) for r in edge_rows)
     assert got == want
@@ -95,6 +98,12 @@ def test_a_long_document_is_a_shard_of_its_own(spark, monkeypatch):
     assert sums == {i: (5_000 if i == 2 else 1, 1) for i in range(5)}
 
 
+def test_packed_numbers():
+    numbers = np.array([0, 1, 255, 256, 70_000, 2**32 - 1])
+    assert audit.unpack(audit.pack(numbers)).tolist() == numbers.tolist()
+    assert audit.unpack(audit.pack(numbers[:0])).tolist() == []
+
+
 def test_no_documents(spark, no_docs, marks, edge_docs, edge_rows):
     assert audit.filter_audit(no_docs, marks[1]).count() == 0
     none = marks[1].limit(0)
