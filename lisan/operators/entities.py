@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,8 +12,13 @@ from pyspark.sql import types as t
 from lisan import constants as C
 from lisan.functions import spans as S
 from lisan.functions import text as T
-from lisan.functions.arrays import let, positions
-from lisan.session import broadcast_if_small
+from lisan.functions.arrays import let
+from lisan.functions.trie import PhraseTrie
+from lisan.session import broadcast_if_small, is_small
+
+# A phrase list up to this size travels inside the expression as a trie.
+TRIE_PHRASES = 2_000
+TRIE_BYTES = 200_000
 
 
 def gazetteer_table(spark: SparkSession, phrases: list[tuple[str, str]]) -> DataFrame:
@@ -21,55 +26,88 @@ def gazetteer_table(spark: SparkSession, phrases: list[tuple[str, str]]) -> Data
     return spark.createDataFrame(phrases, "phrase string, label string")
 
 
+def phrase_trie(gazetteer: DataFrame) -> PhraseTrie | None:
+    """The trie of a phrase list, or None if the list is too long to travel inside an expression."""
+    if not is_small(gazetteer, TRIE_PHRASES, TRIE_BYTES):
+        return None
+    words = gazetteer.select(T.wordpunct_tokenize(F.col("phrase")).alias("words"), "label")
+    return PhraseTrie.of((list(r["words"]), r["label"]) for r in words.where("words IS NOT NULL").collect())
+
+
 def gazetteer_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Non-overlapping gazetteer phrases of each sentence: leftmost, then longest.
 
-    Input ``(doc_id, sentence_index, sentence, ...)``; output one row per match: the keys, ``start_char`` if given,
-    ``entity``, ``label``, ``start``, ``end`` (offsets in the sentence), ``start_token``, ``end_token``.
+    Input ``(doc_id, sentence_index, sentence, ...)``; output one row per match: the keys, ``start_char`` and
+    ``sentence`` if given, ``entity``, ``label``, ``start``, ``end`` (offsets in the sentence), ``start_token``,
+    ``end_token``.
 
-    Every run of tokens as long as some phrase becomes one narrow row with its place and is joined to the phrases.
-    Whatever the size of the list the plan is the same; only the join differs, and neither windows nor sentences
-    are ever shuffled.
+    A trie of the phrases is walked inside the sentence's row: one scan, no row per token, and offsets only in
+    sentences with a match. A longer list is joined, see ``_joined_matches``; the results are the same.
     """
-    keyed = gazetteer.select(T.wordpunct_tokenize(F.col("phrase")).alias("words"), "label").where(
-        F.size("words") > 0
+    trie = phrase_trie(gazetteer)
+    if trie is None:
+        return _joined_matches(sents, gazetteer)
+    carried = ["doc_id", "sentence_index", *(c for c in ("start_char",) if c in sents.columns)]
+
+    def placed(hits: Column) -> Column:
+        return let(
+            T.spans_of(F.col("sentence"), T.WORDPUNCT),
+            lambda ts: F.transform(hits, lambda h: _placed(ts, h["start"], h["start"] - h["back"], h["label"])),
+        )
+
+    found = let(
+        trie.matches(T.wordpunct_tokenize(F.col("sentence"))), lambda hits: F.when(F.size(hits) > 0, placed(hits))
     )
-    phrases = keyed.select(F.array_join("words", " ").alias("phrase"), F.size("words").alias("length"), "label")
-    phrases = phrases.distinct()
-    lengths = sorted(r[0] for r in phrases.select("length").distinct().collect())
-    keys = ["doc_id", "sentence_index"]
-    carried = [c for c in ("start_char",) if c in sents.columns]
+    rows = sents.select(*carried, "sentence", F.inline(found))
+    return rows.select(*carried, "sentence", "entity", "label", "start", "end", "start_token", "end_token")
 
-    def runs(ts: Column) -> Column:
-        def at(n: int, i: Column) -> Column:
-            start, end = F.get(ts, i)["start"], F.get(ts, i + (n - 1))["end"]
-            gram = F.array_join(F.transform(F.slice(ts, i + 1, F.lit(n)), lambda t: t["token"]), " ")
-            return F.struct(
-                i.alias("start_token"), F.lit(n).alias("length"), start.alias("start"), end.alias("end"),
-                gram.alias("phrase"), F.substring(F.col("sentence"), start + 1, end - start).alias("entity"),
-            )
-
-        def of_length(n: int) -> Column:
-            return F.transform(positions(F.slice(ts, F.lit(n), F.size(ts))), lambda i: at(n, i))
-
-        return F.concat(*[of_length(n) for n in lengths])
-
-    if not lengths:
-        lengths = [1]
-    spans = let(T.spans_of(F.col("sentence"), T.WORDPUNCT), runs)
-    candidates = sents.select(*keys, *carried, F.inline(spans))
-    hits = candidates.join(broadcast_if_small(phrases.select("phrase", "label")), "phrase")
-    hit = F.struct(
-        F.col("start_token").alias("start"), (-F.col("length")).alias("back"), "label",
-        F.col("start").alias("from"), F.col("end").alias("to"), "entity",
-    )
-    kept = hits.groupBy(*keys, *carried).agg(S.leftmost_longest(F.collect_list(hit)).alias("kept"))
-    return kept.select(*keys, *carried, F.inline("kept")).select(
-        *keys, *carried, "entity", "label", F.col("from").alias("start"), F.col("to").alias("end"),
-        F.col("start").alias("start_token"), (F.col("start") - F.col("back")).alias("end_token"),
+
+def _placed(spans: Column, first: Column, end: Column, label: Column) -> Column:
+    """A match of the tokens ``first`` to ``end`` as a struct with its place in the sentence."""
+    start, stop = F.get(spans, first)["start"], F.get(spans, end - 1)["end"]
+    return F.struct(
+        F.substring(F.col("sentence"), start + 1, stop - start).alias("entity"), label.alias("label"),
+        start.alias("start"), stop.alias("end"), first.alias("start_token"), end.alias("end_token"),
     )
 
 
+def _joined_matches(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """``gazetteer_matches`` for a list of any length.
+
+    A token becomes a row with the tokens that follow it only to find out whether it opens a phrase; what does goes
+    on, at the lengths of that opener's phrases, to the join with the phrases. Both lists are unique by their key, so
+    a frequent opener is on the other side, which adaptive execution may split. Sentences are joined back to the
+    matches, never to tokens.
+    """
+    words = gazetteer.select(T.wordpunct_tokenize(F.col("phrase")).alias("words"), "label").where(F.size("words") > 0)
+    phrases = words.groupBy(F.array_join("words", " ").alias("phrase")).agg(F.min("label").alias("label"))
+    lengths = words.groupBy(F.get("words", F.lit(0)).alias("opener")).agg(F.collect_set(F.size("words")).alias("lengths"))
+    longest = words.agg(F.max(F.size("words"))).first()[0] or 1
+    keys = ["doc_id", "sentence_index"]
+
+    def opened(ts: Column) -> Column:
+        return F.transform(
+            ts, lambda t, i: F.struct(i.alias("first"), t.alias("opener"), F.slice(ts, i + 1, F.lit(longest)).alias("ahead"))
+        )
+
+    tokens = sents.select(*keys, F.inline(let(T.wordpunct_tokenize(F.col("sentence")), opened)))
+    open_ = tokens.join(broadcast_if_small(lengths), "opener")
+    fits = F.filter("lengths", lambda n: n <= F.size("ahead"))
+    runs = open_.select(*keys, "first", "ahead", F.explode(fits).alias("length")).select(
+        *keys, "first", "length", F.array_join(F.slice("ahead", F.lit(1), F.col("length")), " ").alias("phrase")
+    )
+    hits = runs.join(broadcast_if_small(phrases), "phrase")
+    hit = F.struct(F.col("first").alias("start"), (-F.col("length")).alias("back"), "label")
+    kept = hits.groupBy(*keys).agg(S.leftmost_longest(F.collect_list(hit)).alias("kept"))
+    carried = [c for c in ("start_char",) if c in sents.columns]
+    placed = let(
+        T.spans_of(F.col("sentence"), T.WORDPUNCT),
+        lambda ts: F.transform("kept", lambda h: _placed(ts, h["start"], h["start"] - h["back"], h["label"])),
+    )
+    rows = kept.join(sents.select(*keys, *carried, "sentence"), keys).select(*keys, *carried, "sentence", F.inline(placed))
+    return rows.select(*keys, *carried, "sentence", "entity", "label", "start", "end", "start_token", "end_token")
+
+
 def extract_entities(located: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """English records: entity text, label and offsets in the article."""
     found = gazetteer_matches(located, gazetteer)
@@ -84,8 +122,7 @@ def extract_entities(located: DataFrame, gazetteer: DataFrame) -> DataFrame:
 
 def extract_entities_by_sentence(sents: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Arabic records: entity, label, offsets in the sentence, and the sentence itself."""
-    keys = ["doc_id", "sentence_index"]
-    found = gazetteer_matches(sents, gazetteer).join(sents.select(*keys, "sentence"), keys)
+    found = gazetteer_matches(sents, gazetteer)
     return found.select(
         F.col("doc_id").alias("article_index"), "sentence_index", "entity", "label", "start", "end", "sentence"
     )
@@ -191,12 +228,39 @@ def labelled_sentences(tokenized: DataFrame, spans: DataFrame, column: str = "la
     return joined.withColumn(column, _label_array(F.size("tokens"), F.col("ss"))).drop("ss")
 
 
+def phrase_labels(sents: DataFrame, gazetteers: Mapping[str, DataFrame]) -> DataFrame:
+    """``(doc_id, sentence_index, tokens, ...)``: a label array by each named phrase list, all in one pass.
+
+    Lists that are too long for a trie are matched by join, one after the other.
+    """
+    out = sents.select("doc_id", "sentence_index", T.wordpunct_tokenize(F.col("sentence")).alias("tokens"))
+    tries = {name: phrase_trie(gazetteer) for name, gazetteer in gazetteers.items()}
+
+    def labels(trie: PhraseTrie) -> Column:
+        spans = F.transform(
+            trie.matches(F.col("tokens")),
+            lambda h: F.struct(h["start"].alias("start"), (h["start"] - h["back"]).alias("end"), h["label"].alias("label")),
+        )
+        return _label_array(F.size("tokens"), F.when(F.size(spans) > 0, spans))
+
+    small = {name: labels(trie) for name, trie in tries.items() if trie is not None}
+    out = out.withColumns(small) if small else out
+    for name in [name for name, trie in tries.items() if trie is None]:
+        out = labelled_sentences(out, _joined_matches(sents, gazetteers[name]), name)
+    return out
+
+
+def token_rows(labelled: DataFrame, column: str = "labels") -> DataFrame:
+    """``(doc_id, sentence_index, token_index, token, label)`` of sentences with ``tokens`` and a label array."""
+    paired = F.arrays_zip(F.col("tokens").alias("token"), F.col(column).alias("label"))
+    return labelled.select("doc_id", "sentence_index", F.posexplode(paired).alias("token_index", "x")).select(
+        "doc_id", "sentence_index", "token_index", "x.token", "x.label"
+    )
+
+
 def token_labels(tokenized: DataFrame, spans: DataFrame) -> DataFrame:
     """``(doc_id, sentence_index, token_index, token, label)`` of sentences with ``tokens``; later spans win."""
-    paired = F.arrays_zip(F.col("tokens").alias("token"), F.col("labels").alias("label"))
-    return labelled_sentences(tokenized, spans).select(
-        "doc_id", "sentence_index", F.posexplode(paired).alias("token_index", "x")
-    ).select("doc_id", "sentence_index", "token_index", "x.token", "x.label")
+    return token_rows(labelled_sentences(tokenized, spans))
 
 
 def token_labels_by_char(located: DataFrame, entities: DataFrame, pattern: str = T.WORDPUNCT) -> DataFrame:

@@ -347,14 +347,9 @@ def ar_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- evaluation --------------------------------------------------------------------
 
 
-def _phrase_spans(spark: SparkSession, sents: DataFrame, phrases: list[tuple[str, str]]) -> DataFrame:
-    return entities.gazetteer_matches(sents, entities.gazetteer_table(spark, phrases))
-
-
 def token_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sents = corpus.sentences(documents(spark, sf_dir))
-    spans = _phrase_spans(spark, sents, tables.ENGLISH_GAZETTEER)
-    return entities.token_labels(corpus.tokenized(sents, T.wordpunct_tokenize), spans)
+    phrases = entities.gazetteer_table(spark, tables.ENGLISH_GAZETTEER)
+    return entities.token_rows(entities.phrase_labels(corpus.sentences(documents(spark, sf_dir)), {"labels": phrases}))
 
 
 def token_labels_by_char(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,10 +372,9 @@ def prf1_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def prf1_ner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sents = corpus.sentences(documents(spark, sf_dir))
-    words = corpus.tokenized(sents, T.wordpunct_tokenize)
-    gold = entities.labelled_sentences(words, _phrase_spans(spark, sents, tables.ENGLISH_GAZETTEER), "gold")
-    both = entities.labelled_sentences(gold, _phrase_spans(spark, sents, OTHER_GAZETTEER), "pred")
+    lists = {"gold": tables.ENGLISH_GAZETTEER, "pred": OTHER_GAZETTEER}
+    phrases = {name: entities.gazetteer_table(spark, found) for name, found in lists.items()}
+    both = entities.phrase_labels(corpus.sentences(documents(spark, sf_dir)), phrases)
     return _rounded_scores(evaluate.prf1(both.select(F.inline(evaluate.align_arrays(F.col("gold"), F.col("pred"))))))
 
 

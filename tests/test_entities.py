@@ -58,6 +58,7 @@ def greedy(words: list[str], phrases: dict[tuple[str, ...], str]) -> list[tuple]
 @pytest.mark.parametrize("small", [True, False])
 def test_gazetteer_by_brute_force(spark, monkeypatch, small):
     if not small:
+        monkeypatch.setattr(entities, "TRIE_PHRASES", 0)
         monkeypatch.setattr(entities, "broadcast_if_small", lambda df: df.hint("merge"))
     draw = random.Random(5)
     texts = [" ".join(draw.choice(["hot", "hot", "a", "b", "c"]) for _ in range(40)) for _ in range(20)]
@@ -69,6 +70,43 @@ def test_gazetteer_by_brute_force(spark, monkeypatch, small):
     assert all(texts[r.doc_id][r.start : r.end] == r.entity for r in found)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_trie_and_join_agree(spark, monkeypatch, seed):
+    """Phrases that share beginnings, end inside others, come twice with two labels or are blank."""
+    draw = random.Random(seed)
+    letters = ["a", "b", "c", "-", "d"]
+    texts = [" ".join(draw.choices(letters, k=draw.randrange(1, 30))) for _ in range(40)]
+    phrases = [(" ".join(draw.choices(letters, k=draw.randrange(1, 6))), draw.choice("XYZ")) for _ in range(12)]
+    phrases += [(phrases[0][0], "A"), ("", "E"), ("  ", "E"), (None, "N")]
+    table = entities.gazetteer_table(spark, phrases)
+    sents = corpus.located_sentences(from_texts(spark, texts, "en"))
+    columns = ["doc_id", "start_char", "sentence", "entity", "label", "start", "end", "start_token", "end_token"]
+    by_trie = entities.gazetteer_matches(sents, table).select(*columns).collect()
+    labels = entities.phrase_labels(sents, {"x": table, "y": table}).select("doc_id", "tokens", "x", "y").collect()
+    monkeypatch.setattr(entities, "TRIE_PHRASES", 0)
+    joined = entities.gazetteer_matches(sents, table).select(*columns).collect()
+    also = entities.phrase_labels(sents, {"x": table, "y": table}).select("doc_id", "tokens", "x", "y").collect()
+    assert sorted(by_trie) == sorted(joined) and sorted(labels) == sorted(also)
+    best = {}
+    for phrase, label in phrases:
+        if phrase and phrase.split():
+            best[tuple(phrase.split())] = min(best.get(tuple(phrase.split()), label), label)
+    got = sorted((r.doc_id, r.start_token, r.end_token, r.label) for r in by_trie)
+    assert got == sorted((d, *m) for d, text in enumerate(texts) for m in greedy(text.split(), best))
+    for r in labels:
+        want = ["O"] * len(r.tokens)
+        for start, end, label in greedy(r.tokens, best):
+            want[start:end] = [label] * (end - start)
+        assert r.x == r.y == want
+
+
+def test_no_phrases(spark):
+    none = entities.gazetteer_table(spark, [])
+    sents = corpus.sentences(from_texts(spark, ["a b", ""], "en"))
+    assert entities.gazetteer_matches(sents, none).count() == 0
+    assert [r.x for r in entities.phrase_labels(sents, {"x": none}).collect()] == [["O", "O"]]
+
+
 def test_english_entities(spark):
     docs = from_texts(spark, [HARD, "Dominion Voting Systems sued Fox News for spreading misinformation."], "en")
     found = entities.extract_entities(

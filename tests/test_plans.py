@@ -15,10 +15,10 @@ PYTHON_MODEL = {"model_entities"}
 NARROW = {
     "article_preview", "en_sentences", "ar_sentences", "ar_first_pieces", "en_word_tokens", "wordpunct_tokens",
     "simple_word_tokens", "token_offsets", "normalize_arabic", "en_pos_table", "ar_pos_table", "np_chunks",
-    "chunk_tree", "pattern_entities", "bio_spans",
+    "chunk_tree", "pattern_entities", "bio_spans", "gazetteer_entities", "sentence_entities", "token_labels",
 }
 # One pass over the text besides the counting pass of the split.
-SINGLE_SCAN = NARROW | {"lm_vocab", "train_lexicon", "everygrams"}
+SINGLE_SCAN = NARROW | {"lm_vocab", "train_lexicon", "everygrams", "top_entities", "entity_type_counts", "prf1_ner"}
 # What is left after the pass over the text: a short table of totals.
 FOLDED = {"en_perplexity", "ar_perplexity", "lm_summary"}
 # Top-k or key lookups on ids, then a read that the key bounds.
