@@ -62,3 +62,31 @@ def running_totals(numbers: Column) -> Column:
         numbers,
         lambda xs: F.when(F.size(xs) > 0, let(scanned(xs), lift)).otherwise(F.array().cast("array<int>")),
     )
+
+
+def scanned(array: Column, start: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """The states of a fold: ``start`` is changed by ``step(state, element)``, and each result, of SQL type ``kind``, kept.
+
+    States are gathered in blocks of 64, because appending to one long array would copy it each time.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(state: Column, x: Column) -> Column:
+        return let(
+            step(state["last"], x),
+            lambda new: F.struct(new.alias("last"), F.concat(state["kept"], F.array(new)).alias("kept")),
+        )
+
+    def block(state: Column, xs: Column) -> Column:
+        return let(
+            F.aggregate(xs, F.struct(state["last"].alias("last"), none.alias("kept")), one),
+            lambda done: F.struct(
+                done["last"].alias("last"), F.concat(state["kept"], F.array(done["kept"])).alias("kept")
+            ),
+        )
+
+    def run(xs: Column) -> Column:
+        state = F.struct(start.cast(kind).alias("last"), F.array().cast(f"array<array<{kind}>>").alias("kept"))
+        return F.aggregate(blocks(xs), state, block, lambda s: F.flatten(s["kept"]))
+
+    return let(array, lambda xs: F.when(F.size(xs) > 0, run(xs)).otherwise(none))

@@ -13,7 +13,7 @@ from lisan import constants as C
 from lisan.data import tables
 from lisan.functions import spans as S
 from lisan.functions import text as T
-from lisan.operators import bigrams, corpus, entities, evaluate, generate, split, stats, tagging
+from lisan.operators import bigrams, corpus, entities, evaluate, generate, learning, split, stats, tagging
 from lisan.plans import report
 from lisan.session import scratch_path, spread, written
 from lisan.sources.files import write_csv
@@ -226,6 +226,46 @@ def context_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.token_tags(tagging.tag_with_lexicon(words, lexicon))
 
 
+RULE_ROUNDS = 4
+
+
+def _trained_tagger(spark: SparkSession, sf_dir: str) -> learning.TagModel:
+    """A tagger learned from the tags of the training part of the corpus."""
+    docs = documents(spark, sf_dir)
+    cut = split.locate_cut(split.sentence_counts(docs))
+    train, _ = split.train_test_split_positional(corpus.sentences(docs), cut)
+    return learning.train_tagger(written(tagging.tagged_sentences(train).select("tokens", "tags")))
+
+
+def train_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _trained_tagger(spark, sf_dir)
+    return model.transitions.select(F.lit("transition").alias("kind"), F.col("previous").alias("given"), F.col("tag").alias("result"), "n", "cost").unionByName(
+        model.emissions.select(F.lit("emission").alias("kind"), F.col("tag").alias("given"), F.col("token").alias("result"), "n", "cost")
+    )
+
+
+def viterbi_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = corpus.tokenized(corpus.sentences(documents(spark, sf_dir)))
+    return tagging.token_tags(learning.viterbi_tags(words, _trained_tagger(spark, sf_dir)))
+
+
+def viterbi_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded tags against the gold tags, for the sentences learned from and for the others."""
+    docs = documents(spark, sf_dir)
+    cut = split.locate_cut(split.sentence_counts(docs))
+    gold = tagging.tagged_sentences(corpus.sentences(docs)).select("doc_id", "sentence_index", F.col("tags").alias("gold"), "tokens")
+    found = learning.viterbi_tags(gold, _trained_tagger(spark, sf_dir)).select("doc_id", "sentence_index", "tags")
+    both = gold.drop("tokens").join(found, ["doc_id", "sentence_index"])
+    part = F.when(cut.in_train, "train").otherwise("test").alias("part")
+    return _rounded_scores(evaluate.prf1(both.select(part, F.inline(evaluate.align_arrays(F.col("gold"), F.col("tags")))), "part"))
+
+
+def learned_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules that mend lexicon and shape tags towards the tags after the hand-written rules."""
+    pairs = _english_tagged(spark, sf_dir).select(F.col("base_tags").alias("base"), F.col("tags").alias("gold"))
+    return learning.learn_context_rules(written(pairs), RULE_ROUNDS)[1]
+
+
 def np_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.noun_phrases(_english_tagged(spark, sf_dir))
 
@@ -540,6 +580,10 @@ QUERIES: dict[str, Query] = {
     "ar_pos_table": ar_pos_table,
     "train_lexicon": train_lexicon,
     "context_rules": context_rules,
+    "train_tagger": train_tagger,
+    "viterbi_tags": viterbi_tags,
+    "viterbi_scores": viterbi_scores,
+    "learned_rules": learned_rules,
     "np_chunks": np_chunks,
     "chunk_tree": chunk_tree,
     "gazetteer_entities": gazetteer_entities,

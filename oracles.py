@@ -283,6 +283,91 @@ CHUNKS = """codes AS (
       FROM pieces)"""
 
 
+# Costs of a hidden Markov tagger in whole millionths, learned from the first 80 % of the sentences.
+TAGGER = f"""{ENGLISH_TAGS},
+    cut AS (
+      SELECT doc_id, sentence_index, row_number() OVER (ORDER BY doc_id, sentence_index) - 1 < floor(count(*) OVER () * 0.8::DOUBLE) AS train
+      FROM sents),
+    learn AS (SELECT t.* FROM tagged t JOIN cut USING (doc_id, sentence_index) WHERE train),
+    moves AS (
+      SELECT coalesce(lag(tag) OVER w, '<s>') AS previous, tag FROM learn
+      WINDOW w AS (PARTITION BY doc_id, sentence_index ORDER BY token_index)
+      UNION ALL
+      SELECT arg_max(tag, token_index), '</s>' FROM learn GROUP BY doc_id, sentence_index),
+    transitions AS (
+      SELECT previous, tag, n, round(1000000 * (ln(total + kinds) - ln(n + 1)))::BIGINT AS cost
+      FROM (SELECT previous, tag, count(*) AS n, sum(count(*)) OVER (PARTITION BY previous) AS total,
+          (SELECT count(DISTINCT tag) + 1 FROM learn) AS kinds FROM moves GROUP BY 1, 2)),
+    emissions AS (
+      SELECT token, tag, n, round(1000000 * (ln(total + words) - ln(n + 1)))::BIGINT AS cost
+      FROM (SELECT lower(token) AS token, tag, count(*) AS n, sum(count(*)) OVER (PARTITION BY tag) AS total,
+          (SELECT count(DISTINCT lower(token)) + 1 FROM learn) AS words FROM learn GROUP BY 1, 2))"""
+
+# The cheapest path by a recursive query: every cheapest way to a tag of the next token.
+VITERBI = f"""{TAGGER},
+    kinds AS (
+      SELECT tag, any_value(total) AS total, any_value(words) AS words, count(*) FILTER (all_n = 1) AS once
+      FROM (SELECT tag, sum(n) OVER (PARTITION BY tag) AS total, sum(n) OVER (PARTITION BY token) AS all_n,
+          (SELECT count(DISTINCT token) + 1 FROM emissions) AS words FROM emissions) GROUP BY tag),
+    choices AS MATERIALIZED (
+      SELECT k.doc_id, k.sentence_index, k.token_index, k.token, e.tag, e.cost FROM toks k JOIN emissions e ON e.token = lower(k.token)
+      UNION ALL
+      SELECT k.doc_id, k.sentence_index, k.token_index, k.token, a.tag, round(1000000 * (ln(a.total + a.words) - ln(a.once + 1)))::BIGINT
+      FROM toks k, kinds a WHERE lower(k.token) NOT IN (SELECT token FROM emissions)),
+    every AS MATERIALIZED (
+      SELECT p.tag AS previous, q.tag, coalesce(t.cost, round(1000000 * ln(p.total + (SELECT count(*) + 1 FROM kinds)))::BIGINT) AS cost
+      FROM (SELECT previous AS tag, sum(n) AS total FROM transitions GROUP BY 1) p,
+        (SELECT tag FROM kinds UNION ALL SELECT '</s>') q
+      LEFT JOIN transitions t ON t.previous = p.tag AND t.tag = q.tag),
+    walk AS (
+      SELECT doc_id, sentence_index, 0 AS token_index, c.tag, {{'cost': c.cost + t.cost, 'previous': '<s>', 'path': [c.tag]}} AS best
+      FROM choices c JOIN every t ON t.previous = '<s>' AND t.tag = c.tag WHERE token_index = 0
+      UNION ALL
+      SELECT c.doc_id, c.sentence_index, c.token_index, c.tag,
+        min({{'cost': w.best.cost + t.cost + c.cost, 'previous': w.tag, 'path': list_append(w.best.path, c.tag)}})
+      FROM walk w JOIN choices c ON c.doc_id = w.doc_id AND c.sentence_index = w.sentence_index AND c.token_index = w.token_index + 1
+      JOIN every t ON t.previous = w.tag AND t.tag = c.tag
+      GROUP BY c.doc_id, c.sentence_index, c.token_index, c.tag),
+    lengths AS (SELECT doc_id, sentence_index, max(token_index) AS token_index FROM toks GROUP BY 1, 2),
+    paths AS (
+      SELECT doc_id, sentence_index, min({{'cost': best.cost + t.cost, 'tag': w.tag, 'path': best.path}}).path AS path
+      FROM walk w JOIN lengths USING (doc_id, sentence_index, token_index) JOIN every t ON t.previous = w.tag AND t.tag = '</s>'
+      GROUP BY 1, 2),
+    decoded AS (
+      SELECT k.doc_id, k.sentence_index, k.token_index, k.token, path[k.token_index + 1] AS tag
+      FROM toks k JOIN paths USING (doc_id, sentence_index))"""
+
+
+def greedy_rules(rounds: int) -> str:
+    """Round by round: every rule over a neighbour or both, the best by what it mends less what it breaks."""
+    out = f"""{ENGLISH_TAGS}, g0 AS (SELECT doc_id, sentence_index, token_index, base_tag AS tag, tag AS gold FROM tagged)"""
+    for i in range(1, rounds + 1):
+        out += f""",
+    a{i} AS MATERIALIZED (
+      SELECT *, lag(tag) OVER w AS p, lead(tag) OVER w AS f FROM g{i - 1}
+      WINDOW w AS (PARTITION BY doc_id, sentence_index ORDER BY token_index)),
+    c{i} AS (
+      SELECT p AS previous, tag AS old, NULL AS following, gold FROM a{i} WHERE p IS NOT NULL
+      UNION ALL SELECT NULL, tag, f, gold FROM a{i} WHERE f IS NOT NULL
+      UNION ALL SELECT p, tag, f, gold FROM a{i} WHERE p IS NOT NULL AND f IS NOT NULL),
+    n{i} AS (SELECT previous, old, following, gold, count(*) AS n FROM c{i} GROUP BY ALL),
+    b{i} AS MATERIALIZED (
+      SELECT x.previous, x.old, x.following, x.gold AS new, x.n AS good, coalesce(y.n, 0) AS bad FROM n{i} x
+      LEFT JOIN n{i} y ON y.gold = y.old AND y.old = x.old AND y.previous IS NOT DISTINCT FROM x.previous
+        AND y.following IS NOT DISTINCT FROM x.following
+      WHERE x.gold <> x.old AND x.n > coalesce(y.n, 0)
+      ORDER BY good - bad DESC, previous NULLS FIRST, old, following NULLS FIRST, new LIMIT 1),
+    g{i} AS (
+      SELECT doc_id, sentence_index, token_index, gold, CASE WHEN tag = old AND (previous IS NULL OR coalesce(p = previous, false))
+        AND (following IS NULL OR coalesce(f = following, false)) THEN new ELSE tag END AS tag FROM a{i} CROSS JOIN b{i})"""
+    rows = " UNION ALL ".join(
+        f"""SELECT {i} AS round, *, (SELECT count(*) FROM a{i} WHERE tag <> gold) AS errors_before,
+          (SELECT count(*) FROM g{i} WHERE tag <> gold) AS errors_after FROM b{i}"""
+        for i in range(1, rounds + 1)
+    )
+    return f"WITH {out} {rows}"
+
+
 # --- entities --------------------------------------------------------------------------
 
 
@@ -501,6 +586,13 @@ ORACLES: dict[str, str] = {
       SELECT doc_id AS article_index, sentence_index, token_index, token, tag AS pos_tag FROM tagged""",
     "train_lexicon": f"WITH {ENGLISH_TAGS}, {TRAINED} SELECT token, tag, n FROM trained",
     "context_rules": f"WITH {LEARNED} SELECT * FROM learned",
+    "train_tagger": f"""WITH {TAGGER}
+      SELECT 'transition' AS kind, previous AS given, tag AS result, n, cost FROM transitions
+      UNION ALL SELECT 'emission', tag, token, n, cost FROM emissions""",
+    "viterbi_tags": f"WITH RECURSIVE {VITERBI} SELECT * FROM decoded",
+    "viterbi_scores": f"""WITH RECURSIVE {VITERBI}
+      {prf1("(SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS part, t.tag AS gold, d.tag AS pred FROM tagged t JOIN decoded d USING (doc_id, sentence_index, token_index) JOIN cut USING (doc_id, sentence_index))", "part")}""",
+    "learned_rules": greedy_rules(Q.RULE_ROUNDS),
     "np_chunks": f"""WITH {ENGLISH_TAGS}, {CHUNKS}
       SELECT doc_id, sentence_index, start_token, (start_token + length(p))::INT AS end_token,
         array_to_string(tokens[start_token + 1:start_token + length(p)], ' ') AS phrase
