@@ -44,9 +44,14 @@ def _non_blank(pieces: Column) -> Column:
     return F.filter(F.transform(pieces, strip), lambda s: s != "")
 
 
+def split_by(text: Column, gap: str) -> Column:
+    """Stripped non-blank pieces of a text between matches of ``gap``."""
+    return _non_blank(F.split(text, gap, -1))
+
+
 def split_sentences(text: Column) -> Column:
     """Sentences of a text, ending at . ! or ? and closing quotes or brackets, followed by white space."""
-    return _non_blank(F.split(text, SENTENCE_GAP, -1))
+    return split_by(text, SENTENCE_GAP)
 
 
 def split_arabic_sentences(text: Column) -> Column:

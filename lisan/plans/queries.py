@@ -13,7 +13,7 @@ from lisan import constants as C
 from lisan.data import tables
 from lisan.functions import spans as S
 from lisan.functions import text as T
-from lisan.operators import bigrams, corpus, entities, evaluate, generate, learning, split, stats, tagging
+from lisan.operators import bigrams, boundaries, corpus, entities, evaluate, generate, learning, split, stats, tagging
 from lisan.plans import report
 from lisan.session import scratch_path, spread, written
 from lisan.sources.files import write_csv
@@ -119,6 +119,21 @@ def sample_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.tokens(sents.where("sentence_index = 0"))
 
 
+def abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boundaries.abbreviations(documents(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+def sentence_starters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = boundaries.sentence_starters(docs, written(boundaries.abbreviations(docs)))
+    return found.withColumn("score", F.round("score", 4))
+
+
+def learned_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return boundaries.learned_sentences(docs, boundaries.SentenceEnds.learned(docs))
+
+
 def en_word_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.tokens(corpus.sentences(documents(spark, sf_dir)))
 
@@ -558,6 +573,9 @@ QUERIES: dict[str, Query] = {
     "first_articles": first_articles,
     "en_sentences": en_sentences,
     "ar_sentences": ar_sentences,
+    "abbreviations": abbreviations,
+    "sentence_starters": sentence_starters,
+    "learned_sentences": learned_sentences,
     "ar_first_pieces": ar_first_pieces,
     "sample_words": sample_words,
     "en_word_tokens": en_word_tokens,

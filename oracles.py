@@ -117,6 +117,84 @@ def toks(tokens: str, source: str = "sents", name: str = "toks") -> str:
 TOKEN_ROWS = "SELECT doc_id, sentence_index, token_index, token FROM toks"
 
 
+# Abbreviations and sentence starters by log-likelihood, stated token by token.
+ENDS_CLOSERS = C.CLOSERS.replace("'", "''")
+
+
+def xlogy(x: str, y: str) -> str:
+    return f"(CASE WHEN {x} = 0 THEN 0 ELSE {x} * ln(CASE WHEN {x} = 0 THEN 1 ELSE {y} END) END)"
+
+
+SHORTENED = rf"""raw AS (
+      SELECT doc_id, coalesce(lang, '') AS lang, unnest(ts) AS token, unnest(range(len(ts))) AS i
+      FROM (SELECT doc_id, lang, regexp_extract_all(text, '[^{SPACE}]+') AS ts FROM documents)),
+    cores AS (
+      SELECT *, regexp_replace(regexp_replace(token, '^[^\p{{L}}\p{{N}}]+', ''), '[^\p{{L}}\p{{N}}.]+$', '') AS core FROM raw),
+    typed AS (
+      SELECT doc_id, lang, i, token, usable AND regexp_matches(core, '[^.]\.$') AS stop,
+        CASE WHEN usable THEN lower(CASE WHEN regexp_matches(core, '[^.]\.$') THEN left(core, length(core) - 1) ELSE core END) END AS type
+      FROM (SELECT *, regexp_matches(core, '\p{{L}}') AND NOT regexp_matches(core, '\.\.$') AS usable FROM cores)),
+    type_counts AS (
+      SELECT lang, type, count(*) FILTER (stop) AS stopped, count(*) FILTER (NOT stop) AS plain,
+        sum(count(*) FILTER (stop)) OVER l AS stops, sum(count(*)) OVER l AS tokens
+      FROM typed WHERE type IS NOT NULL GROUP BY lang, type WINDOW l AS (PARTITION BY lang)),
+    shortened AS (
+      SELECT * FROM (
+        SELECT lang, type, stopped, plain,
+          -2 * ({xlogy('stopped', 'stops / tokens')} + {xlogy('plain', '1 - stops / tokens')}
+            - (stopped * ln(0.99::DOUBLE) + plain * ln(1 - 0.99::DOUBLE)))
+          * exp(-letters) * (length(type) - letters + 1) * pow(letters, -plain) AS score
+        FROM (SELECT *, length(replace(type, '.', '')) AS letters FROM type_counts WHERE stopped > 0))
+      WHERE score >= 0.3)"""
+
+STARTERS = rf"""{SHORTENED},
+    follows AS (
+      SELECT t.lang, t.type, coalesce(regexp_matches(p.token, '[.!?][{ENDS_CLOSERS}]*$')
+          AND NOT (p.stop AND (p.lang, p.type) IN (SELECT lang, type FROM shortened)), false) AS start
+      FROM typed t LEFT JOIN typed p ON p.doc_id = t.doc_id AND p.i = t.i - 1 WHERE t.type IS NOT NULL),
+    start_counts AS (
+      SELECT lang, type, count(*) AS n, count(*) FILTER (start) AS starts, sum(count(*)) OVER l AS tokens,
+        sum(count(*) FILTER (start)) OVER l AS ends
+      FROM follows GROUP BY lang, type WINDOW l AS (PARTITION BY lang)),
+    starters AS (
+      SELECT lang, type, n, starts, score FROM (
+        SELECT *, -2 * ({xlogy('starts', 'n / tokens')} + {xlogy('(ends - starts)', '1 - n / tokens')}
+            + {xlogy('(n - starts)', 'n / tokens')} + {xlogy('(tokens - ends - n + starts)', '1 - n / tokens')}
+            - {xlogy('starts', 'starts / ends')} - {xlogy('(ends - starts)', '1 - starts / ends')}
+            - {xlogy('(n - starts)', '(n - starts) / (tokens - ends)')}
+            - {xlogy('(tokens - ends - n + starts)', '1 - (n - starts) / (tokens - ends)')}) AS score
+        FROM start_counts WHERE starts > 0)
+      WHERE score >= 30 AND starts * tokens > n * ends)"""
+
+# Pieces between all possible ends, joined again where the last word of one is shortened.
+LEARNED_SENTENCES = rf"""{STARTERS},
+    gap_pieces AS (
+      SELECT doc_id, lang, unnest(range(len(ps))) AS i, unnest(ps) AS p
+      FROM (SELECT doc_id, coalesce(lang, '') AS lang,
+          string_split(regexp_replace(text, '([.!?][{ENDS_CLOSERS}]{{0,3}})([{SPACE}]+)', '\1' || chr(1) || '\2', 'g'), chr(1)) AS ps
+        FROM documents)),
+    ended AS (
+      SELECT *, lag(p) OVER w AS before,
+        regexp_extract(lag(p) OVER w, '([^{SPACE}]+)\.[{ENDS_CLOSERS}]{{0,3}}$', 1) AS last,
+        regexp_extract(p, '^[{SPACE}]+[^\p{{L}}\p{{N}}{SPACE}]*(\p{{Lu}}[\p{{L}}\p{{N}}]*)', 1) AS next
+      FROM gap_pieces WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+    opens AS (
+      SELECT e.doc_id, e.i, e.p, CASE WHEN before IS NULL OR
+          NOT (EXISTS (SELECT 1 FROM shortened s WHERE s.lang = e.lang
+              AND (lower(e.last) = s.type OR (ends_with(lower(e.last), s.type)
+                AND NOT regexp_matches(left(lower(e.last), length(e.last) - length(s.type)), '[\p{{L}}\p{{N}}.]$'))))
+            AND NOT EXISTS (SELECT 1 FROM starters t WHERE t.lang = e.lang AND e.next <> ''
+              AND (lower(e.next) = t.type)))
+        THEN 1 ELSE 0 END AS open
+      FROM ended e),
+    sentence_pieces AS (
+      SELECT doc_id, string_agg(p, '' ORDER BY i) AS sentence, n
+      FROM (SELECT *, sum(open) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM opens) GROUP BY doc_id, n),
+    learned_sents AS (
+      SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1)::INT AS sentence_index, trim(sentence, {WS}) AS sentence
+      FROM sentence_pieces WHERE trim(sentence, {WS}) <> '')"""
+
+
 # --- language model -----------------------------------------------------------------
 
 
@@ -541,6 +619,9 @@ ORACLES: dict[str, str] = {
     "first_articles": "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 200",
     "en_sentences": f"WITH {sents()} SELECT * FROM sents",
     "ar_sentences": f"WITH {ar_sents()} SELECT * FROM sents",
+    "abbreviations": f"WITH {SHORTENED} SELECT * EXCLUDE (score), round(score, 6) AS score FROM shortened",
+    "sentence_starters": f"WITH {STARTERS} SELECT * EXCLUDE (score), round(score, 4) AS score FROM starters",
+    "learned_sentences": f"WITH {LEARNED_SENTENCES} SELECT doc_id, sentence_index, sentence FROM learned_sents",
     "ar_first_pieces": rf"""SELECT doc_id, string_split(regexp_replace({ARABISED}, '[.!؟\n]+', chr(1), 'g'), chr(1))[1]
       AS piece FROM documents""",
     "sample_words": f"""WITH {sents()}, {toks(treebank('sentence'))},
