@@ -13,7 +13,7 @@ from lisan import constants as C
 from lisan.data import tables
 from lisan.functions import spans as S
 from lisan.functions import text as T
-from lisan.operators import bigrams, boundaries, corpus, entities, evaluate, generate, learning, split, stats, tagging
+from lisan.operators import bigrams, boundaries, corpus, entities, evaluate, generate, learning, split, stats, stored, tagging
 from lisan.plans import report
 from lisan.session import scratch_path, spread, written
 from lisan.sources.files import write_csv
@@ -26,6 +26,7 @@ ARABISED_FROM = "abcdefghijklmnopqrstuvwxyz?"
 ARABISED_TO = "أبةدإفغهيج\u064eلمنؤئقرستآـوىءز؟"
 
 GREEDY_SEEDS = ["the", "of", "and", "zzz"]
+DRAWN_SEEDS = [*["the"] * 20, "of", "and", "zzz", "</s>"]
 ARABISED_SEEDS = ["the", "and", "zzz"]
 ARABISED_GAZETTEER = [
     ("of the", "LOC"),
@@ -218,6 +219,46 @@ def generate_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate.generate_sample(written(grams), seeds, 10)
 
 
+def generate_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grams, _ = report.english_grams(documents(spark, sf_dir))
+    return generate.generate_drawn(generate.draw_table(written(grams)), _seeds(spark, DRAWN_SEEDS), 5)
+
+
+def _saved_model(spark: SparkSession, sf_dir: str) -> stored.StoredModel:
+    """The model of the training part, saved and loaded again."""
+    grams, _ = report.english_grams(documents(spark, sf_dir))
+    path = scratch_path(spark)
+    stored.save_model(bigrams.bigram_counts(grams), path)
+    return stored.load_model(spark, path)
+
+
+def _other_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-case tokens of the conversations' sentences: text that the model has not seen."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    docs = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
+    return corpus.tokenized(corpus.sentences(spread(docs)), lowercase=True)
+
+
+def lm_save(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _saved_model(spark, sf_dir)
+    totals = model.contexts.withColumnRenamed("n", "context_n")
+    return model.bigrams.join(totals, "context").select("context", "word", "n", "context_n")
+
+
+def lm_score_other(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = stored.score_other(_saved_model(spark, sf_dir), _other_text(spark, sf_dir))
+    return scored.withColumn("score", F.round("score", 9))
+
+
+def lm_perplexity_other(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(stored.perplexity_other(_saved_model(spark, sf_dir), _other_text(spark, sf_dir)))
+
+
+def lm_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, more = _saved_model(spark, sf_dir), stored.training_bigrams(_other_text(spark, sf_dir))
+    return stored.merge_model(model, more, scratch_path(spark)).bigrams
+
+
 # --- tags and chunks -------------------------------------------------------------
 
 
@@ -594,6 +635,11 @@ QUERIES: dict[str, Query] = {
     "lm_summary": lm_summary,
     "generate_greedy": generate_greedy,
     "generate_sample": generate_sample,
+    "generate_drawn": generate_drawn,
+    "lm_save": lm_save,
+    "lm_score_other": lm_score_other,
+    "lm_perplexity_other": lm_perplexity_other,
+    "lm_merge": lm_merge,
     "en_pos_table": en_pos_table,
     "ar_pos_table": ar_pos_table,
     "train_lexicon": train_lexicon,

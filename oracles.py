@@ -283,6 +283,50 @@ def sampled(seeds: list[str], steps: int, ctes: str) -> str:
     return out
 
 
+def drawn(seeds: list[str], steps: int, ctes: str) -> str:
+    """One CTE per step: a number below the context's total falls into a block, then onto a word."""
+    start = ", ".join(f"({i}, {q(s)})" for i, s in enumerate(seeds))
+    out = f"""{ctes},
+    choices AS (SELECT context, word, n FROM bigrams UNION ALL SELECT '', word, n FROM vocab),
+    dealt AS (
+      SELECT *, ('0x' || substr(md5(word), 1, 8))::BIGINT % ceil(count(*) OVER (PARTITION BY context) / 1024)::BIGINT AS block
+      FROM choices),
+    ends AS MATERIALIZED (
+      SELECT context, word, sum(n + 1) OVER (PARTITION BY context ORDER BY block, word) AS upto,
+        sum(n + 1) OVER (PARTITION BY context) AS total, n + 1 AS w FROM dealt),
+    known AS (SELECT DISTINCT context FROM bigrams),
+    w0 AS (
+      SELECT seed_id::BIGINT AS seed_id, CASE WHEN seed IN (SELECT context FROM known) THEN seed ELSE '' END AS last, seed AS text
+      FROM (VALUES {start}) s(seed_id, seed))"""
+    for i in range(1, steps + 1):
+        number = (
+            f"floor((('0x' || substr(md5(seed_id::VARCHAR || '|{i}||0'), 1, 13))::BIGINT + 0.5::DOUBLE)"
+            " / 4503599627370496::DOUBLE * e.total)"
+        )
+        out += f""",
+    w{i} AS MATERIALIZED (
+      SELECT seed_id, CASE WHEN e.word = '</s>' THEN '' ELSE e.word END AS last, text || ' ' || e.word AS text
+      FROM w{i - 1} JOIN ends e ON e.context = last AND {number} >= e.upto - e.w AND {number} < e.upto)"""
+    return out
+
+
+# Text that the model has not seen: the turns of conversations.
+OTHER_SENTS = sents(name="other_sents").replace("FROM documents", "FROM (SELECT conv_id * 1000 + turn AS doc_id, text FROM conversations)")
+OTHER = f"""{ENGLISH_MODEL}, {OTHER_SENTS},
+    other_padded AS (
+      SELECT doc_id, sentence_index, len(ts) AS k, unnest(range(len(ts) + 2)) AS i, unnest(list_concat(['<s>'], ts, ['</s>'])) AS word
+      FROM (SELECT *, {treebank('lower(sentence)')} AS ts FROM other_sents)),
+    other_pairs AS (
+      SELECT word AS context, lead(word) OVER (PARTITION BY doc_id, sentence_index ORDER BY i) AS word, i, k FROM other_padded),
+    others AS (
+      SELECT context, word, count(*) AS m FROM other_pairs WHERE word IS NOT NULL AND i > 0 AND i < k GROUP BY 1, 2),
+    other_scored AS (
+      SELECT t.context, t.word, coalesce(a.word, '<UNK>') AS context_lookup, coalesce(b.word, '<UNK>') AS word_lookup, m,
+        coalesce(g.n, 0) AS n, coalesce(c.n, 0)::BIGINT AS context_n, (coalesce(g.n, 0) + 1)::DOUBLE / (coalesce(c.n, 0) + v) AS score
+      FROM others t CROSS JOIN size LEFT JOIN vocab a ON a.word = t.context LEFT JOIN vocab b ON b.word = t.word
+      LEFT JOIN bigrams g ON g.context = t.context AND g.word = t.word LEFT JOIN contexts c ON c.context = t.context)"""
+
+
 # --- tags ------------------------------------------------------------------------------
 
 
@@ -661,6 +705,18 @@ ORACLES: dict[str, str] = {
       SELECT seed_id, generated, text FROM walk WHERE step = 5""",
     "generate_sample": f"""WITH {sampled([Q.arabised_word(w) for w in Q.ARABISED_SEEDS], 10, ARABIC_MODEL)}
       SELECT seed_id, substr(w10.text, length(w0.text) + 2) AS generated, w10.text FROM w10 JOIN w0 USING (seed_id)""",
+    "generate_drawn": f"""WITH {drawn(Q.DRAWN_SEEDS, 5, ENGLISH_MODEL)}
+      SELECT seed_id, substr(w5.text, length(w0.text) + 2) AS generated, w5.text FROM w5 JOIN w0 USING (seed_id)""",
+    "lm_save": f"""WITH {ENGLISH_MODEL}
+      SELECT b.context, b.word, b.n, c.n::BIGINT AS context_n FROM bigrams b JOIN contexts c USING (context)""",
+    "lm_score_other": f"WITH {OTHER} SELECT * EXCLUDE (score), round(score, 9) AS score FROM other_scored",
+    "lm_perplexity_other": f"""WITH {OTHER}
+      SELECT (SELECT v FROM size)::BIGINT AS vocabulary, sum(m)::BIGINT AS test_bigrams,
+        round(pow(2, -sum(m * log2(score)) / sum(m)), 6) AS perplexity FROM other_scored""",
+    "lm_merge": f"""WITH {OTHER}
+      SELECT context, word, sum(n)::BIGINT AS n FROM (
+        SELECT context, word, n FROM bigrams UNION ALL
+        SELECT context, word, count(*) FROM other_pairs WHERE word IS NOT NULL GROUP BY 1, 2) GROUP BY 1, 2""",
     "en_pos_table": f"""WITH {ENGLISH_TAGS}
       SELECT doc_id AS article_index, sentence_index, token_index, token, tag AS pos FROM tagged""",
     "ar_pos_table": f"""WITH {ARABIC_TAGS}
