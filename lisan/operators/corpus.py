@@ -75,18 +75,30 @@ def previews(docs: DataFrame, chars: int = C.PREVIEW_CHARS, tail: str = C.PREVIE
 
 
 def first_articles(docs: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` documents in article order.
+    """The first ``n`` documents in article order, those without an id first.
 
     A top-k over the ids alone finds the bound; then only texts up to it are read.
     """
-    last = docs.select("doc_id").orderBy("doc_id").limit(n).agg(F.max("doc_id")).first()[0]
-    return docs.where(F.col("doc_id") <= F.lit(last)).orderBy("doc_id").limit(n)
+    ids = docs.select("doc_id").orderBy("doc_id").limit(n)
+    last, unnamed = ids.agg(F.max("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
+    upto = F.col("doc_id") <= F.lit(last)
+    return docs.where(F.col("doc_id").isNull() | upto if unnamed else upto).orderBy("doc_id").limit(n)
 
 
 def nth_article(docs: DataFrame, position: int) -> DataFrame:
-    """The document at a 0-based position in article order; no row if there are fewer."""
-    found = docs.select("doc_id").orderBy("doc_id").offset(position).limit(1).first()
-    return docs.where(F.col("doc_id") == F.lit(found[0] if found else None)).limit(1)
+    """The document at a 0-based position in article order; no row if there are fewer.
+
+    Documents without an id come first. Those with the same id are ordered by their other columns.
+    """
+    first = docs.select("doc_id").orderBy("doc_id").limit(position + 1)
+    found = docs.select("doc_id").orderBy("doc_id").offset(position).limit(1).collect()
+    if not found:
+        return docs.limit(0)
+    name = found[0][0]
+    same = F.col("doc_id").isNull() if name is None else F.col("doc_id") == F.lit(name)
+    before = first.where(same).count() - 1
+    chosen = docs.where(same)
+    return chosen.orderBy(*docs.columns).offset(before).limit(1)
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ from lisan.session import broadcast_if_small, is_small
 # A phrase list up to this size travels inside the expression as a trie.
 TRIE_PHRASES = 2_000
 TRIE_BYTES = 200_000
+# Characters of a bin when tokens look for the entities around them.
+CHAR_BIN = 256
 
 
 def gazetteer_table(spark: SparkSession, phrases: list[tuple[str, str]]) -> DataFrame:
@@ -266,26 +268,32 @@ def token_labels(tokenized: DataFrame, spans: DataFrame) -> DataFrame:
 def token_labels_by_char(located: DataFrame, entities: DataFrame, pattern: str = T.WORDPUNCT) -> DataFrame:
     """Label the tokens of located sentences that lie inside an entity's characters; later entities win.
 
-    Entities are folded per article and joined to its sentences; each sentence keeps those that touch it and tests
-    its tokens against them inside the row. Tokens are never shuffled.
+    An interval join by bins of ``CHAR_BIN`` characters: an entity is folded into each bin of its article that it
+    touches, and a token asks only the bin it starts in, so an article may have any number of entities.
     """
-    near = entities.groupBy(F.col("article_index").alias("doc_id")).agg(
-        F.collect_set(F.struct(F.col("start_char").alias("from"), F.col("end_char").alias("to"), "label")).alias("near")
+    bin_of = lambda c: F.floor(c / CHAR_BIN).cast("int")
+    entity = F.struct(F.col("start_char").alias("from"), F.col("end_char").alias("to"), "label")
+    bins = F.sequence(bin_of(F.col("start_char")), bin_of(F.col("end_char") - 1))
+    near = (
+        entities.where("end_char > start_char")
+        .select(F.col("article_index").alias("doc_id"), F.explode(bins).alias("bin"), entity.alias("entity"))
+        .groupBy("doc_id", "bin").agg(F.collect_set("entity").alias("near"))
     )
-    end = F.col("start_char") + F.length("sentence")
-    touching = F.filter("near", lambda e: (e["from"] < end) & (e["to"] > F.col("start_char")))
-    joined = located.join(near, "doc_id", "left").withColumn("near", touching)
     spans = F.transform(
         T.spans_of(F.col("sentence"), pattern),
         lambda s: F.struct(
             s["token"].alias("token"),
-            (F.col("start_char") + s["start"]).alias("start"),
-            (F.col("start_char") + s["end"]).alias("end"),
+            (F.col("start_char") + s["start"]).alias("start_char"),
+            (F.col("start_char") + s["end"]).alias("end_char"),
+            bin_of(F.col("start_char") + s["start"]).alias("bin"),
         ),
     )
-    rows = joined.select("doc_id", "sentence_index", "near", F.posexplode(spans).alias("token_index", "s"))
-    around = F.filter("near", lambda e: (e["from"] <= F.col("s.start")) & (F.col("s.end") <= e["to"]))
-    return rows.select(
-        "doc_id", "sentence_index", "token_index", "s.token", F.col("s.start").alias("start_char"),
-        F.col("s.end").alias("end_char"), F.coalesce(F.array_max(around)["label"], F.lit(C.OUTSIDE)).alias("label"),
+    rows = located.select("doc_id", "sentence_index", F.posexplode(spans).alias("token_index", "s")).select(
+        "doc_id", "sentence_index", "token_index", "s.*"
+    )
+    joined = rows.join(broadcast_if_small(near), ["doc_id", "bin"], "left")
+    around = F.filter("near", lambda e: (e["from"] <= F.col("start_char")) & (F.col("end_char") <= e["to"]))
+    return joined.select(
+        "doc_id", "sentence_index", "token_index", "token", "start_char", "end_char",
+        F.coalesce(F.array_max(around)["label"], F.lit(C.OUTSIDE)).alias("label"),
     )

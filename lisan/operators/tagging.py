@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lisan.data import tables
+from lisan.functions import grammar as R
 from lisan.functions import tags as G
 from lisan.functions import text as T
 from lisan.operators.evaluate import align_arrays
@@ -110,6 +111,12 @@ def noun_phrases(tagged: DataFrame) -> DataFrame:
     return tagged.select("doc_id", "sentence_index", F.inline(G.np_chunks(F.col("tokens"), F.col("tags"))))
 
 
+def grammar_chunks(tagged: DataFrame, grammar: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """``(doc_id, sentence_index, label, start_token, end_token, phrase)`` of tagged sentences by a tag grammar."""
+    found = R.chunks(F.col("tokens"), F.col("tags"), R.compile_grammar(grammar))
+    return tagged.select("doc_id", "sentence_index", F.inline(found))
+
+
 def chunk_trees(tagged: DataFrame) -> DataFrame:
     """``(doc_id, sentence_index, tree)``: bracket text per sentence."""
     return tagged.select(

@@ -27,6 +27,12 @@ ARABISED_TO = "أبةدإفغهيج\u064eلمنؤئقرستآـوىءز؟"
 
 GREEDY_SEEDS = ["the", "of", "and", "zzz"]
 DRAWN_SEEDS = [*["the"] * 20, "of", "and", "zzz", "</s>"]
+# A column for each tag of the English tables; signs are spelled by their code.
+WIDE_COLUMNS = {
+    tag: "pred_" + "".join(c if c.isalnum() else f"_{ord(c):02x}" for c in tag)
+    for tag in sorted({*tables.ENGLISH_LEXICON, *(tag for _, _, tag in tables.ENGLISH_SHAPES), tables.ENGLISH_DEFAULT})
+}
+NOUN_PHRASES = [("NP", ["{<DT>?<JJ.*>*<NN.*>+}"])]
 ARABISED_SEEDS = ["the", "and", "zzz"]
 ARABISED_GAZETTEER = [
     ("of the", "LOC"),
@@ -326,6 +332,20 @@ def np_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.noun_phrases(_english_tagged(spark, sf_dir))
 
 
+def grammar_noun_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagging.grammar_chunks(_english_tagged(spark, sf_dir), NOUN_PHRASES).drop("label")
+
+
+def grammar_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noun phrases, then prepositional phrases over them."""
+    return tagging.grammar_chunks(_english_tagged(spark, sf_dir), [*NOUN_PHRASES, ("PP", ["{<IN><NP>}"])])
+
+
+def grammar_chinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole sentences as chunks, from which verbs and prepositions are taken out."""
+    return tagging.grammar_chunks(_english_tagged(spark, sf_dir), [("NP", ["{<.*>+}", "}<VB.*|IN>+{"])])
+
+
 def chunk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.chunk_trees(_english_tagged(spark, sf_dir))
 
@@ -488,6 +508,13 @@ def label_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.label_codes(_pos_pairs(spark, sf_dir))
 
 
+def confusion_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matrix with a column per predicted tag, for the tags of the tagger's own tables."""
+    wide = evaluate.confusion_wide(evaluate.confusion_counts(_pos_pairs(spark, sf_dir)), list(WIDE_COLUMNS))
+    column = lambda name: F.col("`" + name.replace("`", "``") + "`")
+    return wide.select("gold", *[F.coalesce(column(name), F.lit(0).cast("bigint")).alias(c) for name, c in WIDE_COLUMNS.items()])
+
+
 def confusion_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.encoded_counts(_pos_pairs(spark, sf_dir))
 
@@ -594,6 +621,18 @@ def csv_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _csv(top_entities(spark, sf_dir))
 
 
+def csv_entity_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(entity_type_counts(spark, sf_dir))
+
+
+def csv_ar_entity_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(ar_entity_type_counts(spark, sf_dir))
+
+
+def csv_ar_top_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _csv(ar_top_entities(spark, sf_dir))
+
+
 def _analysis(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     gazetteer = _arabised_gazetteer(spark)
     english, arabic = documents(spark, sf_dir), arabised_documents(spark, sf_dir)
@@ -650,6 +689,9 @@ QUERIES: dict[str, Query] = {
     "learned_rules": learned_rules,
     "np_chunks": np_chunks,
     "chunk_tree": chunk_tree,
+    "grammar_noun_phrases": grammar_noun_phrases,
+    "grammar_cascade": grammar_cascade,
+    "grammar_chinks": grammar_chinks,
     "gazetteer_entities": gazetteer_entities,
     "pattern_entities": pattern_entities,
     "sentence_entities": sentence_entities,
@@ -672,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "label_codes": label_codes,
     "confusion_pos": confusion_pos,
     "confusion_encoded": confusion_encoded,
+    "confusion_wide": confusion_wide,
     "confusion_learned": confusion_learned,
     "confusion_self": confusion_self,
     "ar_confusion_self": ar_confusion_self,
@@ -686,6 +729,9 @@ QUERIES: dict[str, Query] = {
     "csv_en_entities": csv_en_entities,
     "csv_ar_entities": csv_ar_entities,
     "csv_top_entities": csv_top_entities,
+    "csv_entity_type_counts": csv_entity_type_counts,
+    "csv_ar_entity_type_counts": csv_ar_entity_type_counts,
+    "csv_ar_top_entities": csv_ar_top_entities,
     "analysis_en_scores": analysis_en_scores,
     "analysis_ar_confusion": analysis_ar_confusion,
 }

@@ -741,6 +741,29 @@ ORACLES: dict[str, str] = {
       SELECT doc_id, sentence_index,
         '(S ' || string_agg(CASE WHEN i % 2 = 1 THEN '(NP ' || words || ')' ELSE words END, ' ' ORDER BY i) || ')' AS tree
       FROM shown GROUP BY ALL""",
+    "grammar_noun_phrases": f"""WITH {ENGLISH_TAGS}, {CHUNKS}
+      SELECT doc_id, sentence_index, start_token, (start_token + length(p))::INT AS end_token,
+        array_to_string(tokens[start_token + 1:start_token + length(p)], ' ') AS phrase
+      FROM placed WHERE i % 2 = 1""",
+    "grammar_cascade": f"""WITH {ENGLISH_TAGS}, {CHUNKS},
+      phrases AS (
+        SELECT doc_id, sentence_index, tokens, i, 'NP' AS label, start_token, start_token + length(p) AS end_token
+        FROM placed WHERE i % 2 = 1),
+      preps AS (
+        SELECT c.doc_id, c.sentence_index, c.tokens, c.i, 'PP' AS label, c.start_token - 1 AS start_token, c.end_token
+        FROM phrases c JOIN tagged t ON t.doc_id = c.doc_id AND t.sentence_index = c.sentence_index
+          AND t.token_index = c.start_token - 1 AND t.tag = 'IN')
+      SELECT doc_id, sentence_index, label, start_token::INT AS start_token, end_token::INT AS end_token,
+        array_to_string(tokens[start_token + 1:end_token], ' ') AS phrase
+      FROM (SELECT * FROM phrases UNION ALL SELECT * FROM preps)""",
+    "grammar_chinks": f"""WITH {ENGLISH_TAGS},
+      runs AS (
+        SELECT *, tag = 'IN' OR tag LIKE 'VB%' AS out,
+          sum(CASE WHEN tag = 'IN' OR tag LIKE 'VB%' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, sentence_index ORDER BY token_index) AS run
+        FROM tagged)
+      SELECT doc_id, sentence_index, 'NP' AS label, min(token_index)::INT AS start_token, (max(token_index) + 1)::INT AS end_token,
+        string_agg(token, ' ' ORDER BY token_index) AS phrase
+      FROM runs WHERE NOT out GROUP BY doc_id, sentence_index, run""",
     "gazetteer_entities": f"""WITH {ENGLISH_FOUND}
       SELECT doc_id AS article_index, entity AS text, label, base + s AS start_char, base + e AS end_char FROM found""",
     "pattern_entities": f"SELECT doc_id AS article_index, text, label, start_char, end_char FROM ({PATTERN_FOUND})",
@@ -781,6 +804,9 @@ ORACLES: dict[str, str] = {
     "confusion_encoded": f"""WITH {ENGLISH_TAGS}, {confusion('tag', 'base_tag', 'tagged')}
       SELECT g.code AS gold_code, p.code AS pred_code, n FROM matrix
       JOIN ranked g ON g.label = gold JOIN ranked p ON p.label = pred WHERE n > 0""",
+    "confusion_wide": f"""WITH {ENGLISH_TAGS}
+      SELECT tag AS gold, {", ".join(f"count(*) FILTER (base_tag = {q(tag)}) AS {name}" for tag, name in Q.WIDE_COLUMNS.items())}
+      FROM tagged GROUP BY tag""",
     "confusion_learned": f"""WITH {LEARNED},
       both_tags AS (SELECT l.doc_id, l.tag AS gold, t.tag AS pred
         FROM learned l JOIN tagged t USING (doc_id, sentence_index, token_index)),
@@ -804,6 +830,9 @@ ORACLES: dict[str, str] = {
     "csv_ar_entities": f"""WITH {ARABIC_FOUND}
       SELECT doc_id AS article_index, sentence_index, entity, label, s AS start, e AS "end", sentence FROM found""",
     "csv_top_entities": f"WITH {ENGLISH_FOUND} {top('entity', 'found', 20)}",
+    "csv_entity_type_counts": f"WITH {ENGLISH_FOUND} {top('label', 'found')}",
+    "csv_ar_entity_type_counts": f"WITH {ARABIC_FOUND} {top('label', 'found')}",
+    "csv_ar_top_entities": f"WITH {ARABIC_FOUND} {top('entity', 'found', 20)}",
     "analysis_en_scores": f"""WITH {ENGLISH_TAGS}
       {prf1('(SELECT tag AS gold, base_tag AS pred FROM tagged)')}""",
     "analysis_ar_confusion": f"WITH {ARABIC_TAGS}, {confusion('tag', 'base_tag', 'tagged')} SELECT gold, pred, n FROM matrix",

@@ -246,3 +246,24 @@ def test_one_list_without_overlaps(spark):
     merged = entities.merge_entities(phrases, entities.extract_pattern_entities(docs, tables.ENTITY_PATTERNS))
     rows = sorted((r.start_char, r.text, r.label) for r in merged.collect())
     assert rows == [(4, "$1234567", "MONEY"), (16, "x2024-01-31@mail.example", "EMAIL"), (44, "Fox News", "ORG")]
+
+
+@pytest.mark.parametrize("size", [1, 7, 256])
+def test_labels_by_char_over_many_entities(spark, monkeypatch, size):
+    """Entities across bins and sentences, inside each other, empty, and in other articles."""
+    monkeypatch.setattr(entities, "CHAR_BIN", size)
+    draw = random.Random(size)
+    texts = [" ".join("ab"[k % 2] * draw.randrange(1, 9) for k in range(30)) + ". Cd ef. " for _ in range(4)] + [""]
+    marks = []
+    for doc in (0, 1, 2, 9):
+        for _ in range(60):
+            start = draw.randrange(0, 150)
+            marks.append((doc, start, start + draw.randrange(0, 40), draw.choice("XYZ")))
+    frame = spark.createDataFrame(marks, "article_index bigint, start_char int, end_char int, label string")
+    located = corpus.located_sentences(from_texts(spark, texts, "en"))
+    got = entities.token_labels_by_char(located, frame).collect()
+    assert len(got) == corpus.token_offsets(located).count()
+    for r in got:
+        around = [m[1:] for m in marks if m[0] == r.doc_id and m[1] <= r.start_char and r.end_char <= m[2]]
+        assert r.label == (max(around)[2] if around else "O")
+        assert texts[r.doc_id][r.start_char : r.end_char] == r.token

@@ -4,6 +4,7 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from lisan.functions import text as T
@@ -150,3 +151,16 @@ def test_functions_work_on_streams(spark, tmp_path):
     query.awaitTermination()
     tokens = [r.token for r in spark.table("streamed_tokens").orderBy("sentence_index", "token_index").collect()]
     assert tokens == ["One", ".", "Two", "three", "."]
+
+
+@pytest.mark.parametrize("ids", [[None, None, 1, 2], [3, 3, 3, 1], [None, 5, 5, None, 2], [7], []])
+def test_articles_without_or_with_equal_ids(spark, ids):
+    """Every position gives one document, and all positions give all; the first n are n."""
+    rows = [(i, f"text {k}") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for n in range(1, len(rows) + 1):
+        assert [r.doc_id for r in corpus.first_articles(docs, n).collect()] == [r[0] for r in order[:n]]
+        assert [tuple(r) for r in corpus.nth_article(docs, n - 1).collect()] == [order[n - 1]]
+    assert corpus.nth_article(docs, len(rows)).count() == 0
+    assert corpus.first_articles(docs, len(rows) + 3).count() == len(rows)
