@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as t
 
 from lisan import constants as C
+from lisan import stages
 from lisan.data import tables
 from lisan.functions import spans as S
 from lisan.functions import text as T
@@ -277,6 +279,17 @@ def ar_pos_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagging.pos_table(sents, tagging.ARABIC, "pos_tag")
 
 
+def pipeline_pos_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Arabic tags once more, by a pipeline of stages that was saved and loaded."""
+    docs = arabised_documents(spark, sf_dir)
+    parts = [
+        stages.DocumentAssembler(), stages.SentenceDetector(), stages.Tokenizer(kind="simple"), stages.TableTagger(language="arabic"),
+    ]
+    path = scratch_path(spark)
+    Pipeline(stages=parts).fit(docs).save(path)
+    return stages.annotation_rows(PipelineModel.load(path).transform(docs)).withColumnRenamed("pos", "pos_tag")
+
+
 def train_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = en_pos_table(spark, sf_dir).withColumnRenamed("pos", "tag")
     return tagging.train_lexicon(gold)
@@ -681,6 +694,7 @@ QUERIES: dict[str, Query] = {
     "lm_merge": lm_merge,
     "en_pos_table": en_pos_table,
     "ar_pos_table": ar_pos_table,
+    "pipeline_pos_table": pipeline_pos_table,
     "train_lexicon": train_lexicon,
     "context_rules": context_rules,
     "train_tagger": train_tagger,

@@ -721,6 +721,8 @@ ORACLES: dict[str, str] = {
       SELECT doc_id AS article_index, sentence_index, token_index, token, tag AS pos FROM tagged""",
     "ar_pos_table": f"""WITH {ARABIC_TAGS}
       SELECT doc_id AS article_index, sentence_index, token_index, token, tag AS pos_tag FROM tagged""",
+    "pipeline_pos_table": f"""WITH {ARABIC_TAGS}
+      SELECT doc_id AS article_index, sentence_index, token_index, token, tag AS pos_tag FROM tagged""",
     "train_lexicon": f"WITH {ENGLISH_TAGS}, {TRAINED} SELECT token, tag, n FROM trained",
     "context_rules": f"WITH {LEARNED} SELECT * FROM learned",
     "train_tagger": f"""WITH {TAGGER}
