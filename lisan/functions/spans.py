@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lisan import constants as C
-from lisan.functions.arrays import blocks, let, positions
+from lisan.functions.arrays import blocks, let, positions, running_totals
 from lisan.functions.text import spans_of
 
 
@@ -104,3 +104,61 @@ def leftmost_longest(spans: Column) -> Column:
 def format_entity(word: Column, label: Column, score: Column) -> Column:
     """One entity as a preview line."""
     return F.format_string(C.ENTITY_LINE, word, label, score)
+
+
+def piece_words(pieces: Column, mark: str = "##") -> Column:
+    """Sub-word pieces as array<struct<text, word, start, end>>: their word and their characters among all words' letters.
+
+    A piece with the ``mark`` in front goes on with the word of the piece before it; the mark is no character. Words
+    follow each other without blanks here; ``piece_spans`` brings them to their places in a text.
+    """
+    def place(ps: Column) -> Column:
+        plain = F.transform(ps, lambda p: F.when(p.startswith(mark), F.substring(p, len(mark) + 1, F.length(p))).otherwise(p))
+        opens = F.transform(ps, lambda p, i: F.when(p.startswith(mark) & (i > 0), 0).otherwise(1))
+        return let(
+            plain,
+            lambda xs: let(
+                running_totals(F.transform(xs, F.length)),
+                lambda ends: let(
+                    running_totals(opens),
+                    lambda words: F.transform(
+                        xs,
+                        lambda x, i: F.struct(
+                            x.alias("text"), (F.get(words, i) - 1).alias("word"),
+                            (F.get(ends, i) - F.length(x)).alias("start"), F.get(ends, i).alias("end"),
+                        ),
+                    ),
+                ),
+            ),
+        )
+
+    return let(pieces, place)
+
+
+def piece_spans(words: Column, pieces: Column, labels: Column, scores: Column, mark: str = "##") -> Column:
+    """Spans of labelled sub-word pieces as array<struct<start, end, label, score>> in characters of the text.
+
+    ``words`` are the text's words, array<struct<token, start, end>>, of which the pieces are cuts in order; ``labels``
+    and ``scores`` are one per piece. Neighbouring pieces of one type merge as ``bio_spans`` has it, whatever words
+    they belong to; a span may begin or end inside a word. Pieces that do not spell the words raise an error.
+    """
+    def spans(at: Column) -> Column:
+        letters = F.transform(words, lambda w: w["end"] - w["start"])
+
+        def shifted(befores: Column) -> Column:
+            def char(piece: Column, side: str) -> Column:
+                word = piece["word"]
+                return F.get(words, word)["start"] + piece[side] - F.coalesce(F.get(befores, word - 1), F.lit(0))
+
+            return F.transform(
+                bio_spans(labels, scores),
+                lambda s: F.struct(
+                    char(F.get(at, s["start"]), "start").alias("start"), char(F.get(at, s["end"] - 1), "end").alias("end"),
+                    s["label"].alias("label"), s["score"].alias("score"),
+                ),
+            )
+
+        spelled = F.array_join(F.transform(at, lambda p: p["text"]), "") == F.array_join(F.transform(words, lambda w: w["token"]), "")
+        return F.when(spelled, let(running_totals(letters), shifted)).otherwise(F.raise_error(F.lit("The pieces do not spell the words.")))
+
+    return let(piece_words(pieces, mark), spans)

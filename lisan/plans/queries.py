@@ -29,6 +29,8 @@ ARABISED_TO = "أبةدإفغهيج\u064eلمنؤئقرستآـوىءز؟"
 
 GREEDY_SEEDS = ["the", "of", "and", "zzz"]
 DRAWN_SEEDS = [*["the"] * 20, "of", "and", "zzz", "</s>"]
+# What marks a piece that goes on with a word; no text holds it.
+PIECE_MARK = "\x02"
 # A column for each tag of the English tables; signs are spelled by their code.
 WIDE_COLUMNS = {
     tag: "pred_" + "".join(c if c.isalnum() else f"_{ord(c):02x}" for c in tag)
@@ -411,6 +413,25 @@ def entity_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.entity_preview(named).drop("score")
 
 
+def piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words cut into pieces of three letters, each with a label by its own shape and length, merged to spans."""
+    located = corpus.located_sentences(documents(spark, sf_dir))
+    words = T.spans_of(F.col("sentence"), T.WORDPUNCT)
+    cuts = lambda w: F.regexp_extract_all(w["token"], F.lit(r"(?s).{1,3}"), F.lit(0))
+    pieces = F.flatten(
+        F.transform("words", lambda w: F.transform(cuts(w), lambda p, i: F.when(i > 0, F.concat(F.lit(PIECE_MARK), p)).otherwise(p)))
+    )
+    plain = lambda p: F.ltrim(p, F.lit(PIECE_MARK))
+    kind = lambda p: F.when(p.rlike(r"^\p{Lu}"), "CAP").when(p.rlike("[aeiou]$"), "VOW")
+    label = lambda p: F.coalesce(F.concat(F.when(F.length(p) < 3, "B-").otherwise("I-"), kind(p)), F.lit(C.OUTSIDE))
+    rows = located.select("doc_id", "sentence_index", words.alias("words")).withColumn("pieces", pieces)
+    found = S.piece_spans(
+        F.col("words"), F.col("pieces"), F.transform("pieces", lambda p: label(plain(p))),
+        F.transform("pieces", lambda p: 1.0 / F.length(plain(p))), PIECE_MARK,
+    )
+    return rows.select("doc_id", "sentence_index", F.inline(found)).withColumn("score", F.round("score", 6))
+
+
 def pattern_model(label: str, pattern: str) -> Callable[[], Callable[[list[str]], list[list[dict]]]]:
     """A stand-in for a trained model: the factory compiles a pattern, the model finds its matches in a batch."""
     def factory() -> Callable[[list[str]], list[list[dict]]]:
@@ -710,6 +731,7 @@ QUERIES: dict[str, Query] = {
     "pattern_entities": pattern_entities,
     "sentence_entities": sentence_entities,
     "bio_spans": bio_spans,
+    "piece_spans": piece_spans,
     "entity_lines": entity_lines,
     "model_entities": model_entities,
     "all_entities": all_entities,

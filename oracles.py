@@ -775,6 +775,20 @@ ORACLES: dict[str, str] = {
       SELECT doc_id AS article_index, sentence_index, entity, label, s AS start, e AS "end", sentence FROM found
       ORDER BY doc_id, sentence_index, s LIMIT 20""",
     "bio_spans": f'WITH {BIO} SELECT doc_id, sentence_index, start, "end", label, score FROM spans',
+    "piece_spans": rf"""WITH {sents()}, {OFFSETS},
+      cut AS (
+        SELECT doc_id, sentence_index, token_index, s, unnest(range(len(ps))) AS k, unnest(ps) AS p
+        FROM (SELECT *, regexp_extract_all(token, '(?s).{{1,3}}') AS ps FROM offsets)),
+      shaped AS (
+        SELECT *, s + 3 * k AS b, s + 3 * k + length(p) AS e,
+          CASE WHEN regexp_matches(p, '^\p{{Lu}}') THEN 'CAP' WHEN regexp_matches(p, '[aeiou]$') THEN 'VOW' END AS kind FROM cut),
+      opened AS (
+        SELECT *, CASE WHEN kind IS NOT NULL AND (length(p) < 3 OR lag(kind) OVER w IS DISTINCT FROM kind) THEN 1 ELSE 0 END AS opens
+        FROM shaped WINDOW w AS (PARTITION BY doc_id, sentence_index ORDER BY token_index, k)),
+      numbered AS (
+        SELECT *, sum(opens) OVER (PARTITION BY doc_id, sentence_index ORDER BY token_index, k) AS island FROM opened)
+      SELECT doc_id, sentence_index, min(b)::INT AS start, max(e)::INT AS "end", kind AS label, round(avg(1.0::DOUBLE / length(p)), 6) AS score
+      FROM numbered WHERE kind IS NOT NULL GROUP BY doc_id, sentence_index, island, kind""",
     "entity_lines": f"""WITH {BIO} SELECT doc_id, sentence_index, start, entity, label,
       printf('%s -> %s (score=%.4f)', entity, label, score) AS line FROM spans""",
     "model_entities": f"""SELECT doc_id AS article_index, text, label, start_char, end_char

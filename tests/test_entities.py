@@ -267,3 +267,31 @@ def test_labels_by_char_over_many_entities(spark, monkeypatch, size):
         around = [m[1:] for m in marks if m[0] == r.doc_id and m[1] <= r.start_char and r.end_char <= m[2]]
         assert r.label == (max(around)[2] if around else "O")
         assert texts[r.doc_id][r.start_char : r.end_char] == r.token
+
+
+def test_pieces_lie_in_their_words(spark):
+    text = "Anthony Guglielmi, of  Washington"
+    pieces = ["An", "##th", "##ony", "Gug", "##lielmi", ",", "of", "Wash", "##ington"]
+    frame = spark.createDataFrame([(text, pieces)], "text string, pieces array<string>").withColumn("words", T.spans_of(F.col("text"), T.WORDPUNCT))
+
+    def spans(labels: list[str], scores: list[float]):
+        found = S.piece_spans(F.col("words"), F.col("pieces"), F.array(*map(F.lit, labels)), F.array(*map(F.lit, scores)))
+        return [tuple(s) for s in frame.select(found.alias("s")).first().s]
+
+    got = spans(["B-PER", "I-PER", "I-PER", "I-PER", "I-PER", "O", "O", "B-LOC", "O"], [1.0, 0.5, 0.0, 0.5, 0.5, 1.0, 1.0, 0.75, 1.0])
+    assert got == [(0, 17, "PER", 0.5), (23, 27, "LOC", 0.75)]
+    assert [text[s:e] for s, e, *_ in got] == ["Anthony Guglielmi", "Wash"]
+    assert spans(["O"] * 9, [1.0] * 9) == []
+    words = frame.select(S.piece_words(F.col("pieces")).alias("w")).first().w
+    assert [w.word for w in words] == [0, 0, 0, 1, 1, 2, 3, 4, 4] and "".join(w.text for w in words) == text.replace(" ", "")
+    whole = frame.withColumn("pieces", F.transform("words", lambda w: w["token"]))
+    labels, scores = ["B-PER", "I-PER", "O", "O", "B-LOC"], [1.0, 0.5, 1.0, 1.0, 0.5]
+    by_word = whole.select(
+        S.piece_spans(F.col("words"), F.col("pieces"), F.array(*map(F.lit, labels)), F.array(*map(F.lit, scores))).alias("p"),
+        S.bio_spans(F.array(*map(F.lit, labels)), F.array(*map(F.lit, scores))).alias("b"), "words",
+    ).first()
+    assert [(p.start, p.end, p.label, p.score) for p in by_word.p] == [
+        (by_word.words[b.start].start, by_word.words[b.end - 1].end, b.label, b.score) for b in by_word.b
+    ]
+    with pytest.raises(Exception, match="do not spell"):
+        frame.select(S.piece_spans(F.col("words"), F.array(F.lit("x")), F.array(F.lit("O")), F.array(F.lit(1.0)))).collect()
