@@ -30,9 +30,8 @@ def escape_role(role: Column) -> Column:
 
 def unescape_role(role: Column) -> Column:
     """The inverse of ``escape_role``."""
-    halved = F.replace(unescape(role), F.lit("\\\\"), F.lit("\0\\"))
-    broken = F.replace(F.regexp_replace(halved, r"(?<!\x00)\\n", "\n"), F.lit("\0\\"), F.lit("\\"))
-    return broken
+    pieces = F.split(unescape(role), r"\\\\", -1)  # at each pair of backslashes, from the left
+    return F.array_join(F.transform(pieces, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def thread_nodes(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn") -> DataFrame:
@@ -57,7 +56,7 @@ def reply_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
 
     ``nodes`` has tree, node, parent, role, text, score. Self-joins double how far each node sees towards its
     root, so their number grows with the logarithm of the depth; the same steps backwards list the nodes of the
-    chosen leaves' paths only. Branches rank by mean score (null: 0), then by length, then by their leaf; the best
+    chosen leaves' paths only. All branches rank by mean score (null: 0), then by length, then by their leaf; the best
     ``branches`` of a tree are chosen, or all. A parent that is missing makes a root; nodes on or below a circle
     lead to no root and are on no path. Of nodes with the same tree and name, each stands for itself and replies
     go to the first.
@@ -94,8 +93,8 @@ def reply_paths(nodes: DataFrame, branches: int | None = None) -> DataFrame:
         leaves = leaves.withColumn("k", within).where(F.col("k") <= branches).drop("k", "salt")
         leaves = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order)))
         leaves = leaves.where(F.col("rank") <= branches)
-    else:
-        leaves = leaves.withColumn("rank", F.lit(None).cast("int"))
+    else:  # leaves are narrow rows: a sort by tree, which spills
+        leaves = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(*order)))
     leaves = written(leaves)
     spans = leaves.select(F.col("id").alias("path"), "id")
     for step in reversed(steps[:-1]):

@@ -54,6 +54,9 @@ def test_paths_and_round_trip(spark, branches):
         every = [[(r[3], r[4] or "") for r in p] for p in want]
         if branches is None:
             assert said == sorted(every)
+            assert sorted(r.rank for r in mine) == list(range(1, len(want) + 1))
+            best = [round(sum(r[5] or 0.0 for r in p) / len(p), 9) for p in want]
+            assert [round(r.path_score, 9) for r in sorted(mine, key=lambda r: r.rank)] == best
         else:
             assert sorted(r.rank for r in mine) == [1, 2, 3]
             best = [round(sum(r[5] or 0.0 for r in p) / len(p), 9) for p in want[:3]]
@@ -68,7 +71,7 @@ def test_paths_and_round_trip(spark, branches):
 
 def test_escapes_are_reversible(spark):
     rng = random.Random(5)
-    parts = ["<", "[", "\\", "/", "s>", "INST]", "<s>", "</s>", "|im_end|>", "<SYS>>", "\n", "x"]
+    parts = ["<", "[", "\\", "/", "s>", "INST]", "<s>", "</s>", "|im_end|>", "<SYS>>", "\n", "x", "\0", "n"]
     texts = ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(400)]
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
     text, role = chat.unescape(chat.escape(F.col("t"))), chat.unescape_role(chat.escape_role(F.col("t")))
