@@ -134,56 +134,38 @@ def edits(a, b):
     return row[-1]
 
 
-def test_line_groups(spark, edge_docs, edge_rows):
-    docs = edge_docs.where(F.length(F.coalesce("text", F.lit(""))) < 10_000)
-    got = lines.line_groups(docs).collect()
-    spots = [
-        (r[0], k, normal_line(line))
-        for r in edge_rows
-        if len(r[1] or "") < 10_000
-        for k, line in enumerate((r[1] or "").split("\n"))
-    ]
-    norms = sorted({n for *_, n in spots if n})
-    fps = []
-    for n in norms:
-        words = [w for w in n.split(" ") if len(w) > 3] or n.split(" ")
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
-        fps.append(sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes)))
-    near = [
-        (i, j)
-        for i in range(len(norms))
-        for j in range(i)
-        if (fps[i] ^ fps[j]).bit_count() <= 3
-        and edits(norms[i], norms[j]) <= 0.2 * max(len(norms[i]), len(norms[j])) + 1e-9
-    ]
-    assert near
-    group = dict(zip(norms, union(len(norms), near)))
-    members = {}
-    for doc, k, n in spots:
-        if n:
-            members.setdefault(group[n], []).append((doc is None, doc or 0, k, doc))
-    want = Counter()
-    for doc, k, n in spots:
-        first = min(members[group[n]]) if n else (0, 0, k, doc)
-        want[doc, k, first[3], first[2], len(members[group[n]]) if n else 1] += 1
-    assert Counter((r.doc_id, r.line_no, r.group_doc, r.group_line, r.group_size) for r in got) == want
-    assert sum(r.kept for r in got) == len(members) + sum(1 for *_, n in spots if not n)
+def line_features(norm):
+    out = set()
+    for w in norm.split(" "):
+        out |= {w} if len(w) <= 16 else {w[i : i + 4] for i in range(len(w) - 3)}
+    return out
 
 
-def test_fingerprints_of_long_lines(spark):
+def line_fingerprint(norm):
+    hashes = [xxhash.xxh64_intdigest(f.encode(), 42) for f in line_features(norm)]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def test_fingerprints_of_lines(spark):
     rng = np.random.default_rng(2)
-    norms = [" ".join(f"word{x}" for x in rng.integers(0, 50, n)) for n in (1, 126, 127, 128, 300, 1000)]
-    rows = [(i, 0, n) for i, n in enumerate(norms)] + [(9, 0, norms[4])]
-    frame = spark.createDataFrame(rows, "r long, line_no int, norm string")
-    frame = frame.select(F.struct(F.lit(1).cast("long").alias("f"), "r").alias("__row"), "line_no", "norm", "norm")
-    frame = frame.toDF("__row", "line_no", "norm", "key")
-    whole = {r.key: r.fp for r in lines.fingerprints(frame).collect()}
-    got = {r.key: r.fp for r in lines.fingerprints(frame, chunk=100).collect()}
-    assert len(got) == 6 and whole == got
-    for n in norms:
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in n.split(" ")]
-        fp = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
-        assert got[n] % (1 << 64) == fp
+    norms = [" ".join(f"word{x}" for x in rng.integers(0, 900, n)) for n in (1, 126, 127, 128, 300, 1000)]
+    norms += ["a", "the cat", "wörter 😀 ganz ohne", "no blanks " * 300 + "end", "ab😀d" * 5, "x" * 16, "xyz" * 200 + " the end"]
+    norms += ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in (17, 64, 65, 66, 67, 68, 130, 1000)]
+    lines_of = spark.createDataFrame([(n, n) for n in norms + norms], "key string, norm string")
+    whole = common.written(lines.folded(lines_of))
+    assert whole.count() == len(set(norms))
+    got = {r.id: (r.fp, r.size) for r in lines.fingerprints(whole).collect()}
+    assert got == {r.id: (r.fp, r.size) for r in lines.fingerprints(whole, chunk=100).collect()}
+    for r in whole.collect():
+        assert (got[r.id][0] % (1 << 64), got[r.id][1]) == (line_fingerprint(r.norm), len(r.norm))
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.9, 1.0])
+def test_length_classes_of_similar_lines_are_neighbours(spark, similarity):
+    level = [r[0] for r in spark.range(1, 3_001).select(lines.length_class(F.col("id"), similarity)).collect()]
+    for longer in range(1, 3_001):
+        shorter = longer - int(longer * round(1 - similarity, 6) + 1e-9)
+        assert level[longer - 1] - level[shorter - 1] <= 1
 
 
 def spots_of(rows):
@@ -199,7 +181,7 @@ def similar(a, b):
     return edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
 
 
-def test_wide_groups_are_those_of_edit_similarity_alone(edge_docs, edge_rows):
+def test_line_groups_are_those_of_edit_similarity_alone(edge_docs, edge_rows):
     docs = edge_docs.where(F.length(F.coalesce("text", F.lit(""))) < 10_000)
     norms = sorted({n for *_, n in spots_of(edge_rows) if n})
     group = union(len(norms), [(i, j) for i in range(len(norms)) for j in range(i) if similar(norms[i], norms[j])])
@@ -212,11 +194,12 @@ def test_wide_groups_are_those_of_edit_similarity_alone(edge_docs, edge_rows):
     for doc, k, n in spots_of(edge_rows):
         first = min(members[of[n]]) if n else (0, 0, k, doc)
         want[doc, k, first[3], first[2], len(members[of[n]]) if n else 1] += 1
-    got = lines.line_groups(docs, wide=True).collect()
+    got = lines.line_groups(docs).collect()
     assert Counter((r.doc_id, r.line_no, r.group_doc, r.group_line, r.group_size) for r in got) == want
+    assert sum(r.kept for r in got) == len(members) + sum(1 for *_, n in spots_of(edge_rows) if not n)
 
 
-def test_wide_groups_join_lines_of_changed_words(spark):
+def test_line_groups_join_lines_of_changed_words(spark):
     rng = np.random.default_rng(5)
     words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(3, 10))) for _ in range(2_000)]
     pairs = []
@@ -228,33 +211,35 @@ def test_wide_groups_join_lines_of_changed_words(spark):
     pairs += [(a.replace(" ", ""), a.replace(" ", "").replace("e", "o", 1)) for a, _ in pairs[:40]]
     assert all(similar(a, b) for a, b in pairs[::10])
     docs = spark.createDataFrame([(i, "\n".join(p)) for i, p in enumerate(pairs)], "doc_id long, text string")
-    got = lines.line_groups(docs, wide=True).where("group_doc = doc_id AND group_size > 1 AND line_no = 1").count()
-    assert got >= 0.85 * len(pairs)
+    got = lines.line_groups(docs).where("group_doc = doc_id AND group_size > 1 AND line_no = 1").count()
+    assert got >= 0.9 * len(pairs)
 
 
 @pytest.mark.parametrize("blocks", [9, 11])
-def test_wide_search_over_fingerprints_is_whole(spark, blocks):
+def test_line_search_over_fingerprints_is_whole(spark, blocks):
     rng = np.random.default_rng(blocks)
     centres = rng.integers(0, 1 << 63, 30, dtype=np.uint64).tolist()
     fps = {c ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 9), replace=False)) for c in centres for _ in "ab"}
     fps = sorted(fps | set(centres))
-    rows = [(i, x, f"{i}", 100, f"{'same ' * 19}{i:05d}") for i, x in enumerate(fps)]
+    rows = [(i, x, f"{i}", 95 + i % 11, f"{'same ' * 18}{i:05d}{'x' * (i % 11)}") for i, x in enumerate(fps)]
     table = common.written(spark.createDataFrame(rows, "id long, fp long, key string, size int, norm string"))
-    links = lines.wide_links(table, table.select("key", "norm"), blocks=blocks).collect()
+    links = lines.line_links(table.select("id", "fp", "size"), table, bits=((None, 8),), blocks={8: blocks}).collect()
     near = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 8]
     assert union(len(fps), [(r.a, r.b) for r in links]) == union(len(fps), near)
 
 
-def test_gram_fingerprints(spark):
-    norms = ["a", "abcd", "the cat", "wörter 😀 ganz ohne", "no blanks " * 300]
-    frame = spark.createDataFrame([(n, n) for n in norms + norms], "key string, norm string")
-    got = {r.key: (r.fp, r.size) for r in lines.gram_fingerprints(frame).collect()}
-    assert got == {r.key: (r.fp, r.size) for r in lines.gram_fingerprints(frame, chunk=100).collect()}
-    assert lines.gram_fingerprints(frame).count() == len(norms)
-    for n in norms:
-        hashes = [xxhash.xxh64_intdigest(n[i : i + 4].encode(), 42) for i in range(max(1, len(n) - 3))]
-        fp = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
-        assert (got[n][0] % (1 << 64), got[n][1]) == (fp, len(n))
+def test_edit_similarity_is_that_of_the_whole_distance(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for n in (1, 4, 5, 9, 10, 200, 700):
+        for share in (0.0, 0.1, 0.19, 0.21, 0.3):
+            text = "".join(chr(97 + c) for c in rng.integers(0, 5, n))
+            other = list(text)
+            for at in rng.choice(n, int(share * n), replace=False):
+                other[at] = rng.choice([other[at] + "z", "", "y"])
+            rows.append((text, "".join(other)))
+    frame = spark.createDataFrame(rows, "x string, y string").withColumn("z", lines.edit_similar("x", "y"))
+    assert all(r.z == similar(r.x, r.y) for r in frame.collect())
 
 
 def test_drop_lines(spark):
