@@ -228,6 +228,42 @@ def test_line_search_over_fingerprints_is_whole(spark, blocks):
     assert union(len(fps), [(r.a, r.b) for r in links]) == union(len(fps), near)
 
 
+def quick_edits(a, b):
+    """The edit distance by bits of whole numbers, a column at a time."""
+    where, top, full = {}, 1 << len(a) - 1, (1 << len(a)) - 1
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | 1 << i
+    up, down, far = full, 0, len(a)
+    for y in b:
+        same = where.get(y, 0)
+        flat = (((same & up) + up) ^ up) | same | down
+        right, left = down | (full & ~(flat | up)), up & flat
+        far += bool(right & top) - bool(left & top)
+        right = (right << 1 | 1) & full
+        up, down = ((left << 1) & full) | (full & ~(same | down | right)), right & (same | down)
+    return far
+
+
+def test_recall_against_edit_similarity_alone(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = lines.split_lines(docs).join(lines.line_groups(docs), [common.ROW, "line_no"])
+    of = {r.norm: (r.group_doc, r.group_line) for r in found.where("length(norm) <= 2000").collect() if r.norm}
+    norms = sorted(of, key=len)
+    letters = sorted(set("".join(norms)))
+    counts = np.array([[n.count(c) for c in letters] for n in norms])
+    pairs = []
+    for i, x in enumerate(norms):
+        for j in range(i + 1, len(norms)):
+            most = int(0.2 * len(norms[j]) + 1e-9)
+            if len(norms[j]) - len(x) > most:
+                break
+            more = counts[j] - counts[i]
+            if max(more[more > 0].sum(), -more[more < 0].sum()) <= most and quick_edits(x, norms[j]) <= most:
+                pairs.append(of[x] == of[norms[j]])
+    assert quick_edits("kitten", "sitting") == 3 and len(pairs) > 20
+    assert sum(pairs) >= 0.9 * len(pairs)
+
+
 def test_edit_similarity_is_that_of_the_whole_distance(spark):
     rng = np.random.default_rng(9)
     rows = []
