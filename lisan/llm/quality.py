@@ -6,16 +6,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ROW, held_out, with_row_id
+from .common import ROW, held_out, with_row_id, written
 
 #: Words of a passage.
 PASSAGE = 64
-#: The classifier is fitted on at most so many labelled documents, drawn by a hash of their id, and on at most so
-#: many passages of each, spread evenly. Scoring reads all passages of all documents.
-TRAIN_DOCS, TRAIN_PASSAGES = 4_000, 256
+#: The classifier is fitted on all passages of at most so many labelled documents of at most so many bytes in all,
+#: drawn by a hash of their id; a document of more than an eighth of these bytes is not drawn. The driver holds less
+#: than two bytes of features for each byte. Scoring reads all passages of all documents.
+TRAIN_DOCS, TRAIN_BYTES = 4_000, 32_000_000
+#: Passages of one step of the fit, unless a single document has more.
+STEP_PASSAGES = 8_192
 HIDDEN, ATTENTION, EPOCHS, BATCH, RATE, SEED = 24, 12, 25, 64, 0.01, 42
 THRESHOLD = 0.7
 #: Bytes whose features are computed together.
@@ -183,9 +186,7 @@ class AttentionModel:
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(v) for k, v in self.p.items()}
         for epoch in range(epochs):
-            order = rng.permutation(len(bags))
-            for at in range(0, len(order), BATCH):
-                part = order[at : at + BATCH]
+            for part in batches_of(rng.permutation(len(bags)), [len(b) for b in bags]):
                 n = np.array([len(bags[i]) for i in part])
                 step += 1
                 for k, grad in self.gradient(np.vstack([bags[i] for i in part]), n, labels[part]).items():
@@ -197,13 +198,27 @@ class AttentionModel:
         return self
 
 
+def batches_of(order: np.ndarray, sizes: list[int], docs: int = BATCH, passages: int = STEP_PASSAGES) -> Iterator[list]:
+    """The documents in their order, in batches of at most ``docs`` documents and ``passages`` passages, or one document."""
+    part, held = [], 0
+    for i in order.tolist():
+        if part and (len(part) == docs or held + sizes[i] > passages):
+            yield part
+            part, held = [], 0
+        part.append(i)
+        held += sizes[i]
+    if part:
+        yield part
+
+
 def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-    train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES,
+    train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES,
 ) -> AttentionModel | None:
     """A model fitted on labelled documents that are not held out, a bounded sample of them; None without any.
 
-    Several labels of a document are averaged and rounded; null labels and null ids are passed over.
+    Several labels of a document are averaged and rounded; null labels and null ids are passed over. Of the rows of a
+    repeated id one is drawn, that of the least hash of its text.
     """
     own = labels.where(F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{doc_id}`").alias("__id"))
     own = own.agg((F.avg(F.col(f"`{label}`").cast("double")) >= 0.5).cast("double").alias("__label"))
@@ -211,15 +226,20 @@ def train(
     ids = docs.select(F.col(f"`{doc_id}`").alias("__id")).distinct()
     drawn = ids.join(own, "__id").orderBy(F.xxhash64("__id", F.lit(SEED)), "__id").limit(train_docs)
     drawn = F.broadcast(drawn)  # at most train_docs rows
-    rows = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("text")).join(drawn, "__id")
+    base = with_row_id(docs, doc_id, text)
+    base = base.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("text"), ROW)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), ROW, size)).alias("one")
+    held = base.join(drawn, "__id").groupBy("__id", "__label").agg(one).where(F.col("one.size") <= train_bytes // 8)
+    before = F.sum("one.size").over(Window.orderBy(F.xxhash64("__id", F.lit(SEED)), "__id"))  # of train_docs rows
+    chosen = held.withColumn("bytes", before).where(F.col("bytes") <= train_bytes)
+    chosen = written(chosen.select(F.col(f"one.{ROW}").alias(ROW), "__label"))
+    rows = base.join(F.broadcast(chosen), ROW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, n = encode(batch.column(1).to_pylist())
-            bags = []
-            for part in np.split(x, np.cumsum(n)[:-1]) if len(n) else []:
-                every = np.unique(np.linspace(0, len(part) - 1, min(len(part), train_passages)).astype(int))
-                bags.append(part[every].tobytes())
+            bags = [part.tobytes() for part in np.split(x, np.cumsum(n)[:-1])] if len(n) else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.string()), batch.column(2), pa.array(bags, pa.binary())],
                 names=["id", "label", "bag"],

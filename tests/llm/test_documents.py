@@ -497,6 +497,48 @@ def test_quality_of_odd_rows(spark, edge_docs, edge_rows, no_docs):
     assert quality.score(no_docs, labels).count() == 0
 
 
+def test_training_draws_one_row_of_an_id_within_its_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality.AttentionModel, "fit", lambda self, bags, labels: seen.append((bags, labels)))
+    rows = [(1, f"copy {i} of one id") for i in range(300)] + [(i, "some words " * 700) for i in (3, 4, 5, 7, 8)]
+    rows += [(9, None), (10, "many words " * 20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    trained = {i for i in (1, 3, 4, 5, 7, 8, 9, 10) if zlib.crc32(str(i).encode()) % 4 != 2}
+    quality.train(docs, labels)
+    assert len(seen[-1][0]) == len(trained)
+    assert max(map(len, seen[-1][0])) == (625 if 10 in trained else 22)
+    quality.train(docs, labels, train_bytes=8 * 7_700)
+    assert len(seen[-1][0]) == len(trained - {10})
+    quality.train(docs, labels, train_docs=2)
+    assert len(seen[-1][0]) == 2
+    parts = list(quality.batches_of(np.arange(6), [5, 5, 30, 1, 1, 1], docs=2, passages=10))
+    assert parts == [[0, 1], [2], [3, 4], [5]]
+
+
+def test_scores_are_those_of_a_plain_forward_pass():
+    rng = np.random.default_rng(4)
+    model = quality.AttentionModel()
+    n = np.array([3, 1, 4])
+    x = rng.normal(size=(8, quality.FEATURES)) * 3
+    p, at = model.p, 0
+    for bag, score in zip(n, model.score(x, n)):
+        hidden, weight = [], []
+        for row in x[at : at + bag]:
+            scaled = [max(-8.0, min(8.0, (v - m) / s)) for v, m, s in zip(row, np.broadcast_to(model.mean, row.shape), np.broadcast_to(model.scale, row.shape))]
+            h = [np.tanh(sum(v * w for v, w in zip(scaled, p["w"][:, k])) + p["b"][k]) for k in range(len(p["b"]))]
+            gate = [
+                np.tanh(sum(a * b for a, b in zip(h, p["v"][:, k]))) / (1 + np.exp(-sum(a * b for a, b in zip(h, p["u"][:, k]))))
+                for k in range(p["v"].shape[1])
+            ]
+            hidden.append(h)
+            weight.append(np.exp(sum(a * b for a, b in zip(gate, p["q"]))))
+        share = [w / sum(weight) for w in weight]
+        whole = [sum(a * h[k] for a, h in zip(share, hidden)) for k in range(len(p["c"]))]
+        assert abs(score - 1 / (1 + np.exp(-(sum(a * b for a, b in zip(whole, p["c"])) + float(p["d"][0]))))) < 1e-9
+        at += bag
+
+
 def test_passages_do_not_depend_on_neighbours():
     texts = ["one two two three", None, " \n ", "x " * 200 + "end", "Ünder 12 | 34!!"]
     x, n = quality.encode(texts)
