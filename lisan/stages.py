@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lisan.functions import tags as G
 from lisan.functions import text as T
-from lisan.functions.arrays import let
+from lisan.functions.arrays import let, positions
 from lisan.operators import learning, tagging
 
 SPLITTERS = {"plain": T.sentence_spans, "arabic": T.arabic_sentence_spans}
@@ -200,11 +200,32 @@ class _TagReader(MLReader):
 
 def annotation_rows(annotated: DataFrame, tokens: str = "token", tags: str = "pos", id_column: str = "doc_id") -> DataFrame:
     """``(article_index, sentence_index, token_index, token, pos)`` of token and tag annotations."""
-    numbers = F.transform(
-        F.col(tokens),
-        lambda t, i: F.struct(t["sentence"].alias("sentence_index"), i.alias("at"), t["result"].alias("token"), F.get(F.col(tags), i)["result"].alias("pos")),
-    )
-    first = F.transform(F.col(tokens), lambda t: t["sentence"])
-    rows = annotated.select(F.col(id_column).alias("article_index"), first.alias("sentences"), F.inline(numbers))
-    index = F.col("at") - (F.array_position("sentences", F.col("sentence_index")) - 1)
-    return rows.select("article_index", "sentence_index", index.cast("int").alias("token_index"), "token", "pos")
+    ts = F.col(tokens)
+
+    def numbered(sentences: Column) -> Column:
+        opens = lambda i: (i == 0) | ~F.get(sentences, i).eqNullSafe(F.get(sentences, i - 1))
+        return let(F.filter(positions(sentences), opens), lambda starts: runs(sentences, starts))
+
+    def runs(sentences: Column, starts: Column) -> Column:
+        """Tokens are numbered run by run of one sentence; a sentence of several runs counts from its first one."""
+        own = F.transform(starts, lambda s: F.get(sentences, s))
+
+        def tokens_of(s: Column, k: Column, first: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(ts))
+            return F.transform(
+                F.slice(ts, s + 1, end - s),
+                lambda t, i: F.struct(
+                    t["sentence"].alias("sentence_index"), (s - first + i).alias("token_index"), t["result"].alias("token"),
+                    F.get(F.col(tags), s + i)["result"].alias("pos"),
+                ),
+            )
+
+        once = F.transform(starts, lambda s, k: tokens_of(s, k, F.when(F.get(sentences, s).isNotNull(), s)))
+        again = lambda of: F.transform(
+            starts, lambda s, k: tokens_of(s, k, F.get(starts, F.array_position(of, F.get(sentences, s)).cast("int") - 1))
+        )
+        each = let(own, lambda of: F.when(F.size(F.array_distinct(of)) == F.size(of), once).otherwise(again(of)))
+        return F.flatten(each)
+
+    numbers = let(F.transform(ts, lambda t: t["sentence"]), numbered)
+    return annotated.select(F.col(id_column).alias("article_index"), F.inline(numbers))

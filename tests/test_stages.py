@@ -69,3 +69,29 @@ def test_a_learned_stage_is_saved_and_loaded(spark, docs, tmp_path):
 def test_no_documents(spark, docs):
     model = Pipeline(stages=parts()).fit(docs)
     assert model.transform(docs.limit(0)).count() == 0
+
+
+def test_a_long_document_is_numbered_in_a_time_in_proportion(spark):
+    """A document of 60,000 tokens: work for each token over all tokens took minutes."""
+    import time
+
+    text = "the dog runs. " * 15_000
+    docs = spark.createDataFrame([(1, text, "en")], "doc_id bigint, text string, lang string")
+    annotated = Pipeline(stages=parts()).fit(docs).transform(docs)
+    start = time.monotonic()
+    rows = stages.annotation_rows(annotated)
+    found = rows.groupBy("token_index", "token").count().collect()
+    assert {(r.token_index, r.token): r["count"] for r in found} == {(0, "the"): 15_000, (1, "dog"): 15_000, (2, "runs"): 15_000, (3, "."): 15_000}
+    assert time.monotonic() - start < 60
+
+
+def test_tokens_count_from_the_first_token_of_their_sentence(spark):
+    """Also where the tokens of a sentence do not lie together, or name none."""
+    token = "array<struct<begin:int,end:int,result:string,sentence:int>>"
+    ts = [(0, 0, "a", 0), (2, 2, "b", 1), (4, 4, "c", 1), (6, 6, "d", 0), (8, 8, "e", None)]
+    df = spark.createDataFrame([(1, ts, ts), (2, [], []), (3, None, None), (4, ts[:3], ts[:2])], f"doc_id bigint, token {token}, pos {token}")
+    rows = [tuple(r) for r in stages.annotation_rows(df).orderBy("article_index", "token").collect()]
+    assert rows == [
+        (1, 0, 0, "a", "a"), (1, 1, 0, "b", "b"), (1, 1, 1, "c", "c"), (1, 0, 3, "d", "d"), (1, None, None, "e", "e"),
+        (4, 0, 0, "a", "a"), (4, 1, 0, "b", "b"), (4, 1, 1, "c", None),
+    ]
