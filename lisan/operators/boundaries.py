@@ -23,6 +23,12 @@ ABBREVIATION_SCORE, STARTER_SCORE, STOP_SHARE = 0.3, 30.0, 0.99
 # Learned words travel inside the splitting expression; a longer list asks for a higher score.
 MOST_WORDS, MOST_BYTES = 5_000, 200_000
 
+# A sentence end, what forbids it, and what allows it all the same; %s stands for learned words.
+_ENDS = rf"(?<=[.!?][{C.CLOSERS}]{{0,3}})"
+_GUARD = rf"(?<!(?<![\p{{L}}\p{{N}}.])(?iu:%s)\.[{C.CLOSERS}]{{0,3}})"
+_NEXT_WORD = rf"[{T.SPACE_CLASS}]+[^\p{{L}}\p{{N}}{T.SPACE_CLASS}]*"
+_LATER = rf"(?={_NEXT_WORD}\p{{Lu}})(?={_NEXT_WORD}(?iu:%s)(?![\p{{L}}\p{{N}}]))"
+
 
 def _core(token: Column) -> Column:
     """A token from its first letter or digit to its last one or full stop."""
@@ -43,14 +49,14 @@ def _tokens(text: Column) -> Column:
 def type_counts(docs: DataFrame) -> DataFrame:
     """``(lang, type, stopped, plain)``: how often each word comes with and without a full stop, by language.
 
-    Words are folded inside each map task, so a frequent one is a row per task in the shuffle. A null language is the
-    empty string.
+    Tokens are folded as they stand before they are looked at, so each is cleaned once a task and a frequent one is a
+    row per task in the shuffle. A null language is the empty string.
     """
-    types = F.filter(F.transform(_tokens(F.col("text")), lambda t: _typed(_core(t))), lambda x: x.isNotNull())
-    words = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang")).select("lang", F.inline(types))
-    return words.groupBy("lang", "type").agg(
-        F.count(F.when(F.col("stop"), 1)).alias("stopped"), F.count(F.when(~F.col("stop"), 1)).alias("plain")
-    )
+    tokens = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.explode(_tokens(F.col("text"))).alias("token"))
+    folded = tokens.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("c"))
+    words = folded.select("lang", "c", _typed(_core(F.col("token"))).alias("x")).where("x IS NOT NULL").select("lang", "c", "x.type", "x.stop")
+    some = lambda test: F.coalesce(F.sum(F.when(test, F.col("c"))), F.lit(0).cast("bigint"))
+    return words.groupBy("lang", "type").agg(some(F.col("stop")).alias("stopped"), some(~F.col("stop")).alias("plain"))
 
 
 def _xlogy(x: Column, y: Column) -> Column:
@@ -87,35 +93,35 @@ def _by_language(words: DataFrame) -> dict[str, list[str]]:
     return {lang: sorted(types) for lang, types in sorted(out.items())}
 
 
-def _in_language(lang: Column, word: Column, words: Mapping[str, Sequence[str]]) -> Column:
-    test = F.lit(False)
-    for name, types in words.items():
-        test = F.when(lang == name, word.isin(*types)).otherwise(test)
-    return F.coalesce(test, F.lit(False))
-
-
 def sentence_starters(docs: DataFrame, shortened: DataFrame, least: float = STARTER_SCORE) -> DataFrame:
     """``(lang, type, n, starts, score)``: words that follow a sentence end more often than chance has it.
 
     An end is a token that closes with . ! or ? and is none of the ``shortened`` words. The score is the
-    log-likelihood ratio of the two rates, with and without an end before.
+    log-likelihood ratio of the two rates, with and without an end before. Tokens are folded with the end before them
+    before they are looked at; the ``shortened`` words are joined, so they may be any number.
     """
-    known = _by_language(shortened)
-    lang = F.col("lang")
 
-    def starts(ts: Column) -> Column:
+    def after_ends(ts: Column) -> Column:
         def one(t: Column, i: Column) -> Column:
             before = F.get(ts, i - 1)
-            end = F.coalesce(before.rlike(rf"[.!?][{C.CLOSERS}]*$"), F.lit(False))
-            cut = _typed(_core(before))
-            shorter = F.coalesce(cut["stop"] & _in_language(lang, cut["type"], known), F.lit(False))
-            return F.struct(_typed(_core(t))["type"].alias("type"), (end & ~shorter).alias("start"))
+            return F.struct(t.alias("token"), F.when(before.rlike(rf"[.!?][{C.CLOSERS}]*$"), before).alias("before"))
 
-        return F.filter(F.transform(ts, one), lambda x: x["type"].isNotNull())
+        return F.transform(ts, one)
 
     named = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang"))
-    words = named.select("lang", F.inline(let(_tokens(F.col("text")), starts)))
-    counts = written(words.groupBy("lang", "type").agg(F.count("*").alias("n"), F.count(F.when(F.col("start"), 1)).alias("starts")))
+    tokens = named.select("lang", F.inline(let(_tokens(F.col("text")), after_ends)))
+    folded = tokens.groupBy("lang", "token", "before").agg(F.count(F.lit(1)).alias("c"))
+    cut = _typed(_core(F.col("before")))
+    words = folded.select(
+        "lang", "c", _typed(_core(F.col("token")))["type"].alias("type"), F.col("before").isNotNull().alias("end"),
+        F.when(cut["stop"], cut["type"]).alias("cut"),
+    ).where("type IS NOT NULL").groupBy("lang", "type", "end", "cut").agg(F.sum("c").alias("c"))
+    known = shortened.select("lang", F.col("type").alias("cut"), F.lit(True).alias("shorter")).distinct()
+    marked = words.join(broadcast_if_small(known), ["lang", "cut"], "left")
+    starts = F.when(F.col("end") & F.col("shorter").isNull(), F.col("c"))
+    counts = written(
+        marked.groupBy("lang", "type").agg(F.sum("c").alias("n"), F.coalesce(F.sum(starts), F.lit(0).cast("bigint")).alias("starts"))
+    )
     totals = counts.groupBy("lang").agg(F.sum("n").alias("tokens"), F.sum("starts").alias("ends"))
     n, a, b, ab = F.col("tokens"), F.col("ends"), F.col("n"), F.col("starts")
     p, p1, p2 = b / n, ab / a, (b - ab) / F.nullif(n - a, F.lit(0))
@@ -145,12 +151,11 @@ class SentenceEnds:
         A full stop after an abbreviation ends a sentence only before a capitalised sentence starter.
         """
         either = lambda words: "|".join(map(re.escape, words))
-        ends = rf"(?<=[.!?][{C.CLOSERS}]{{0,3}})"
+        ends = _ENDS
         if self.shortened.get(lang):
-            guard = rf"(?<!(?<![\p{{L}}\p{{N}}.])(?iu:{either(self.shortened[lang])})\.[{C.CLOSERS}]{{0,3}})"
+            guard = _GUARD % either(self.shortened[lang])
             if self.starters.get(lang):
-                later = rf"(?=[{T.SPACE_CLASS}]+[^\p{{L}}\p{{N}}{T.SPACE_CLASS}]*\p{{Lu}})(?=[{T.SPACE_CLASS}]+[^\p{{L}}\p{{N}}{T.SPACE_CLASS}]*(?iu:{either(self.starters[lang])})(?![\p{{L}}\p{{N}}]))"
-                guard = rf"(?:{guard}|{later})"
+                guard = f"(?:{guard}|{_LATER % either(self.starters[lang])})"
             ends += guard
         return ends + rf"[{T.SPACE_CLASS}]+"
 
@@ -163,8 +168,84 @@ class SentenceEnds:
         return out
 
 
-def learned_sentences(docs: DataFrame, ends: SentenceEnds) -> DataFrame:
+def _folded(word: Column) -> Column:
+    """A word without the differences that a pattern overlooks with (?iu), and some more."""
+    return F.translate(F.lower(F.upper(F.lower(word))), "\u0307", "")
+
+
+def _filled(pattern: str, words: Column) -> Column:
+    """The pattern with a choice of ``words`` in place of %s."""
+    quoted = F.transform(F.array_sort(words), lambda w: F.regexp_replace(w, r"([^\p{L}\p{N}])", r"\\$1"))
+    before, after = pattern.split("%s")
+    return F.concat(F.lit(before), F.array_join(quoted, "|"), F.lit(after))
+
+
+def _at_ends(text: Column, shortened: int | None, starters: int | None) -> Column:
+    """array<struct<starts, word>>: what stands before and after full stops, up to the lengths of the longest words."""
+    letter = rf"[!-~[^{T.SPACE_CLASS}]]"
+    found = []
+    if shortened:
+        before = rf"(?<![\p{{L}}\p{{N}}.])(?=({letter}{{1,{shortened}}})\.[{C.CLOSERS}]{{0,3}}[{T.SPACE_CLASS}])"
+        found.append((False, F.regexp_extract_all(text, F.lit(before), F.lit(1))))
+    if shortened and starters:
+        after = rf"\.(?=[{C.CLOSERS}]{{0,3}}{_NEXT_WORD}({letter}{{1,{starters}}}))"
+        # The beginnings of a word are the ends of it read backwards.
+        ends = lambda w: F.regexp_extract_all(F.reverse(w), F.lit(r"(?<![\p{L}\p{N}])(?=(.+)$)"), F.lit(1))
+        words = F.array_distinct(F.regexp_extract_all(text, F.lit(after), F.lit(1)))
+        found.append((True, F.transform(F.flatten(F.transform(words, ends)), F.reverse)))
+
+    def marked(starts: bool, words: Column) -> Column:
+        return F.transform(F.array_distinct(F.transform(words, _folded)), lambda w: F.struct(F.lit(starts).alias("starts"), w.alias("word")))
+
+    each = [marked(*x) for x in found]
+    return F.concat(*each) if each else F.array().cast("array<struct<starts:boolean,word:string>>")
+
+
+@dataclass(frozen=True)
+class EndTables:
+    """Learned words as tables ``(lang, type)`` of any size; their words begin with a letter or digit."""
+
+    shortened: DataFrame
+    starters: DataFrame
+
+    @classmethod
+    def learned(cls, docs: DataFrame, least: float = ABBREVIATION_SCORE) -> EndTables:
+        """Learn both tables from ``(text, lang)`` documents."""
+        shortened = written(abbreviations(docs, least).select("lang", "type"))
+        return cls(shortened, written(sentence_starters(docs, shortened).select("lang", "type")))
+
+    def split(self, docs: DataFrame) -> DataFrame:
+        """``(doc_id, sentences)`` as ``SentenceEnds.split`` has them.
+
+        Each text gets the pattern of those learned words that may stand at its own ends: words before and after full
+        stops are joined with the tables, what is found is folded by text, and the texts meet their words by digest.
+        """
+        tables = self.shortened.select("lang", "type", F.lit(False).alias("starts"))
+        tables = tables.unionByName(self.starters.select("lang", "type", F.lit(True).alias("starts")))
+        tables = written(tables.select("lang", _folded(F.col("type")).alias("word"), "starts", "type"))
+        longest = {r["starts"]: r["n"] for r in tables.groupBy("starts").agg(F.max(F.length("type")).alias("n")).collect()}
+        languages = tables.select("lang").distinct()
+        named = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("own")).join(
+            broadcast_if_small(languages), F.col("own") == F.col("lang"), "left"
+        )
+        named = named.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"), F.sha2("text", 256).alias("digest"))
+        asked = named.select("lang", "digest", F.inline(_at_ends(F.col("text"), longest.get(False), longest.get(True))))
+        hits = asked.join(broadcast_if_small(tables), ["lang", "word", "starts"]).groupBy("lang", "digest").agg(
+            F.collect_set(F.when(~F.col("starts"), F.col("type"))).alias("shortened"),
+            F.collect_set(F.when(F.col("starts"), F.col("type"))).alias("starters"),
+        )
+        met = named.join(broadcast_if_small(written(hits)), ["lang", "digest"], "left")
+        guard = _filled(_GUARD, F.col("shortened"))
+        either = F.concat(F.lit("(?:"), guard, F.lit("|"), _filled(_LATER, F.col("starters")), F.lit(")"))
+        guard = F.when(F.size("shortened") > 0, F.when(F.size("starters") > 0, either).otherwise(guard)).otherwise("")
+        gap = F.concat(F.lit(_ENDS), guard, F.lit(rf"[{T.SPACE_CLASS}]+"))
+        return met.select("doc_id", T.split_by(F.col("text"), gap).alias("sentences"))
+
+
+def learned_sentences(docs: DataFrame, ends: SentenceEnds | EndTables) -> DataFrame:
     """``(doc_id, sentence_index, sentence)`` of ``(doc_id, text, lang)`` documents by learned sentence ends."""
+    if isinstance(ends, EndTables):
+        return ends.split(docs).select("doc_id", F.posexplode("sentences").alias("sentence_index", "sentence"))
     return docs.select(
         "doc_id", F.posexplode(ends.split(F.col("text"), F.coalesce("lang", F.lit("")))).alias("sentence_index", "sentence")
     )

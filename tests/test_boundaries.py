@@ -109,3 +109,28 @@ def test_no_documents(spark):
     assert ends.shortened == {} and ends.starters == {}
     only = spark.range(1).select(ends.split(F.lit("A b. C"), F.lit("en")).alias("x")).first().x
     assert only == ["A b.", "C"]
+
+
+def test_tables_split_as_the_expression_does(spark, docs, monkeypatch):
+    """Whatever case and signs the words have, and however many they are; a text may come twice or lack its id."""
+    rows = [
+        (1, "en", "Dr. Who met DR. Jones. However (vs.) He went, e.g. twelve-vs. The end. E.G. \"However\" it was x-dr.) THE-re. A."),
+        (1, "en", "Dr. Who met DR. Jones."), (None, "xx", "Mr. X is (mr.) here. mr. Y"), (None, None, "Mr. X. Go. İs. maſ."), (5, "de", "z. B. ist. Es"),
+        (6, "en", None), (7, "en", "  "), (1, "en", "Dr. Who met DR. Jones."),
+    ]
+    some = spark.createDataFrame(rows, DOCS).unionByName(docs)
+    shortened = [("en", w) for w in ("dr", "vs", "e.g", "a+b", "twelve-vs", "i̇s", "mas")] + [("", "mr"), ("", "mas"), ("de", "z"), ("de", "b")]
+    starters = [("en", "however"), ("en", "the"), ("en", "he"), ("xx", "y"), ("de", "ist")]
+    lists = [{}, {}]
+    for words, into in zip((shortened, starters), lists):
+        for lang, word in words:
+            into.setdefault(lang, []).append(word)
+    frames = [spark.createDataFrame(words, "lang string, type string") for words in (shortened, starters)]
+    counted = lambda ends: sorted((str(tuple(r)) for r in boundaries.learned_sentences(some, ends).collect()))
+    want = counted(boundaries.SentenceEnds(*lists))
+    assert counted(boundaries.EndTables(*frames)) == want and len(want) > 100
+    monkeypatch.setattr(boundaries, "MOST_WORDS", 2)  # what fits no expression still fits the tables
+    monkeypatch.setattr(boundaries, "broadcast_if_small", lambda df: df)
+    assert counted(boundaries.EndTables(*frames)) == want
+    assert boundaries.learned_sentences(docs, boundaries.EndTables.learned(docs)).count() > 0
+    assert boundaries.learned_sentences(docs.limit(0), boundaries.EndTables.learned(docs.limit(0))).count() == 0
