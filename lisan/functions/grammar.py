@@ -19,7 +19,7 @@ from lisan.functions.arrays import let, running_totals
 # A node's character says which tag patterns of its stage it meets: one bit each.
 MOST_PATTERNS = 12
 _FIRST = 0x4E00
-_NODE = "array<struct<tag:string,start:int,end:int>>"
+_NODE = "array<struct<tag:string,start:int,end:int,fresh:boolean>>"
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,11 @@ def _codes(nodes: Column, stage: Stage) -> Column:
     def code(node: Column) -> Column:
         mask = F.lit(1)
         for k, tag in enumerate(stage.tags):
-            mask = mask + F.when(node["tag"].rlike(f"^(?:{tag})$"), 1 << k).otherwise(0)
+            # A name without signs is met by itself and, as $ has it, by itself before a line end.
+            met = node["tag"].rlike(f"^(?:{tag})$")
+            if tag.isalnum():
+                met = F.when(node["tag"] == tag, True).otherwise(F.startswith(node["tag"], F.lit(tag)) & met)
+            mask = mask + F.when(met, 1 << k).otherwise(0)
         return F.substring(F.lit(alphabet), mask, F.lit(1))
 
     return F.array_join(F.transform(nodes, code), "")
@@ -97,9 +101,12 @@ def _next_nodes(nodes: Column, stage: Stage) -> Column:
         )
 
     def node(i: Column, first: Column, end: Column) -> Column:
+        # A chunk is not fresh where it holds nothing but a node of its own label.
+        known = (end - first == 1) & (F.get(nodes, first)["tag"] == stage.label)
         whole = F.struct(
-            F.lit(stage.label).alias("tag"), F.get(nodes, first)["start"].alias("start"), F.get(nodes, end - 1)["end"].alias("end")
-        )
+            F.lit(stage.label).alias("tag"), F.get(nodes, first)["start"].alias("start"), F.get(nodes, end - 1)["end"].alias("end"),
+            (~F.coalesce(known, F.lit(False))).alias("fresh"),
+        )
         inside = F.slice(nodes, first + 1, end - first)
         return F.when(i % 2 == 1, F.array(whole)).otherwise(inside).cast(_NODE)
 
@@ -111,12 +118,14 @@ def chunks(tokens: Column, tags: Column, stages: Sequence[Stage]) -> Column:
 
     Chunks may hold chunks of earlier stages. Everything happens in the sentence's row.
     """
-    nodes = F.transform(tags, lambda t, i: F.struct(t.alias("tag"), i.alias("start"), (i + 1).alias("end"))).cast(_NODE)
+    def old(tag: Column, start: Column, end: Column) -> Column:
+        return F.struct(tag.alias("tag"), start.alias("start"), end.alias("end"), F.lit(False).alias("fresh"))
+
+    nodes = F.transform(tags, lambda t, i: old(t, i, i + 1)).cast(_NODE)
 
     def run(nodes: Column, rest: Sequence[Stage]) -> Column:
         def found(after: Column) -> Column:
-            own = F.filter(after, lambda n: (n["tag"] == rest[0].label))
-            fresh = F.filter(own, lambda n: ~F.array_contains(nodes, n))
+            fresh = F.filter(after, lambda n: n["fresh"] & (n["tag"] == rest[0].label))
             named = F.transform(
                 fresh,
                 lambda n: F.struct(
@@ -124,7 +133,10 @@ def chunks(tokens: Column, tags: Column, stages: Sequence[Stage]) -> Column:
                     F.array_join(F.slice(tokens, n["start"] + 1, n["end"] - n["start"]), " ").alias("phrase"),
                 ),
             )
-            return F.concat(named, run(after, rest[1:])) if len(rest) > 1 else named
+            if len(rest) == 1:
+                return named
+            seen = F.transform(after, lambda n: old(n["tag"], n["start"], n["end"])).cast(_NODE)
+            return F.concat(named, let(seen, lambda ns: run(ns, rest[1:])))
 
         return let(_next_nodes(nodes, rest[0]), found)
 

@@ -86,3 +86,21 @@ def test_agrees_with_the_fixed_grammar_and_a_plain_matcher(spark):
         want = [m.span() for m in re.finditer("D?J*N+", letters)]
         assert [(c.start_token, c.end_token) for c in r.a] == want
         assert [(c.start_token, c.end_token, c.phrase) for c in r.a] == [(c.start_token, c.end_token, c.phrase) for c in r.b]
+
+
+def test_a_chunk_is_named_once(chunked):
+    """A stage of a label that is there already names only what it makes itself; a tag may be called like a label."""
+    tags = "NN VB NP NN NP".split()
+    assert chunked(tags, [NP, ("NP", ["{<NP>}"])]) == [("NP", 0, 1), ("NP", 3, 4)]
+    assert chunked(tags, [NP, ("NP", ["{<NP>+}"])]) == [("NP", 0, 1), ("NP", 3, 4), ("NP", 2, 5)]
+
+
+def test_a_long_sentence_takes_a_time_in_proportion(spark):
+    """120,000 tags without an end: comparing each chunk with all nodes took minutes."""
+    import time
+
+    tags = F.flatten(F.array_repeat(F.array(*map(F.lit, ["DT", "NN", "IN", "NN"])), 30_000))
+    df = spark.range(1).select(tags.alias("tags"))
+    start = time.monotonic()
+    found = df.select(F.size(R.chunks(F.col("tags"), F.col("tags"), R.compile_grammar([("NP", ["{<DT>?<NN>}"])]))).alias("n")).first().n
+    assert found == 60_000 and time.monotonic() - start < 60
