@@ -49,14 +49,14 @@ def _tokens(text: Column) -> Column:
 def type_counts(docs: DataFrame) -> DataFrame:
     """``(lang, type, stopped, plain)``: how often each word comes with and without a full stop, by language.
 
-    Tokens are folded as they stand before they are looked at, so each is cleaned once a task and a frequent one is a
-    row per task in the shuffle. A null language is the empty string.
+    Words are folded inside each map task, so a frequent one is a row per task in the shuffle. A null language is the
+    empty string.
     """
-    tokens = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.explode(_tokens(F.col("text"))).alias("token"))
-    folded = tokens.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("c"))
-    words = folded.select("lang", "c", _typed(_core(F.col("token"))).alias("x")).where("x IS NOT NULL").select("lang", "c", "x.type", "x.stop")
-    some = lambda test: F.coalesce(F.sum(F.when(test, F.col("c"))), F.lit(0).cast("bigint"))
-    return words.groupBy("lang", "type").agg(some(F.col("stop")).alias("stopped"), some(~F.col("stop")).alias("plain"))
+    types = F.filter(F.transform(_tokens(F.col("text")), lambda t: _typed(_core(t))), lambda x: x.isNotNull())
+    words = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang")).select("lang", F.inline(types))
+    return words.groupBy("lang", "type").agg(
+        F.count(F.when(F.col("stop"), 1)).alias("stopped"), F.count(F.when(~F.col("stop"), 1)).alias("plain")
+    )
 
 
 def _xlogy(x: Column, y: Column) -> Column:
@@ -111,11 +111,18 @@ def sentence_starters(docs: DataFrame, shortened: DataFrame, least: float = STAR
     named = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang"))
     tokens = named.select("lang", F.inline(let(_tokens(F.col("text")), after_ends)))
     folded = tokens.groupBy("lang", "token", "before").agg(F.count(F.lit(1)).alias("c"))
-    cut = _typed(_core(F.col("before")))
-    words = folded.select(
-        "lang", "c", _typed(_core(F.col("token")))["type"].alias("type"), F.col("before").isNotNull().alias("end"),
-        F.when(cut["stop"], cut["type"]).alias("cut"),
-    ).where("type IS NOT NULL").groupBy("lang", "type", "end", "cut").agg(F.sum("c").alias("c"))
+    # A generator, so that no filter or field asks for the patterns again.
+    seen = let(
+        _core(F.col("token")),
+        lambda own: let(
+            let(_core(F.col("before")), _typed),
+            lambda cut: F.array(
+                F.struct(_typed(own)["type"].alias("type"), F.col("before").isNotNull().alias("end"), F.when(cut["stop"], cut["type"]).alias("cut"))
+            ),
+        ),
+    )
+    words = folded.select("lang", "c", F.inline(F.filter(seen, lambda x: x["type"].isNotNull())))
+    words = words.groupBy("lang", "type", "end", "cut").agg(F.sum("c").alias("c"))
     known = shortened.select("lang", F.col("type").alias("cut"), F.lit(True).alias("shorter")).distinct()
     marked = words.join(broadcast_if_small(known), ["lang", "cut"], "left")
     starts = F.when(F.col("end") & F.col("shorter").isNull(), F.col("c"))
