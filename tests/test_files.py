@@ -13,7 +13,7 @@ from lisan.data import tables
 from lisan.operators import entities
 from lisan.plans import queries as Q
 from lisan.plans.report import analyse_corpus
-from lisan.sources.files import write_csv, write_lines
+from lisan.sources.files import FILE_ROWS, write_csv, write_lines
 from lisan.sources.jsonl import from_texts, gold_labels, read_jsonl, with_doc_index
 
 ARABIC = "قال العالم مرحبا. زار محمد بن سلمان الرياض! ما هذا؟ قال العالم نعم. ثم زار المدينة."
@@ -45,6 +45,14 @@ def test_csv_with_byte_order_mark(spark, tmp_path):
     assert read_back(tmp_path / "out", "utf-8-sig")[1] == ["سلام", "NOUN"]
 
 
+def test_csv_files_do_not_grow_with_a_task(spark, tmp_path):
+    write_csv(spark.range(2 * FILE_ROWS + 1).coalesce(1), str(tmp_path / "out"), bom=True)
+    parts = sorted((tmp_path / "out").glob("part-*.csv"))
+    assert [len(p.read_text(encoding="utf-8-sig").splitlines()) - 1 for p in parts] == [FILE_ROWS, FILE_ROWS, 1]
+    found = spark.read.schema("id bigint").option("header", True).option("multiLine", True).csv(str(tmp_path / "out"))
+    assert sorted(r[0] for r in found.collect()) == list(range(2 * FILE_ROWS + 1))
+
+
 def test_csv_compression(spark, tmp_path):
     write_csv(spark.range(3), str(tmp_path / "out"), compression="gzip")
     assert list((tmp_path / "out").glob("part-*.csv.gz"))
