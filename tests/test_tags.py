@@ -84,3 +84,22 @@ def test_scores_against_given_gold(spark):
     assert evaluate.prf1(pairs).first().tp >= 2
     with pytest.raises(Exception, match="Gold and Pred must be same length"):
         tagging.tag_pairs(gold.withColumn("gold", F.array(F.lit("DT")))).collect()
+
+
+def test_shapes_that_need_another_beginning_are_told_apart():
+    assert [G._may_open_low(kind, value) for kind, value, _ in tables.ENGLISH_SHAPES] == [False, *[True] * 12, False, False]
+    patterns = [r"^[0-9]*a", r"^[A-Z]|x", r"^[^a-y]", r"(?i)^[A-Z]", r"^[A-Z]?b", r"[0-9]", r"^[\p{N}a]"]
+    assert all(G._may_open_low("pattern", p) for p in patterns)
+
+
+def test_tags_by_shape_on_every_beginning(spark):
+    tokens = ["under", "Running", "9ing", "ÉTÉ", "élan", "{", "`a", "12.5", "--", "", "zing", "a9", "ß", "x-1", "The", "THE", "that"]
+    made = spark.createDataFrame([(tokens,)], "ts array<string>")
+    found = made.select(tagging.ENGLISH.base_tags(F.col("ts"))).first()[0]
+    assert found == "IN NNP VBG NNP NN ( NN CD : NN VBG NN NN NN DT DT IN".split()
+
+
+def test_a_word_of_two_tags_has_the_first(spark):
+    made = spark.createDataFrame([(["a", "b", "c", "d", "e"],)], "ts array<string>")
+    lexicon = {"X": ["a"], "Y": [], "Z": ["b", "c"], "U": ["c", "a"], "V": ["d", "c"]}
+    assert made.select(G.tag_tokens(F.col("ts"), lexicon, [], "N")).first()[0] == ["X", "Z", "Z", "V", "N"]

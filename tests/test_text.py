@@ -27,6 +27,27 @@ def test_word_tokens(value):
     assert value(T.word_tokenize, text) == expected.split()
 
 
+PLAIN_EDGES = [
+    "a,b 1,000 ,5 x, y: z:9 3,.", "foo.,", "foo.;", "foo.:", "foo. ", "foo.\n", ".", " . ", "", "U.S.A. end", "a.b.?", "-x- _y_ *",
+    "été, naïve; e\u0301a, 10² 50% #1 a@b.c", "GIMME that", "can Cannot", "gonna, wanna.", "lemme?", "a,,b", "a..", "a--b", "x\xa0y.",
+    "it's", 'a "b" c', "(a, b).", "x\x1cy,\x85z", "$5.00!", "a , b . ", "\tq,\r\n7", "?!", "x:,y", ",", "a,", "9,", "9, 9", "w" * 3000 + ", v.1 " * 30000,
+]
+
+
+def test_plain_sentences_are_read_as_by_the_rules(spark):
+    made = spark.createDataFrame([(s,) for s in [*PLAIN_EDGES, None]], "s string")
+    rows = made.select("s", T.word_tokenize(F.col("s")).alias("once"), T._rule_tokens(F.col("s")).alias("rules")).collect()
+    assert [r["s"] for r in rows if r["once"] != r["rules"]] == []
+
+
+@LITTLE
+@given(st.lists(st.text(alphabet="aAé9.,:;?!-_ \n\t'\"()no", max_size=30), min_size=1, max_size=40))
+def test_any_sentence_is_read_as_by_the_rules(spark, texts):
+    made = spark.createDataFrame([(s,) for s in texts], "s string").coalesce(1)
+    rows = made.select("s", T.word_tokenize(F.col("s")).alias("once"), T._rule_tokens(F.col("s")).alias("rules")).collect()
+    assert [r["s"] for r in rows if r["once"] != r["rules"]] == []
+
+
 def test_word_tokens_edges(value):
     assert value(T.word_tokenize, '"Quoted"') == ["``", "Quoted", "''"]
     assert value(T.word_tokenize, "dogs' bones") == ["dogs", "'", "bones"]
