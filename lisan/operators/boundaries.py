@@ -31,31 +31,55 @@ _LATER = rf"(?={_NEXT_WORD}\p{{Lu}})(?={_NEXT_WORD}(?iu:%s)(?![\p{{L}}\p{{N}}]))
 
 
 def _core(token: Column) -> Column:
-    """A token from its first letter or digit to its last one or full stop."""
-    return F.regexp_replace(F.regexp_replace(token, r"^[^\p{L}\p{N}]+", ""), r"[^\p{L}\p{N}.]+$", "")
+    """A token from its first letter or digit to its last one or full stop; empty without one."""
+    return F.regexp_extract(token, r"(?s)[\p{L}\p{N}](?:.*[\p{L}\p{N}.])?", 0)
 
 
 def _typed(core: Column) -> Column:
     """struct<type, stop>: the lower-case word of a core with a letter and whether one full stop ends it; else null."""
-    stop = core.rlike(r"[^.]\.$")
-    word = F.lower(F.when(stop, F.regexp_replace(core, r"\.$", "")).otherwise(core))
-    return F.when(core.rlike(r"\p{L}") & ~core.rlike(r"\.\.$"), F.struct(word.alias("type"), stop.alias("stop")))
+    many = F.endswith(core, F.lit(".."))
+    stop = F.endswith(core, F.lit(".")) & ~many
+    word = F.lower(F.when(stop, F.left(core, F.length(core) - 1)).otherwise(core))
+    return F.when(~many & core.rlike(r"\p{L}"), F.struct(word.alias("type"), stop.alias("stop")))
 
 
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(T.NON_SPACE), F.lit(0))
 
 
-def type_counts(docs: DataFrame) -> DataFrame:
+def token_pairs(docs: DataFrame) -> DataFrame:
+    """``(lang, token, before, c)``: how often each token comes after each token that closes with . ! or ?, else null.
+
+    Tokens are folded inside each map task before any pattern looks at them, so a frequent one is a row per task in
+    the shuffle. A null language is the empty string.
+    """
+    lists = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), _tokens(F.col("text")).alias("ts"))
+    last = F.slice(F.concat(F.array(F.lit(None).cast("string")), "ts"), F.lit(1), F.size("ts"))
+    tokens = lists.select("lang", F.inline(F.arrays_zip("ts", last)).alias("token", "last"))
+    # A cheap test first: nearly every token closes with a letter.
+    end = ~F.right("last", F.lit(1)).between("a", "z") & F.col("last").rlike(rf"[.!?][{C.CLOSERS}]*$")
+    tokens = tokens.select("lang", "token", F.when(end, F.col("last")).alias("before"))
+    return tokens.groupBy("lang", "token", "before").agg(F.count(F.lit(1)).alias("c"))
+
+
+def type_counts(docs: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """``(lang, type, stopped, plain)``: how often each word comes with and without a full stop, by language.
 
-    Words are folded inside each map task, so a frequent one is a row per task in the shuffle. A null language is the
-    empty string.
+    Tokens are folded before the patterns, and words after them. ``pairs`` are the documents' ``token_pairs`` if they
+    are there already. A null language is the empty string.
     """
-    types = F.filter(F.transform(_tokens(F.col("text")), lambda t: _typed(_core(t))), lambda x: x.isNotNull())
-    words = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang")).select("lang", F.inline(types))
+    if pairs is None:
+        named = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang"))
+        tokens = named.select("lang", F.explode(_tokens(F.col("text"))).alias("token"))
+        folded = tokens.groupBy("lang", "token").agg(F.count(F.lit(1)).alias("c"))
+    else:
+        folded = pairs.groupBy("lang", "token").agg(F.sum("c").alias("c"))
+    types = F.filter(F.array(let(_core(F.col("token")), _typed)), lambda x: x.isNotNull())
+    words = folded.select("lang", "c", F.inline(types))
+    none = F.lit(0).cast("bigint")
     return words.groupBy("lang", "type").agg(
-        F.count(F.when(F.col("stop"), 1)).alias("stopped"), F.count(F.when(~F.col("stop"), 1)).alias("plain")
+        F.coalesce(F.sum(F.when(F.col("stop"), F.col("c"))), none).alias("stopped"),
+        F.coalesce(F.sum(F.when(~F.col("stop"), F.col("c"))), none).alias("plain"),
     )
 
 
@@ -63,14 +87,14 @@ def _xlogy(x: Column, y: Column) -> Column:
     return F.when(x == 0, 0.0).otherwise(x * F.ln(F.when(x == 0, 1.0).otherwise(y)))
 
 
-def abbreviations(docs: DataFrame, least: float = ABBREVIATION_SCORE) -> DataFrame:
+def abbreviations(docs: DataFrame, least: float = ABBREVIATION_SCORE, pairs: DataFrame | None = None) -> DataFrame:
     """``(lang, type, stopped, plain, score)`` of the words that are abbreviations in their language.
 
     The score is the log-likelihood ratio of "a full stop follows nearly always" against "as often as after any
     word", times e to the minus its letters, times its full stops, and less for each time it comes without. The
-    totals are one row per language.
+    totals are one row per language. ``pairs`` are the documents' ``token_pairs`` if they are there already.
     """
-    counts = written(type_counts(docs))
+    counts = written(type_counts(docs, pairs))
     totals = counts.groupBy("lang").agg(F.sum("stopped").alias("stops"), F.sum(F.col("stopped") + F.col("plain")).alias("tokens"))
     share = F.col("stops") / F.col("tokens")
     rest, some = F.col("plain"), F.col("stopped")
@@ -93,24 +117,17 @@ def _by_language(words: DataFrame) -> dict[str, list[str]]:
     return {lang: sorted(types) for lang, types in sorted(out.items())}
 
 
-def sentence_starters(docs: DataFrame, shortened: DataFrame, least: float = STARTER_SCORE) -> DataFrame:
+def sentence_starters(
+    docs: DataFrame, shortened: DataFrame, least: float = STARTER_SCORE, pairs: DataFrame | None = None
+) -> DataFrame:
     """``(lang, type, n, starts, score)``: words that follow a sentence end more often than chance has it.
 
     An end is a token that closes with . ! or ? and is none of the ``shortened`` words. The score is the
     log-likelihood ratio of the two rates, with and without an end before. Tokens are folded with the end before them
-    before they are looked at; the ``shortened`` words are joined, so they may be any number.
+    before they are looked at; the ``shortened`` words are joined, so they may be any number. ``pairs`` are the
+    documents' ``token_pairs`` if they are there already.
     """
-
-    def after_ends(ts: Column) -> Column:
-        def one(t: Column, i: Column) -> Column:
-            before = F.get(ts, i - 1)
-            return F.struct(t.alias("token"), F.when(before.rlike(rf"[.!?][{C.CLOSERS}]*$"), before).alias("before"))
-
-        return F.transform(ts, one)
-
-    named = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang"))
-    tokens = named.select("lang", F.inline(let(_tokens(F.col("text")), after_ends)))
-    folded = tokens.groupBy("lang", "token", "before").agg(F.count(F.lit(1)).alias("c"))
+    folded = token_pairs(docs) if pairs is None else pairs
     # A generator, so that no filter or field asks for the patterns again.
     seen = let(
         _core(F.col("token")),
@@ -149,8 +166,9 @@ class SentenceEnds:
     @classmethod
     def learned(cls, docs: DataFrame, least: float = ABBREVIATION_SCORE) -> SentenceEnds:
         """Learn both lists from ``(text, lang)`` documents."""
-        shortened = written(abbreviations(docs, least))
-        return cls(_by_language(shortened), _by_language(sentence_starters(docs, shortened)))
+        pairs = written(token_pairs(docs))
+        shortened = written(abbreviations(docs, least, pairs))
+        return cls(_by_language(shortened), _by_language(sentence_starters(docs, shortened, pairs=pairs)))
 
     def gap(self, lang: str) -> str:
         """The pattern of the blanks between two sentences of a language.
@@ -218,8 +236,9 @@ class EndTables:
     @classmethod
     def learned(cls, docs: DataFrame, least: float = ABBREVIATION_SCORE) -> EndTables:
         """Learn both tables from ``(text, lang)`` documents."""
-        shortened = written(abbreviations(docs, least).select("lang", "type"))
-        return cls(shortened, written(sentence_starters(docs, shortened).select("lang", "type")))
+        pairs = written(token_pairs(docs))
+        shortened = written(abbreviations(docs, least, pairs).select("lang", "type"))
+        return cls(shortened, written(sentence_starters(docs, shortened, pairs=pairs).select("lang", "type")))
 
     def split(self, docs: DataFrame) -> DataFrame:
         """``(doc_id, sentences)`` as ``SentenceEnds.split`` has them.

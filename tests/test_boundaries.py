@@ -134,3 +134,40 @@ def test_tables_split_as_the_expression_does(spark, docs, monkeypatch):
     assert counted(boundaries.EndTables(*frames)) == want
     assert boundaries.learned_sentences(docs, boundaries.EndTables.learned(docs)).count() > 0
     assert boundaries.learned_sentences(docs.limit(0), boundaries.EndTables.learned(docs.limit(0))).count() == 0
+
+
+def test_words_are_learned_from_tokens_folded_once(spark, docs):
+    """Both lists come from one folded table of tokens, with the rows that the documents themselves give."""
+    rows = [
+        (1, "en", "U.S.A. x.. Dr. \"(Mr.)\" ...end. -- .5. 'e.g.' É.) Über! it?! No. Yes. a.b.. c"), (1, "en", "Dr. No. Dr. No."),
+        (2, None, "Dr. (No.) 7. \U00010400. x"), (None, "en", None), (3, "de", "  "), (4, "de", ""), (1, "en", "Dr. No. Dr. No."),
+    ]
+    some = spark.createDataFrame(rows, DOCS).unionByName(docs)
+    pairs = boundaries.written(boundaries.token_pairs(some))
+    assert pairs.where("token IS NULL").count() == 0
+    want = {}
+    for _, lang, text in rows + [tuple(r) for r in docs.select("doc_id", "lang", "text").collect()]:
+        last = None
+        for token in re.findall(r"\S+", text or ""):
+            key = lang or "", token, last if last and re.search(r"[.!?][\"')\]}”’»]*$", last) else None
+            want[key] = want.get(key, 0) + 1
+            last = token
+    assert {(r.lang, r.token, r.before): r.c for r in pairs.collect()} == want
+    rows_of = lambda df: sorted(map(tuple, df.collect()))
+    assert rows_of(boundaries.type_counts(some, pairs)) == rows_of(boundaries.type_counts(some))
+    counts = {(r.lang, r.type): (r.stopped, r.plain) for r in boundaries.type_counts(some, pairs).collect()}
+    assert counts["", "dr"] == (1, 0) and counts["", "\U00010428"] == (1, 0) and ("", "7") not in counts
+    assert counts["en", "u.s.a"] == (1, 0) and counts["en", "end"][0] >= 1 and ("en", "x.") not in counts and ("en", "a.b") not in counts
+    shortened = boundaries.written(boundaries.abbreviations(some))
+    assert rows_of(shortened) == rows_of(boundaries.abbreviations(some, pairs=pairs))
+    assert rows_of(boundaries.sentence_starters(some, shortened)) == rows_of(boundaries.sentence_starters(some, shortened, pairs=pairs))
+
+
+def test_patterns_see_folded_tokens(docs):
+    """The patterns of a word run above the fold, and the texts are cut into tokens once."""
+    plan = boundaries.type_counts(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    steps = [line.lstrip(" :+-") for line in plan.splitlines()]
+    folds = [i for i, x in enumerate(steps) if x.startswith("Aggregate")]
+    assert len(folds) == 2 and folds[0] < next(i for i, x in enumerate(steps) if "regexp_extract(" in x) < folds[1]
+    assert boundaries.token_pairs(docs)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
