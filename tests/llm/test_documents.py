@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -334,6 +336,44 @@ def test_out_of_place_distance(spark, sf_dir):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_packing_cuts_where_the_library_does():
+    """Texts of white space, marks and foreign letters in any order have the library's ids, whatever is cut together."""
+    draw = random.Random(3)
+    bits = [" ", " ", " ", "\n", "\n", "  ", "\n\n", "\t", "\r\n", "\x85", "\xa0", "\u3000", "\x1c", "\x00", "a", "the", "The", "\u00e9t\u00e9",
+            "\u65e5\u672c", "\U00010400", "\u02b0", "\u00b2", "\u0120", "\u010a", "\u2028", "\u200b", "1", "23", ".", ",", "!?", "...", "'s", "I'll",
+            "-", "$", "_", "<|endoftext|", "<|endoftext|>"]
+    texts = ["".join(draw.choices(bits, k=draw.randrange(30))) for _ in range(4_000)] + [None, "", " ", "\n", "a " * 3_000, "\n" * 3_000]
+    draw.shuffle(texts)
+    encoder, tokenizer = packing.Encoder(BYTES), Tokenizer.from_file(BYTES)
+    batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+    for size in (10**9, 700):
+        got = []
+        for part in packing.chunks(batch, 0, size):
+            ids, ends = encoder.encode(part.column(0))
+            got += [x.tolist() for x in np.split(ids, ends)[:-1]]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    assert [len(x) for x in packing.chunks(batch.slice(0, 0), 0)] == []
+
+
+def test_packing_encodes_a_word_once(monkeypatch):
+    """Words that more than a few hundred texts share go to the library once, also without a memory of them."""
+    monkeypatch.setattr(packing, "MEMORY", 0)
+    encoder, seen = packing.Encoder(BYTES), Counter()
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            for text in texts:
+                seen.update(text.split())
+            return encoder_library.encode_batch_fast(texts, **options)
+
+    encoder_library, encoder.tokenizer = encoder.tokenizer, Watched()
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}word" for i in range(300)]
+    texts = pa.array(["x " + " ".join(words[i % 7 :: 7]) + ".\nEnd, x" for i in range(5_000)])
+    for part in packing.chunks(pa.record_batch({"text": texts}), 0):
+        encoder.encode(part.column(0))
+    assert max(seen[w] for w in words) == 1 and min(seen[w] for w in words) == 1 and seen["End"] == 1
+
+
 def test_packing(edge_docs, edge_rows):
     got = packing.pack(edge_docs, BYTES, keep_ids=True).collect()
     tokenizer = Tokenizer.from_file(BYTES)
