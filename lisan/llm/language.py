@@ -17,6 +17,8 @@ from .exact_dedup import drop_rows
 UNKNOWN = "und"
 #: N-grams of 1 to LONGEST letters; the TOP most frequent make a profile.
 LONGEST, TOP = 3, 400
+#: N-grams that a task holds at most before it counts them, of all languages together, and those of one more text.
+HELD = 1_000_000
 #: Profiles are sent to every task; more languages than this are refused, not cut.
 MOST_LANGUAGES = 10_000
 
@@ -51,31 +53,44 @@ def ranked(keys: np.ndarray, top: int = TOP) -> np.ndarray:
     return found[np.argsort(-counts, kind="stable")[:top]]
 
 
+def gram_counts(batches: Iterator[pa.RecordBatch], held: int = HELD) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of rows (lang, text), counted in parts: whenever more than ``held`` n-grams wait, of all languages.
+
+    What a task holds depends neither on the rows of a batch nor on the number of languages.
+    """
+    waiting: dict[str, list[np.ndarray]] = {}
+    n = 0
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        while waiting:
+            lang, parts = waiting.popitem()
+            keys, times = np.unique(np.concatenate(parts), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(times.astype(np.int64))],
+                names=["lang", "gram", "n"],
+            )
+
+    for batch in (part for whole in batches for part in slices(whole)):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found = grams(text)
+            if not len(found):
+                continue
+            waiting.setdefault(lang, []).append(found)
+            n += len(found) + 16  # an array itself takes as much as 16 n-grams
+            if n > held:
+                yield from counted()
+                n = 0
+    yield from counted()
+
+
 def train_profiles(docs: DataFrame, lang: str = "lang", text: str = "text", top: int = TOP) -> DataFrame:
     """(lang, gram, rank): each language's most frequent n-grams over the whole texts of all its documents."""
     rows = docs.where(F.col(f"`{lang}`").isNotNull()).select(
         F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 2_048)):
-            by: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = by.setdefault(lang, [])
-                parts.append(grams(text))
-                if sum(map(len, parts)) > 4_000_000:
-                    yield counted(lang, by.pop(lang))
-            for lang, parts in by.items():
-                yield counted(lang, parts)
-
-    def counted(lang: str, parts: list[np.ndarray]) -> pa.RecordBatch:
-        keys, n = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(n.astype(np.int64))],
-            names=["lang", "gram", "n"],
-        )
-
-    counts = rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(gram_counts, "lang string, gram long, n long")
+    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < top).drop("n")
 

@@ -24,7 +24,7 @@ MEMORY = 300_000
 #: Fixed value: marks that end a word of letters and begin a new token.
 MARKS = ".,;:!?|*$&%#"
 #: Text whose words are encoded together, and words in one call of the library.
-CHUNK_BYTES, TOGETHER = 4_000_000, 1_000
+CHUNK_BYTES, TOGETHER = 2_000_000, 1_000
 #: All white space but the line feed, and some more, inside a class of Arrow's regular expressions.
 _BLANKS = r"\x00-\x09\x0b-\x20\x7f-\x{a0}\p{Z}"
 #: Rows that one sort within a length is meant for.

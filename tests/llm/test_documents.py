@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -336,6 +337,41 @@ def test_out_of_place_distance(spark, sf_dir):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def peak_of(work) -> int:
+    """MB that Python and numpy hold at most while ``work`` runs."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] // 1_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_language_counts_hold_little_whatever_the_batch():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(300)]
+    rows = [(f"l{i % 5}", " ".join(rng.choices(words, k=400))) for i in range(1_500)] + [("l0", None), ("l9", "1 2")]
+    batch = pa.record_batch({"lang": [x for x, _ in rows], "text": [t for _, t in rows]})
+    got, want = Counter(), Counter()
+
+    def count() -> None:
+        for part in language.gram_counts(iter([batch])):
+            for lang, gram, n in zip(*(c.to_pylist() for c in part.columns)):
+                got[lang, gram] += n
+
+    assert peak_of(count) < 40  # all n-grams together take 84 MB
+    for lang, text in rows:
+        want.update((lang, g) for g in language.grams(text).tolist())
+    assert got == want
+
+
+def test_packing_encodes_few_megabytes_of_text_at_a_time():
+    batch = pa.record_batch({"text": ["a" * 1_000] * 9_000 + ["b" * 5_000_000, None]})
+    sizes = [sum(len(t or "") for t in part.column(0).to_pylist()) for part in packing.chunks(batch, 0)]
+    assert sum(sizes) == 14_000_000
+    assert [x for x in sizes if x > 2_000_000] == [5_000_000]
+
+
 def test_packing_cuts_where_the_library_does():
     """Texts of white space, marks and foreign letters in any order have the library's ids, whatever is cut together."""
     draw = random.Random(3)
