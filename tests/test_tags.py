@@ -103,3 +103,29 @@ def test_a_word_of_two_tags_has_the_first(spark):
     made = spark.createDataFrame([(["a", "b", "c", "d", "e"],)], "ts array<string>")
     lexicon = {"X": ["a"], "Y": [], "Z": ["b", "c"], "U": ["c", "a"], "V": ["d", "c"]}
     assert made.select(G.tag_tokens(F.col("ts"), lexicon, [], "N")).first()[0] == ["X", "Z", "Z", "V", "N"]
+
+
+def test_only_words_that_are_not_held_become_rows(spark, monkeypatch):
+    """Sentences of one name, names that are null and tokens that hold the sign between tokens, with few and many places."""
+    monkeypatch.setattr(tagging, "broadcast_if_small", lambda df: df)
+    rows = [
+        (1, 0, ["The", "dog", "the", "zebra"]), (1, 0, ["The", "cat"]), (None, 0, ["a", "the"]), (None, 0, ["the", "b"]),
+        (2, 0, []), (2, 1, ["x\x1fy", "dog"]), (3, 0, [""]), (4, 0, ["dog"] * 200),
+    ]
+    sents = spark.createDataFrame(rows, "doc_id bigint, sentence_index int, tokens array<string>").withColumn("mark", F.lit("m"))
+    table = {"the": ("DT", 9), "dog": ("NN", 5), "cat": ("NN", 1), "x\x1fy": ("SYM", 1), "w" * 100: ("NN", 9)}
+    words = spark.createDataFrame([(w, *v) for w, v in table.items()], "word string, value string, n bigint")
+    want = {}
+    for doc, at, tokens in rows:
+        want.setdefault((doc, at), []).extend((i, t, table.get(t.lower(), (None,))[0]) for i, t in enumerate(tokens))
+    want = {k: sorted(v, key=lambda x: x[:2]) for k, v in want.items() if v}
+    joined = []
+    inner = type(sents).join
+    monkeypatch.setattr(type(sents), "join", lambda self, other, *a: joined.append(self) or inner(self, other, *a))
+    for places, most in ((1, 208), (1 << 10, 6)):
+        monkeypatch.setattr(tagging, "HELD_PLACES", places)
+        got = tagging.looked_up(sents, words).collect()
+        assert {(r.doc_id, r.sentence_index): [tuple(x) for x in r.found] for r in got} == want
+        assert len(got) == len(want) and all(r.mark == "m" for r in got)
+        assert next(df for df in joined if "token_index" in df.columns).count() <= most
+        joined.clear()
