@@ -14,7 +14,7 @@ from lisan.functions import spans as S
 from lisan.functions import text as T
 from lisan.functions.arrays import let
 from lisan.functions.trie import PhraseTrie
-from lisan.session import broadcast_if_small, is_small
+from lisan.session import broadcast_if_small, is_small, written
 
 # A phrase list up to this size travels inside the expression as a trie.
 TRIE_PHRASES = 2_000
@@ -265,35 +265,57 @@ def token_labels(tokenized: DataFrame, spans: DataFrame) -> DataFrame:
     return token_rows(labelled_sentences(tokenized, spans))
 
 
-def token_labels_by_char(located: DataFrame, entities: DataFrame, pattern: str = T.WORDPUNCT) -> DataFrame:
-    """Label the tokens of located sentences that lie inside an entity's characters; later entities win.
+def _bin_of(char: Column) -> Column:
+    return F.floor(char / CHAR_BIN).cast("int")
 
-    An interval join by bins of ``CHAR_BIN`` characters: an entity is folded into each bin of its article that it
-    touches, and a token asks only the bin it starts in, so an article may have any number of entities.
+
+def _near_sentences(located: DataFrame, entities: DataFrame) -> DataFrame:
+    """``(doc_id, sentence_index, start_char, bins)``: entities around each sentence, array by bin from the sentence's first.
+
+    The join has a row for each bin that a sentence touches and none of its text; sentences without entities give no row.
     """
-    bin_of = lambda c: F.floor(c / CHAR_BIN).cast("int")
+    keys = ["doc_id", "sentence_index", "start_char"]
     entity = F.struct(F.col("start_char").alias("from"), F.col("end_char").alias("to"), "label")
-    bins = F.sequence(bin_of(F.col("start_char")), bin_of(F.col("end_char") - 1))
+    touched = F.sequence(_bin_of(F.col("start_char")), _bin_of(F.col("end_char") - 1))
     near = (
         entities.where("end_char > start_char")
-        .select(F.col("article_index").alias("doc_id"), F.explode(bins).alias("bin"), entity.alias("entity"))
+        .select(F.col("article_index").alias("doc_id"), F.explode(touched).alias("bin"), entity.alias("entity"))
         .groupBy("doc_id", "bin").agg(F.collect_set("entity").alias("near"))
     )
-    spans = F.transform(
-        T.spans_of(F.col("sentence"), pattern),
-        lambda s: F.struct(
-            s["token"].alias("token"),
-            (F.col("start_char") + s["start"]).alias("start_char"),
-            (F.col("start_char") + s["end"]).alias("end_char"),
-            bin_of(F.col("start_char") + s["start"]).alias("bin"),
-        ),
-    )
-    rows = located.select("doc_id", "sentence_index", F.posexplode(spans).alias("token_index", "s")).select(
-        "doc_id", "sentence_index", "token_index", "s.*"
-    )
-    joined = rows.join(broadcast_if_small(near), ["doc_id", "bin"], "left")
-    around = F.filter("near", lambda e: (e["from"] <= F.col("start_char")) & (F.col("end_char") <= e["to"]))
-    return joined.select(
-        "doc_id", "sentence_index", "token_index", "token", "start_char", "end_char",
-        F.coalesce(F.array_max(around)["label"], F.lit(C.OUTSIDE)).alias("label"),
-    )
+    first, last = _bin_of(F.col("start_char")), _bin_of(F.col("start_char") + F.length("sentence"))
+    asked = located.select(*keys, F.posexplode(F.sequence(first, last)).alias("at", "bin"))
+    found = asked.join(broadcast_if_small(written(near)), ["doc_id", "bin"]).select(*keys, F.struct("at", "near").alias("b"))
+    by_place = found.groupBy(*keys).agg(F.sort_array(F.collect_set("b")).alias("bs"))
+    # Bins without entities between those that have some are filled, so that a token finds its bin by number.
+    gap = lambda bs, k: F.get(bs, k)["at"] - F.coalesce(F.get(bs, k - 1)["at"], F.lit(-1)) - 1
+    none = F.expr("cast(array() AS array<struct<from:int,to:int,label:string>>)")
+    filled = lambda bs: F.flatten(F.transform(bs, lambda b, k: F.concat(F.array_repeat(none, gap(bs, k)), F.array(b["near"]))))
+    return by_place.select(*keys, let(F.col("bs"), filled).alias("bins"))
+
+
+def token_labels_by_char(located: DataFrame, entities: DataFrame, pattern: str = T.WORDPUNCT) -> DataFrame:
+    """Label the tokens of located sentences that lie inside an entity's characters; later entities win.
+
+    An interval join by bins of ``CHAR_BIN`` characters: an entity is folded into each bin of its article that it
+    touches, a sentence meets the bins it touches, and a token asks only the bin it starts in, so an article may have
+    any number of entities. Tokens are made in the sentence's row after that, and never moved.
+    """
+    keys = ["doc_id", "sentence_index", "start_char"]
+    joined = located.select(*keys, "sentence").join(broadcast_if_small(written(_near_sentences(located, entities))), keys, "left")
+
+    def placed(s: Column, label: Callable[[Column, Column], Column]) -> Column:
+        start, end = F.col("start_char") + s["start"], F.col("start_char") + s["end"]
+        return F.struct(s["token"].alias("token"), start.alias("start_char"), end.alias("end_char"), label(start, end).alias("label"))
+
+    def label_of(start: Column, end: Column) -> Column:
+        near = F.get("bins", _bin_of(start) - _bin_of(F.col("start_char")))
+        around = F.filter(near, lambda e: (e["from"] <= start) & (end <= e["to"]))
+        return F.coalesce(F.when(F.size(near) > 0, F.array_max(around)["label"]), F.lit(C.OUTSIDE))
+
+    def labelled(found: Column) -> Column:
+        outside = F.transform(found, lambda s: placed(s, lambda *_: F.lit(C.OUTSIDE)))
+        return F.when(F.col("bins").isNull(), outside).otherwise(F.transform(found, lambda s: placed(s, label_of)))
+
+    spans = let(T.spans_of(F.col("sentence"), pattern), labelled)
+    rows = joined.select("doc_id", "sentence_index", F.posexplode(spans).alias("token_index", "s"))
+    return rows.select("doc_id", "sentence_index", "token_index", "s.*")

@@ -295,3 +295,20 @@ def test_pieces_lie_in_their_words(spark):
     ]
     with pytest.raises(Exception, match="do not spell"):
         frame.select(S.piece_spans(F.col("words"), F.array(F.lit("x")), F.array(F.lit("O")), F.array(F.lit(1.0)))).collect()
+
+
+def test_labels_by_char_move_no_tokens(spark, monkeypatch):
+    """With entities too many for a broadcast, what is dealt out is sentences; names may be null or come twice."""
+    monkeypatch.setattr(entities, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(entities, "CHAR_BIN", 8)
+    text = "ab cd ef gh ij kl mn op qr st"
+    rows = [(1, 0, text, 4), (1, 0, text, 4), (1, 0, "ab", 4), (None, 0, text, 0), (2, 0, "ab", 0)]
+    located = spark.createDataFrame(rows, "doc_id bigint, sentence_index int, sentence string, start_char int")
+    marks = [(1, 7, 9, "X"), (1, 30, 33, "Y"), (None, 0, 2, "Z"), (3, 0, 2, "Z")]
+    frame = spark.createDataFrame(marks, "article_index bigint, start_char int, end_char int, label string")
+    labelled = entities.token_labels_by_char(located, frame)
+    got = labelled.collect()
+    assert len(got) == 32
+    assert sorted((r.doc_id, r.token, r.label) for r in got if r.label != "O") == [(1, "cd", "X")] * 2 + [(1, "st", "Y")] * 2
+    plan = labelled._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and plan.index("posexplode") < plan.index("Join")
