@@ -312,3 +312,13 @@ def test_labels_by_char_move_no_tokens(spark, monkeypatch):
     assert sorted((r.doc_id, r.token, r.label) for r in got if r.label != "O") == [(1, "cd", "X")] * 2 + [(1, "st", "Y")] * 2
     plan = labelled._jdf.queryExecution().optimizedPlan().toString()
     assert "posexplode" in plan and plan.index("posexplode") < plan.index("Join")
+
+
+def test_scores_are_made_once_for_all_spans(spark):
+    """Scores given as an expression are not made again for each span; unmarked labels keep their types."""
+    rows = [(["B-X", "I-X", "X", "O", "I-Y", "O", "B-", "I-Y"],), ([],)]
+    frame = spark.createDataFrame(rows, "labels array<string>")
+    scores = F.transform("labels", lambda x: F.length(x) * 1.0)
+    found = frame.select(S.bio_spans(F.col("labels"), scores).alias("s"))
+    assert "slice(transform" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [[tuple(s) for s in r.s] for r in found.collect()] == [[(0, 3, "X", 7 / 3), (4, 5, "Y", 3.0), (6, 7, "", 2.0), (7, 8, "Y", 3.0)], []]
